@@ -1,4 +1,4 @@
-"""Unit algebra (U2, U3) as DataFrame jobs over *distinct* unit expressions.
+"""Unit algebra (U2, U3) as native expressions over *distinct* unit strings.
 
 A unit expression is ``num [/ den [/ den ...]]``; each side is a product of
 tokens separated by blanks or ``*``. A token is a number or a registry unit.
@@ -11,20 +11,91 @@ starting at 1.0) divided by the product of denominator scales; its dimension is
 the sum of token dimensions (denominators negated). A factor from ``a`` to ``b``
 is ``scale(a) / scale(b)``, defined when their dimensions are equal.
 
-Everything here runs on tables whose size is bounded by the number of distinct
-unit strings, not by the fact table.
+The registry is bounded (a few hundred units), so it enters the plan as four
+literal lookup maps; resolving a unit is then one projection of higher-order
+functions (``split`` / ``transform`` / ``filter`` / ``aggregate``) - no join, no
+shuffle. It is applied to distinct unit strings only, never per fact row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.functions.unit_names import standardize_unit_names
-from yearloom.operators.units.registry import unit_registry
-from yearloom.session import broadcast_checked
+from yearloom.operators.units.registry import UnitDef, registry_rows
+from yearloom.session import materialize, row_count_at_most
 
 _TOKEN_SPLIT = r"[\s*]+"
+DIMS_TYPE = "array<struct<dim:string,exp:int>>"
+MAX_REGISTRY_ROWS = 100_000
+
+
+def _dims_text(dims) -> str:
+    return "|".join(f"{d}:{e}" for d, e in dims)
+
+
+@dataclass(frozen=True)
+class UnitLookup:
+    """The registry as literal key/value arrays (exact names, and unambiguous
+    lower-case spellings of ``name``-kind units)."""
+
+    exact_keys: tuple
+    exact_scales: tuple
+    exact_dims: tuple
+    ci_keys: tuple
+    ci_scales: tuple
+    ci_dims: tuple
+
+    @classmethod
+    def from_rows(cls, rows) -> UnitLookup:
+        exact = {}
+        for name, kind, scale, dims in rows:
+            exact[name] = (float(scale), _dims_text(sorted((d, int(e)) for d, e in dims)), kind)
+        lowered: dict[str, set] = {}
+        for name, (scale, dims, kind) in exact.items():
+            if kind == "name":
+                lowered.setdefault(name.lower(), set()).add((scale, dims))
+        ci = {k: next(iter(v)) for k, v in lowered.items() if len(v) == 1}
+        ek = sorted(exact)
+        ck = sorted(ci)
+        return cls(tuple(ek), tuple(exact[k][0] for k in ek), tuple(exact[k][1] for k in ek),
+                   tuple(ck), tuple(ci[k][0] for k in ck), tuple(ci[k][1] for k in ck))
+
+    def maps(self):
+        # Each array is one delimited string literal split by Spark (constant-
+        # folded by the optimizer), instead of one literal per element.
+        sep = "\u001f"
+
+        def arr(items, vtype):
+            if not items:
+                return F.array().cast(f"array<{vtype}>")
+            return F.split(F.lit(sep.join(items)), sep).cast(f"array<{vtype}>")
+
+        def m(keys, vals, vtype):
+            texts = [repr(v) for v in vals] if vtype == "double" else list(vals)
+            return F.map_from_arrays(arr(list(keys), "string"), arr(texts, vtype))
+        return (m(self.exact_keys, self.exact_scales, "double"), m(self.exact_keys, self.exact_dims, "string"),
+                m(self.ci_keys, self.ci_scales, "double"), m(self.ci_keys, self.ci_dims, "string"))
+
+
+def unit_lookup(registry=None, *, variant: bool = False, extra: list[UnitDef] | None = None) -> UnitLookup:
+    """Build the lookup from the built-in registry (plus ``extra`` definitions),
+    from a list of registry rows, or from a registry DataFrame (size-checked,
+    then read: it is a bounded dimension)."""
+    if isinstance(registry, UnitLookup):
+        return registry
+    if registry is None:
+        return UnitLookup.from_rows(registry_rows(variant, extra))
+    if isinstance(registry, DataFrame):
+        if not row_count_at_most(registry, MAX_REGISTRY_ROWS):
+            raise ValueError(f"unit registry larger than {MAX_REGISTRY_ROWS} rows")
+        rows = [(r["name"], r["kind"], r["scale"], [(d["dim"], d["exp"]) for d in r["dims"]])
+                for r in registry.select("name", "kind", "scale", "dims").collect()]
+        return UnitLookup.from_rows(rows)
+    return UnitLookup.from_rows(registry)
 
 
 def _tokens(expr: Column) -> Column:
@@ -41,119 +112,99 @@ def _tokens(expr: Column) -> Column:
     return F.concat(num, dens)
 
 
-def _lookup_table(registry: DataFrame) -> DataFrame:
-    """(key, ci, scale, dims): exact keys plus unambiguous lower-case keys of names."""
-    exact = registry.select(F.col("name").alias("key"), F.lit(False).alias("ci"), "scale", "dims")
-    lowered = (
-        registry.where(F.col("kind") == "name")
-        .select(F.lower("name").alias("key"), "scale", "dims")
-        .groupBy("key")
-        .agg(F.count_distinct("scale", "dims").alias("n"), F.first("scale").alias("scale"), F.first("dims").alias("dims"))
-        .where("n = 1")
-        .select("key", F.lit(True).alias("ci"), "scale", "dims")
-    )
-    return exact.unionByName(lowered)
-
-
-def resolve_unit_expressions(exprs: DataFrame, expr_col: str = "expr", registry: DataFrame | None = None) -> DataFrame:
-    """For each distinct expression: ``scale``, ``dims`` (sorted (dim, exp) pairs),
-    ``unresolved`` (tokens not found) and ``resolved`` (bool).
-
-    ``exprs`` must already be small (distinct unit strings); it is scanned twice.
-    """
-    spark = exprs.sparkSession
-    registry = registry if registry is not None else unit_registry(spark)
-    lookup = broadcast_checked(_lookup_table(registry))
-
-    e = exprs.select(F.col(expr_col).alias("expr")).where(F.col("expr").isNotNull()).distinct()
-    toks = e.select("expr", F.posexplode(_tokens(F.col("expr"))).alias("pos", "t")).select(
-        "expr", "pos", F.col("t.tok").alias("tok"), F.col("t.sign").alias("sign"))
-
-    single = F.regexp_replace(F.col("tok"), "s$", "")
-    plural = F.col("tok").endswith("s") & (F.length("tok") > 1)
-    cands = toks.select(
-        "expr", "pos", "tok", "sign",
-        F.explode(F.array(
-            F.struct(F.col("tok").alias("key"), F.lit(False).alias("ci"), F.lit(0).alias("prio")),
-            F.struct(F.when(plural, single).alias("key"), F.lit(False).alias("ci"), F.lit(1).alias("prio")),
-            F.struct(F.lower("tok").alias("key"), F.lit(True).alias("ci"), F.lit(2).alias("prio")),
-            F.struct(F.when(plural, F.lower(single)).alias("key"), F.lit(True).alias("ci"), F.lit(3).alias("prio")),
-        )).alias("c"),
-    ).select("expr", "pos", "tok", "sign", "c.key", "c.ci", "c.prio")
-
-    matched = (
-        cands.join(lookup, ["key", "ci"], "left")
-        .groupBy("expr", "pos", "tok", "sign")
-        .agg(F.min_by(F.struct("scale", "dims"), F.when(F.col("scale").isNotNull(), F.col("prio"))).alias("m"))
-    )
-    numeric = F.col("tok").try_cast("double")
-    per_tok = matched.select(
-        "expr", "pos", "tok", "sign",
-        F.coalesce(numeric, F.col("m.scale")).alias("scale"),
-        F.when(numeric.isNotNull(), F.array().cast("array<struct<dim:string,exp:int>>"))
-        .otherwise(F.col("m.dims")).alias("dims"),
-    )
+def _lookup_token(tok: Column, maps) -> Column:
+    """struct<scale double, dims string> for one token, or NULL if unknown."""
+    ex_s, ex_d, ci_s, ci_d = maps
+    single = F.regexp_replace(tok, "s$", "")
+    numeric = tok.try_cast("double")
+    cands = [(ex_s, ex_d, tok), (ex_s, ex_d, single), (ci_s, ci_d, F.lower(tok)), (ci_s, ci_d, F.lower(single))]
+    out = F.when(numeric.isNotNull(), F.struct(numeric.alias("scale"), F.lit("").alias("dims")))
+    for ms, md, k in cands:
+        out = out.when(F.map_contains_key(ms, k),
+                       F.struct(F.element_at(ms, k).alias("scale"), F.element_at(md, k).alias("dims")))
+    return out
+
+
+def _parse_dims(text: Column) -> Column:
+    parts = F.filter(F.split(text, r"\|"), lambda x: x != "")
+    return F.transform(parts, lambda x: F.struct(F.split(x, ":").getItem(0).alias("dim"),
+                                                 F.split(x, ":").getItem(1).cast("int").alias("exp")))
+
 
-    # scale: ordered products, numerator / denominator
+def _resolved_tokens(expr: Column, maps) -> Column:
+    """array<struct<tok, sign, m: struct<scale, dims text>>> for an expression."""
+    return F.transform(_tokens(expr), lambda t: F.struct(t["tok"].alias("tok"), t["sign"].alias("sign"),
+                                                         _lookup_token(t["tok"], maps).alias("m")))
+
+
+def _summarize(toks: Column) -> Column:
+    """Scale, dims and unknown tokens from resolved tokens (see module doc)."""
     def prod(sign: int) -> Column:
-        parts = F.filter(F.col("parts"), lambda p: p["sign"] == sign)
-        return F.aggregate(parts, F.lit(1.0).cast("double"), lambda acc, p: acc * p["scale"])
-
-    scales = (
-        per_tok.groupBy("expr")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "sign", "scale"))).alias("parts"),
-             F.collect_list(F.when(F.col("scale").isNull(), F.col("tok"))).alias("unresolved"))
-        .select("expr", (prod(1) / prod(-1)).alias("scale"), "unresolved")
-    )
-    dims = (
-        per_tok.select("expr", "sign", F.explode_outer("dims").alias("d"))
-        .where(F.col("d").isNotNull())
-        .groupBy("expr", F.col("d.dim").alias("dim"))
-        .agg(F.sum(F.col("d.exp") * F.col("sign")).cast("int").alias("exp"))
-        .where("exp != 0")
-        .groupBy("expr")
-        .agg(F.array_sort(F.collect_list(F.struct("dim", "exp"))).alias("dims"))
-    )
-    empty_dims = F.array().cast("array<struct<dim:string,exp:int>>")
-    out = (
-        e.join(scales, "expr", "left").join(dims, "expr", "left")
-        .select(
-            "expr",
-            F.when(F.size(F.coalesce("unresolved", F.array())) == 0, F.coalesce("scale", F.lit(1.0))).alias("scale"),
-            F.coalesce("dims", empty_dims).alias("dims"),
-            F.coalesce("unresolved", F.array().cast("array<string>")).alias("unresolved"),
-        )
-        .withColumn("resolved", F.size("unresolved") == 0)
-    )
-    return out.withColumnRenamed("expr", expr_col) if expr_col != "expr" else out
+        side = F.filter(toks, lambda t: t["sign"] == sign)
+        return F.aggregate(side, F.lit(1.0).cast("double"), lambda acc, t: acc * t["m"]["scale"])
+
+    unresolved = F.transform(F.filter(toks, lambda t: t["m"].isNull()), lambda t: t["tok"])
+    flat = F.flatten(F.transform(toks, lambda t: F.transform(
+        _parse_dims(F.coalesce(t["m"]["dims"], F.lit(""))),
+        lambda d: F.struct(d["dim"].alias("dim"), (d["exp"] * t["sign"]).alias("exp")))))
+    names = F.array_sort(F.array_distinct(F.transform(flat, lambda d: d["dim"])))
+    summed = F.transform(names, lambda n: F.struct(
+        n.alias("dim"),
+        F.aggregate(F.filter(flat, lambda d: d["dim"] == n), F.lit(0), lambda a, d: a + d["exp"]).alias("exp")))
+    dims = F.filter(summed, lambda d: d["exp"] != 0)
+    return F.struct(F.when(F.size(unresolved) == 0, prod(1) / prod(-1)).alias("scale"),
+                    dims.cast(DIMS_TYPE).alias("dims"),
+                    unresolved.alias("unresolved"))
+
+
+def with_resolved(df: DataFrame, expr_col: str, out_col: str, lookup: UnitLookup) -> DataFrame:
+    """Add ``out_col`` = struct<scale, dims, unresolved> for the unit expression
+    in ``expr_col``. Two projections, so the token lookup is computed once per
+    row and referenced (Catalyst does not inline a non-cheap expression that is
+    used several times)."""
+    tmp = f"__toks_{out_col}"
+    return (df.withColumn(tmp, _resolved_tokens(F.col(expr_col), lookup.maps()))
+              .withColumn(out_col, _summarize(F.col(tmp))).drop(tmp))
+
+
+def resolve_expression(expr: Column, lookup: UnitLookup) -> Column:
+    """Column form of ``with_resolved`` (single expression; use on small tables)."""
+    return _summarize(_resolved_tokens(expr, lookup.maps()))
+
+
+def resolve_unit_expressions(exprs: DataFrame, expr_col: str = "expr", registry=None) -> DataFrame:
+    """For each distinct expression: ``scale``, ``dims`` (sorted (dim, exp)
+    pairs), ``unresolved`` (unknown tokens) and ``resolved`` (bool)."""
+    lookup = unit_lookup(registry)
+    e = materialize(exprs.select(F.col(expr_col)).where(F.col(expr_col).isNotNull()).distinct())
+    r = with_resolved(e, expr_col, "_r", lookup)
+    return r.select(expr_col, "_r.scale", "_r.dims", "_r.unresolved", (F.size("_r.unresolved") == 0).alias("resolved"))
 
 
 def unit_factor_table(pairs: DataFrame, from_col: str = "from_unit", to_col: str = "to_unit",
-                      rename_fun=standardize_unit_names, registry: DataFrame | None = None) -> DataFrame:
+                      rename_fun=standardize_unit_names, registry=None, *, cut_lineage: bool = True) -> DataFrame:
     """U2 + U3 on distinct (from, to) pairs.
 
     Returns ``from_col, to_col, from_units_unit, to_units_unit, factor,
-    convertible``; ``factor`` is null unless convertible. ``pairs`` must be small
-    (distinct unit pairs).
-    """
-    p = (
-        pairs.select(F.col(from_col).alias("_f"), F.col(to_col).alias("_t")).distinct()
-        .withColumn("_fs", rename_fun(F.col("_f")))
-        .withColumn("_ts", rename_fun(F.col("_t")))
-    )
-    exprs = p.select(F.col("_fs").alias("expr")).unionByName(p.select(F.col("_ts").alias("expr")))
-    res = resolve_unit_expressions(exprs, "expr", registry)
-    rf = res.select(F.col("expr").alias("_fs"), F.col("scale").alias("_fscale"), F.col("dims").alias("_fdims"),
-                    F.col("resolved").alias("_fok"))
-    rt = res.select(F.col("expr").alias("_ts"), F.col("scale").alias("_tscale"), F.col("dims").alias("_tdims"),
-                    F.col("resolved").alias("_tok"))
-    j = p.join(rf, "_fs", "left").join(rt, "_ts", "left")
-    convertible = F.coalesce(F.col("_fok") & F.col("_tok") & (F.col("_fdims") == F.col("_tdims")), F.lit(False))
-    return j.select(
+    convertible``; ``factor`` is NULL unless convertible. One distinct plus one
+    projection; ``pairs`` should already be small (distinct unit pairs).
+    ``cut_lineage=False`` is for pairs that are already a literal or a written
+    table (nothing for a filter to be pushed into)."""
+    lookup = unit_lookup(registry)
+    # Cut lineage first: otherwise a filter on the result (e.g. "convertible")
+    # could be pushed below the distinct and run the lookup once per fact row.
+    p = pairs.select(F.col(from_col).alias("_f"), F.col(to_col).alias("_t")).distinct()
+    if cut_lineage:
+        p = materialize(p)
+    p = p.withColumn("_fs", rename_fun(F.col("_f"))).withColumn("_ts", rename_fun(F.col("_t")))
+    p = with_resolved(with_resolved(p, "_fs", "_rf", lookup), "_ts", "_rt", lookup)
+    ok = F.coalesce((F.size("_rf.unresolved") == 0) & (F.size("_rt.unresolved") == 0)
+                    & (F.col("_rf.dims") == F.col("_rt.dims")), F.lit(False))
+    return p.select(
         F.col("_f").alias(from_col), F.col("_t").alias(to_col),
         F.col("_fs").alias("from_units_unit"), F.col("_ts").alias("to_units_unit"),
-        F.when(convertible, F.col("_fscale") / F.col("_tscale")).alias("factor"),
-        convertible.alias("convertible"),
+        F.when(ok, F.col("_rf.scale") / F.col("_rt.scale")).alias("factor"),
+        ok.alias("convertible"),
     )
 
 
@@ -162,4 +213,5 @@ def dims_signature(dims: Column) -> Column:
     return F.array_join(F.transform(dims, lambda d: F.concat(d["dim"], F.lit("^"), d["exp"].cast("string"))), " ")
 
 
-__all__ = ["resolve_unit_expressions", "unit_factor_table", "dims_signature"]
+__all__ = ["UnitLookup", "unit_lookup", "resolve_expression", "with_resolved", "resolve_unit_expressions", "unit_factor_table",
+           "dims_signature"]

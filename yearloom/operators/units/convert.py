@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.algebra import unit_factor_table
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize
 
 RenameFun = Callable[[Column], Column]
 
@@ -45,9 +45,20 @@ def check_input(df: DataFrame, unit_col: str = "unit", value_col: str = "value")
         raise UnitConversionError(f"{unit_col} must be a string column")
 
 
+def _fact_pairs(pairs: DataFrame, max_broadcast_rows: int) -> tuple[DataFrame, int | None]:
+    """Distinct (from, to) pairs taken from a fact table: written once (one
+    column-pruned, map-side combined pass over the facts) and counted up to the
+    bound. Returns the table and its row count (None when beyond the bound)."""
+    p = materialize(pairs.distinct())
+    n = p.limit(max_broadcast_rows + 1).count()
+    return p, (n if n <= max_broadcast_rows else None)
+
+
 def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible: str) -> DataFrame:
-    """Factor table for distinct pairs, materialised, inconvertible pairs raised or dropped."""
-    ft = unit_factor_table(pairs, "from_unit", "to_unit", rename_fun, registry)
+    """Factor table for small distinct pairs (already a literal or a written
+    table); inconvertible pairs raise (at once: the table is written here) or are
+    dropped."""
+    ft = unit_factor_table(pairs, "from_unit", "to_unit", rename_fun, registry, cut_lineage=False)
     if on_inconvertible == "error":
         msg = F.concat(F.lit("cannot convert '"), F.col("from_unit"), F.lit("' to '"), F.col("to_unit"),
                        F.lit("' ("), F.col("from_units_unit"), F.lit(" -> "), F.col("to_units_unit"), F.lit(")"))
@@ -60,12 +71,14 @@ def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible
 
 
 def _apply(df: DataFrame, factors: DataFrame, keys: list[tuple[Column, str]], unit_col: str, value_col: str,
-           max_broadcast_rows: int) -> DataFrame:
-    """Join factors (broadcast behind a size check) and rewrite unit/value.
-
-    A row without a factor keeps its unit and value."""
+           max_broadcast_rows: int, factor_rows: int | None) -> DataFrame:
+    """Join the factor table and rewrite unit/value; a row without a factor
+    keeps its unit and value. The factor table is broadcast when its row count
+    is known to be within the bound (it has at most as many rows as the distinct
+    pairs); otherwise this is a shuffle join that AQE may re-plan."""
     f = factors.select(F.col("from_unit").alias("_cf"), F.col("to_unit").alias("_ct"), F.col("factor").alias("_cfac"))
-    f = broadcast_checked(f, max_broadcast_rows)
+    if factor_rows is not None and factor_rows <= max_broadcast_rows:
+        f = F.broadcast(f)
     cond = None
     for left, right in keys:
         c = left.eqNullSafe(F.col(right))
@@ -79,7 +92,7 @@ def _apply(df: DataFrame, factors: DataFrame, keys: list[tuple[Column, str]], un
 
 
 def convert_rowwise(df: DataFrame, to_unit: Column | str, *, unit_col: str = "unit", value_col: str = "value",
-                    rename_fun: RenameFun = standardize_unit_names, registry: DataFrame | None = None,
+                    rename_fun: RenameFun = standardize_unit_names, registry=None,
                     on_inconvertible: str = "error", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """U4: each row's target is ``to_unit`` (a column); a missing target leaves the
     row untouched; an inconvertible pair raises (or, with ``keep``, passes)."""
@@ -87,24 +100,24 @@ def convert_rowwise(df: DataFrame, to_unit: Column | str, *, unit_col: str = "un
     to = F.col(to_unit) if isinstance(to_unit, str) else to_unit
     spec = df.withColumn("_to_unit", to)
     pairs = (spec.select(F.col(unit_col).alias("from_unit"), F.col("_to_unit").alias("to_unit"))
-             .where(F.col("to_unit").isNotNull() & ~F.col("to_unit").eqNullSafe(F.col("from_unit")))
-             .distinct())
+             .where(F.col("to_unit").isNotNull() & ~F.col("to_unit").eqNullSafe(F.col("from_unit"))))
+    pairs, n = _fact_pairs(pairs, max_broadcast_rows)
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
     out = _apply(spec, factors, [(F.col(unit_col), "_cf"), (F.col("_to_unit"), "_ct")], unit_col, value_col,
-                 max_broadcast_rows)
+                 max_broadcast_rows, n)
     return out.drop("_to_unit")
 
 
 def convert_to_single(df: DataFrame, to_unit: str, *, unit_col: str = "unit", value_col: str = "value",
-                      rename_fun: RenameFun = standardize_unit_names, registry: DataFrame | None = None,
+                      rename_fun: RenameFun = standardize_unit_names, registry=None,
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Every unit convertible to ``to_unit`` is converted; others pass through."""
     check_input(df, unit_col, value_col)
-    pairs = (df.select(F.col(unit_col).alias("from_unit")).where(F.col("from_unit").isNotNull()).distinct()
-             .where(F.col("from_unit") != F.lit(to_unit))
-             .withColumn("to_unit", F.lit(to_unit)))
-    factors = _factors(pairs, rename_fun, registry, "keep")
-    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows)
+    pairs = (df.select(F.col(unit_col).alias("from_unit")).where(F.col("from_unit").isNotNull())
+             .where(F.col("from_unit") != F.lit(to_unit)))
+    pairs, n = _fact_pairs(pairs, max_broadcast_rows)
+    factors = _factors(pairs.withColumn("to_unit", F.lit(to_unit)), rename_fun, registry, "keep")
+    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n)
 
 
 def crosswalk_violations(crosswalk: DataFrame, from_col: str = "from_unit", to_col: str = "to_unit") -> DataFrame:
@@ -115,39 +128,46 @@ def crosswalk_violations(crosswalk: DataFrame, from_col: str = "from_unit", to_c
             .where("n_targets > 1"))
 
 
-def _crosswalk_frame(spark, crosswalk) -> tuple[DataFrame, int | None]:
-    if isinstance(crosswalk, DataFrame):
-        return crosswalk.select(F.col(crosswalk.columns[0]).alias("from_unit"),
-                                F.col(crosswalk.columns[1]).alias("to_unit")), None
-    rows = [(a, b) for a, b in crosswalk]
-    return spark.createDataFrame(rows, "from_unit string, to_unit string"), len(rows)
+def _list_violations(rows) -> list[tuple[str, list]]:
+    targets: dict = {}
+    for a, b in rows:
+        targets.setdefault(a, set()).add(b)
+    return [(a, sorted(t, key=lambda x: (x is None, x or ""))) for a, t in targets.items() if len(t) > 1]
 
 
 def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str, str | None]], *, unit_col: str = "unit",
                       value_col: str = "value", rename_fun: RenameFun = standardize_unit_names,
-                      registry: DataFrame | None = None, strict: bool = True, on_inconvertible: str = "error",
+                      registry=None, strict: bool = True, on_inconvertible: str = "error",
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Convert by a crosswalk of (from, to) pairs.
 
     ``strict`` keeps the reference rule that a from-unit with two targets - a
     missing target counts as one - is an error; ``strict=False`` first drops
     missing targets. Units not in the crosswalk pass through unchanged.
-    The crosswalk is small by contract; it is size-checked before it is used.
-    """
+
+    A crosswalk given as a list is checked on the driver and needs no pass over
+    the facts; a crosswalk DataFrame (possibly derived from the facts) is written
+    once, size-checked and checked in Spark."""
     check_input(df, unit_col, value_col)
-    xw, known = _crosswalk_frame(df.sparkSession, crosswalk)
-    if known is None and not row_count_at_most(xw, max_broadcast_rows):
-        raise UnitConversionError(f"crosswalk has more than {max_broadcast_rows} rows")
-    if not strict:
-        xw = xw.where(F.col("to_unit").isNotNull())
-    xw = materialize(xw.distinct())
-    bad = crosswalk_violations(xw).limit(20).collect()
+    spark = df.sparkSession
+    if isinstance(crosswalk, DataFrame):
+        xw = crosswalk.select(F.col(crosswalk.columns[0]).alias("from_unit"), F.col(crosswalk.columns[1]).alias("to_unit"))
+        if not strict:
+            xw = xw.where(F.col("to_unit").isNotNull())
+        xw, n = _fact_pairs(xw, max_broadcast_rows)
+        if n is None:
+            raise UnitConversionError(f"crosswalk has more than {max_broadcast_rows} distinct pairs")
+        bad = [(r.from_unit, r.targets) for r in crosswalk_violations(xw).limit(20).collect()]
+    else:
+        rows = sorted({(a, b) for a, b in crosswalk if strict or b is not None}, key=lambda r: (r[0] or "", r[1] or ""))
+        bad = _list_violations(rows)
+        xw, n = spark.createDataFrame(rows, "from_unit string, to_unit string"), len(rows)
     if bad:
-        detail = "; ".join(f"{r.from_unit} -> {r.targets}" for r in bad)
+        detail = "; ".join(f"{a} -> {t}" for a, t in bad)
         raise UnitConversionError(f"Supplied from_unit must uniquely map to to_unit: {detail}")
     pairs = xw.where(F.col("to_unit").isNotNull() & (F.col("to_unit") != F.col("from_unit")))
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
-    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows)
+    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n)
 
 
 def convert_from_set(df: DataFrame, from_units: Sequence[str], to_unit: str, **kw) -> DataFrame:

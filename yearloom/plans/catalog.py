@@ -706,7 +706,7 @@ FROM (SELECT DISTINCT unit AS from_unit, emf_units AS to_unit FROM ({SQL_FLAG_AT
 
 def q_pivot_years(spark, sf_dir):
     obs, smap, template = flagship_inputs(spark, sf_dir)
-    long = harmonize(obs, smap, template, years=fx.YEARS)["long"]
+    long = harmonize(obs, smap, template, years=fx.YEARS, build_wide=False)["long"]
     aeo = where_matches(long, "model", "AEO")
     return pivot_wider(aeo, ["model", "scenario", "region", "variable", "unit"], "year", "value", fx.YEARS)
 

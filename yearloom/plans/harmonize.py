@@ -82,7 +82,7 @@ def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = Tru
     """convert each row to its template unit with the data's own crosswalk
     (U7), then require every row with a template unit to be in it (Q3)."""
     xw = df.select(F.col("unit").alias("from_unit"), F.col("emf_units").alias("to_unit"))
-    out = convert_crosswalk(df, xw, strict=strict)
+    out = materialize(convert_crosswalk(df, xw, strict=strict))
     if check:
         assert_empty(nonmatch(out), "rows not in the template unit")
     return out
@@ -126,8 +126,13 @@ def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_uni
 
 
 def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, years: Sequence[int] | None = None,
-              literal: bool = False, strict: bool = True) -> dict[str, DataFrame]:
-    """The whole job (F7-F12): returns ``long``, ``wide`` and ``crosswalk_qa``."""
+              literal: bool = False, strict: bool = True, build_wide: bool = True) -> dict[str, DataFrame]:
+    """The whole job (F7-F12): returns ``long``, ``crosswalk_qa`` and (unless
+    ``build_wide=False``) ``wide``.
+
+    Jobs: one pass over the facts (scan, broadcast map join, partial aggregate)
+    writing the attached long table; small jobs for the crosswalk, its factors
+    and the conversion; conformance and uniqueness checks on written tables."""
     rolled = map_and_rollup(obs, series_map, literal=literal)
     if literal:
         tu = template_units_present(template, rolled)
@@ -137,9 +142,12 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
         # would cost a second pass over the facts.
         tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
     attached = materialize(attach_units(rolled, tu, literal=literal))
-    converted = materialize(convert_to_template(attached, strict=strict))
+    converted = convert_to_template(attached, strict=strict)
     long = long_table(converted)
-    return {"long": long, "wide": wide_table(long, years), "crosswalk_qa": crosswalk_qa(attached)}
+    out = {"long": long, "crosswalk_qa": crosswalk_qa(attached)}
+    if build_wide:
+        out["wide"] = wide_table(long, years)
+    return out
 
 
 def change_tracker(wide: DataFrame, years: Sequence[int | str], digits: int = 2) -> DataFrame:

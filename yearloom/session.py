@@ -2,14 +2,16 @@
 size-checked broadcasts.
 
 Nothing here reaches into Spark internals: a broadcast is granted only after an
-explicit, bounded row count (``limit(n + 1).count()``), and lineage is cut with
-``DataFrame.checkpoint`` into the directory the session names.
+explicit, bounded row count (``limit(n + 1).count()``) or a bound known by
+construction, and lineage is cut by writing a table into the checkpoint folder
+the session names (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,14 +69,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the session's checkpoint folder and read it back.
-
-    Used for small derived tables (distinct unit pairs, key offsets) that are read
-    more than once, so the fact scan that produced them is not repeated and a lost
-    executor does not force recomputation from the facts.
+    """Cut lineage: write ``df`` as a Parquet table under the session's
+    checkpoint folder and read it back.
+
+    Used for derived tables that are read more than once (distinct unit pairs,
+    factor tables, the rolled-up long table), so the fact scan that produced
+    them is not repeated and a lost executor does not force recomputation from
+    the facts. One write job (``DataFrame.checkpoint`` would compute the plan
+    twice unless cached), and the read-back is an ordinary Parquet scan with
+    statistics for AQE.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/yearloom-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
