@@ -60,8 +60,9 @@ def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible
     dropped."""
     ft = unit_factor_table(pairs, "from_unit", "to_unit", rename_fun, registry, cut_lineage=False)
     if on_inconvertible == "error":
-        msg = F.concat(F.lit("cannot convert '"), F.col("from_unit"), F.lit("' to '"), F.col("to_unit"),
-                       F.lit("' ("), F.col("from_units_unit"), F.lit(" -> "), F.col("to_units_unit"), F.lit(")"))
+        msg = F.concat(F.lit("cannot convert '"), F.coalesce("from_unit", F.lit("NA")), F.lit("' to '"),
+                       F.coalesce("to_unit", F.lit("NA")), F.lit("' ("), F.coalesce("from_units_unit", F.lit("NA")),
+                       F.lit(" -> "), F.coalesce("to_units_unit", F.lit("NA")), F.lit(")"))
         ft = ft.withColumn("factor", F.when(F.col("convertible"), F.col("factor")).otherwise(F.raise_error(msg).cast("double")))
     elif on_inconvertible == "keep":
         ft = ft.where("convertible")
@@ -100,7 +101,7 @@ def convert_rowwise(df: DataFrame, to_unit: Column | str, *, unit_col: str = "un
     to = F.col(to_unit) if isinstance(to_unit, str) else to_unit
     spec = df.withColumn("_to_unit", to)
     pairs = (spec.select(F.col(unit_col).alias("from_unit"), F.col("_to_unit").alias("to_unit"))
-             .where(F.col("to_unit").isNotNull() & ~F.col("to_unit").eqNullSafe(F.col("from_unit"))))
+             .where(F.col("to_unit") != F.col("from_unit")))   # a missing side drops the pair
     pairs, n = _fact_pairs(pairs, max_broadcast_rows)
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
     out = _apply(spec, factors, [(F.col(unit_col), "_cf"), (F.col("_to_unit"), "_ct")], unit_col, value_col,
