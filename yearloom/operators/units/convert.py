@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.algebra import unit_factor_table
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, local_frame, materialize
 
 RenameFun = Callable[[Column], Column]
 
@@ -162,7 +162,7 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
     else:
         rows = sorted({(a, b) for a, b in crosswalk if strict or b is not None}, key=lambda r: (r[0] or "", r[1] or ""))
         bad = _list_violations(rows)
-        xw, n = spark.createDataFrame(rows, "from_unit string, to_unit string"), len(rows)
+        xw, n = local_frame(spark, rows, "from_unit string, to_unit string"), len(rows)
     if bad:
         detail = "; ".join(f"{a} -> {t}" for a, t in bad)
         raise UnitConversionError(f"Supplied from_unit must uniquely map to to_unit: {detail}")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yearloom.session import local_frame
+
 D = Decimal
 
 # Historical-style series map (series -> variable, factor); one
@@ -58,6 +60,8 @@ TEMPLATE = [
 ]
 YEARS = list(range(1995, 2002))
 
+MAP_DDL = ("dataset string, scenario string, region string, series_id string, variable string, "
+           "factor decimal(10,2)")
 MAP_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()), T.StructField("scenario", T.StringType()),
     T.StructField("region", T.StringType()), T.StructField("series_id", T.StringType()),
@@ -97,15 +101,15 @@ def lineitem_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_frame(spark: SparkSession, rows, dataset: str, scenario: str) -> DataFrame:
-    return spark.createDataFrame([(dataset, scenario, "USA", s, v, f) for s, v, f in rows], MAP_SCHEMA)
+    return local_frame(spark, [(dataset, scenario, "USA", s, v, f) for s, v, f in rows], MAP_DDL)
 
 
 def aeo_template_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AEO_TEMPLATE, "variable string, series_template string, factor decimal(10,2)")
+    return local_frame(spark, AEO_TEMPLATE, "variable string, series_template string, factor decimal(10,2)")
 
 
 def template_frame(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else TEMPLATE, "variable string, unit string")
+    return local_frame(spark, rows if rows is not None else TEMPLATE, "variable string, unit string")
 
 
 # --- SQL text for the same dims -------------------------------------------------

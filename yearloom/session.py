@@ -86,6 +86,44 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _sql_literal(v, dtype: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS {dtype})"
+    return f"CAST('{v}' AS {dtype})"
+
+
+def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small literal table (a mapping, template or crosswalk given as rows) as
+    a ``VALUES`` relation: it lives in the plan (LocalRelation), needs no Python
+    worker to read, and its size is known. ``schema`` is ``"name type, ..."``
+    with flat types."""
+    parts, depth, cur = [], 0, ""
+    for ch in schema:
+        depth += ch in "(<"
+        depth -= ch in ")>"
+        if ch == "," and depth == 0:
+            parts.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    parts.append(cur)
+    fields = [f.strip().split(None, 1) for f in parts]
+    names = [n.strip("`") for n, _ in fields]
+    types = [t.strip() for _, t in fields]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    body = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    cols = ", ".join(f"c{i}" for i in range(len(names)))
+    select = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(zip(names, types)))
+    return spark.sql(f"SELECT {select} FROM VALUES {body} AS t({cols})")
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
     return df.limit(max_rows + 1).count() <= max_rows

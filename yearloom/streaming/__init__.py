@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The harmonisation source reads every input whole and has no watermarks,
+windows over event time, state or late data, so there is nothing to express
+with Structured Streaming here. Incremental ingest of newly landed payload
+files is a plain batch read of those files (``sources.readers.read_payload``).
+"""
