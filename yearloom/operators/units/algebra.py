@@ -157,14 +157,38 @@ def _summarize(toks: Column) -> Column:
                     unresolved.alias("unresolved"))
 
 
+_EXPR_CACHE: dict = {}
+
+
+def _cached(kind: str, col: str, lookup: UnitLookup) -> Column:
+    """The resolution expressions are large trees of higher-order functions; they
+    are unresolved (bound by column name), so each is built once per Spark
+    application and registry and reused by every query."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    key = (sc.applicationId if sc else None, kind, col, lookup)
+    hit = _EXPR_CACHE.get(key)
+    if hit is None:
+        hit = _resolved_tokens(F.col(col), lookup.maps()) if kind == "tokens" else _summarize(F.col(col))
+        _EXPR_CACHE[key] = hit
+    return hit
+
+
+def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: UnitLookup) -> DataFrame:
+    """Add, for each ``(expr_col, out_col)``, ``out_col`` = struct<scale, dims,
+    unresolved> of the unit expression in ``expr_col``. Two projections: the token
+    lookup is computed once per row and then referenced (Catalyst does not inline
+    a non-cheap expression that is used several times)."""
+    toks = [_cached("tokens", e, lookup).alias(f"__toks_{o}") for e, o in specs]
+    step = df.select("*", *toks)
+    outs = [_cached("summary", f"__toks_{o}", lookup).alias(o) for _, o in specs]
+    return step.select(*df.columns, *outs)
+
+
 def with_resolved(df: DataFrame, expr_col: str, out_col: str, lookup: UnitLookup) -> DataFrame:
-    """Add ``out_col`` = struct<scale, dims, unresolved> for the unit expression
-    in ``expr_col``. Two projections, so the token lookup is computed once per
-    row and referenced (Catalyst does not inline a non-cheap expression that is
-    used several times)."""
-    tmp = f"__toks_{out_col}"
-    return (df.withColumn(tmp, _resolved_tokens(F.col(expr_col), lookup.maps()))
-              .withColumn(out_col, _summarize(F.col(tmp))).drop(tmp))
+    """``with_resolved_many`` for one column."""
+    return with_resolved_many(df, [(expr_col, out_col)], lookup)
 
 
 def resolve_expression(expr: Column, lookup: UnitLookup) -> Column:
@@ -197,7 +221,7 @@ def unit_factor_table(pairs: DataFrame, from_col: str = "from_unit", to_col: str
     if cut_lineage:
         p = materialize(p)
     p = p.withColumn("_fs", rename_fun(F.col("_f"))).withColumn("_ts", rename_fun(F.col("_t")))
-    p = with_resolved(with_resolved(p, "_fs", "_rf", lookup), "_ts", "_rt", lookup)
+    p = with_resolved_many(p, [("_fs", "_rf"), ("_ts", "_rt")], lookup)
     ok = F.coalesce((F.size("_rf.unresolved") == 0) & (F.size("_rt.unresolved") == 0)
                     & (F.col("_rf.dims") == F.col("_rt.dims")), F.lit(False))
     return p.select(
@@ -213,5 +237,5 @@ def dims_signature(dims: Column) -> Column:
     return F.array_join(F.transform(dims, lambda d: F.concat(d["dim"], F.lit("^"), d["exp"].cast("string"))), " ")
 
 
-__all__ = ["UnitLookup", "unit_lookup", "resolve_expression", "with_resolved", "resolve_unit_expressions", "unit_factor_table",
+__all__ = ["UnitLookup", "unit_lookup", "resolve_expression", "with_resolved", "with_resolved_many", "resolve_unit_expressions", "unit_factor_table",
            "dims_signature"]

@@ -155,10 +155,16 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
         xw = crosswalk.select(F.col(crosswalk.columns[0]).alias("from_unit"), F.col(crosswalk.columns[1]).alias("to_unit"))
         if not strict:
             xw = xw.where(F.col("to_unit").isNotNull())
-        xw, n = _fact_pairs(xw, max_broadcast_rows)
-        if n is None:
+        xw = materialize(xw.distinct())
+        # one small aggregate gives both the size bound and the Q2 verdict
+        per_from = xw.groupBy("from_unit").agg(F.count(F.lit(1)).alias("n"))
+        stats = per_from.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"),
+                             F.count_if(F.col("n") > 1).alias("bad")).first()
+        n = int(stats["pairs"])
+        if n > max_broadcast_rows:
             raise UnitConversionError(f"crosswalk has more than {max_broadcast_rows} distinct pairs")
-        bad = [(r.from_unit, r.targets) for r in crosswalk_violations(xw).limit(20).collect()]
+        bad = ([(r.from_unit, r.targets) for r in crosswalk_violations(xw).limit(20).collect()]
+               if stats["bad"] else [])
     else:
         rows = sorted({(a, b) for a, b in crosswalk if strict or b is not None}, key=lambda r: (r[0] or "", r[1] or ""))
         bad = _list_violations(rows)

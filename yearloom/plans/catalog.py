@@ -646,7 +646,7 @@ def _attached(spark, sf_dir):
     obs, smap, template = flagship_inputs(spark, sf_dir)
     rolled = map_and_rollup(obs, smap)
     tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
-    return materialize(attach_units(rolled, tu))
+    return materialize(attach_units(rolled, tu, template_rows=len(fx.TEMPLATE)))
 
 
 def q_harmonize_flagship(spark, sf_dir):
@@ -805,7 +805,7 @@ def q_coverage_gaps(spark, sf_dir):
     rolled = map_and_rollup(fx.orders_obs(spark, sf_dir), m)
     template = fx.template_frame(spark, COVERAGE_TEMPLATE)
     tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
-    attached = materialize(attach_units(rolled, tu))
+    attached = materialize(attach_units(rolled, tu, template_rows=len(COVERAGE_TEMPLATE)))
     pairs = (attached.where(F.col("emf_units").isNotNull())
              .select(F.col("unit").alias("from_unit"), F.col("emf_units").alias("to_unit")).distinct())
     return coverage_gaps(attached, template, m, unit_factor_table(pairs))

@@ -64,7 +64,8 @@ def template_units_present(template: DataFrame, data: DataFrame, unit_col: str =
     return semi_join(t, data.select("variable"), ["variable"])
 
 
-def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool = False) -> DataFrame:
+def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool = False,
+                 template_rows: int | None = None) -> DataFrame:
     """attach the template unit (J2), drop missing values (P11), relabel.
 
     A template variable without data would only add rows with a missing value,
@@ -73,7 +74,7 @@ def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool
     if literal:
         j = full_outer_join(rolled, template_units, ["variable"])
     else:
-        j = join_dim(rolled, template_units, ["variable"], "left")
+        j = join_dim(rolled, template_units, ["variable"], "left", dim_rows=template_rows)
     j = where_present(j, "value")
     return j.withColumn("unit", relabel_units(F.col("variable"), F.col("unit")))
 
@@ -141,7 +142,9 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
         # data; under the left join from the data it changes nothing, and it
         # would cost a second pass over the facts.
         tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
-    attached = materialize(attach_units(rolled, tu, literal=literal))
+    # the template is a dimension: bound it once (its distinct units are no more)
+    t_rows = template.limit(DEFAULT_BROADCAST_ROWS + 1).count()
+    attached = materialize(attach_units(rolled, tu, literal=literal, template_rows=t_rows))
     converted = convert_to_template(attached, strict=strict)
     long = long_table(converted)
     out = {"long": long, "crosswalk_qa": crosswalk_qa(attached)}
