@@ -116,3 +116,14 @@ def test_input_checks(spark):
         convert_to_single(spark.createDataFrame([(1.0,)], "value double"), "EJ")
     with pytest.raises(UnitConversionError):
         convert_to_single(spark.createDataFrame([(1.0, 2)], "value double, unit int"), "EJ")
+
+
+def test_convert_with_default_targets_u11(spark):
+    from yearloom.plans.harmonize import convert_with_default_targets
+
+    df = spark.createDataFrame([(1, "quads", 2.0, "EJ"), (2, "GW", 3.0, None), (3, "MMmt CO2", 4.0, "Mt CO2/yr")],
+                               "id int, unit string, value double, emf_units string")
+    got = _by_id(convert_with_default_targets(df))
+    assert got[1][0] == "EJ/yr" and math.isclose(got[1][1], 2 * Q_BTU, rel_tol=1e-12)   # display name mapped back
+    assert got[2] == ("GW", 3.0)                                                       # default target: own unit
+    assert got[3] == ("Mt CO2/yr", 4.0)

@@ -110,3 +110,23 @@ def test_key_batches_distributed_numbering(spark):
     ordered = sorted(got)
     assert [r[1] for r in ordered] == list(range(1, 2501))
     assert all(r[2] == (r[1] + 99) // 100 for r in ordered)
+
+
+def test_interpolate_key_column_drops_parameters(spark):
+    from yearloom.functions.text import interpolate_key_column
+
+    df = spark.createDataFrame([("{EIA_pub}.{EIA_scenario}.RESTOFIT5678", "AEO.2020", "REF2020", 1)],
+                               "EIA_template string, EIA_pub string, EIA_scenario string, other int")
+    out = interpolate_key_column(df, {"EIA_pub": "AEO.2021", "EIA_scenario": "REF2021"})
+    assert out.columns == ["other", "EIA_key"]
+    assert out.first().EIA_key == "AEO.2021.REF2021.RESTOFIT5678"
+
+
+def test_catalog_and_template_subset(spark):
+    from yearloom.plans.mapping import VALID_REGIONS, restrict_to_catalog, template_subset
+
+    assert len(VALID_REGIONS) == 51 and VALID_REGIONS[0] == "USA"
+    m = spark.createDataFrame([("REF2020", "USA"), ("REF2020", "XX"), ("ODD", "CA")], "scenario string, region string")
+    assert rows(restrict_to_catalog(m)) == [("REF2020", "USA")]
+    t = spark.createDataFrame([("a", "beta", 1), ("b", "beta", 3), ("c", "alpha", 1)], "variable string, round string, tier int")
+    assert [r.variable for r in template_subset(t).collect()] == ["a"]

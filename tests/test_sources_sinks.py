@@ -70,3 +70,20 @@ def test_sinks_write_na_and_quotes(spark):
     write_csv_quoted(df.where(F.col("variable") == "a"), os.path.join(d, "q"), single_file=True)
     q = [f for f in os.listdir(os.path.join(d, "q")) if f.endswith(".csv")]
     assert open(os.path.join(d, "q", q[0])).read().splitlines()[1] == '"a","1.5"'
+
+
+def test_exports(spark):
+    from yearloom.plans.harmonize import export_change_tracker, export_wide
+
+    wide = spark.createDataFrame([("m2", "s", "USA", "v", "EJ/yr", 1.234, 2.0), ("m1", "s", "USA", "v", "EJ/yr", None, 0.285)],
+                                 "model string, scenario string, region string, variable string, unit string, "
+                                 "`2020` double, `2030` double")
+    d = _tmp()
+    export_wide(wide, os.path.join(d, "wide"))
+    f = [x for x in os.listdir(os.path.join(d, "wide")) if x.endswith(".csv")]
+    lines = open(os.path.join(d, "wide", f[0])).read().splitlines()
+    assert lines[0] == "model,scenario,region,variable,unit,2020,2030" and lines[1].startswith("m1,") and ",NA," in lines[1]
+    export_change_tracker(wide, os.path.join(d, "tsv"), [2030])
+    f = [x for x in os.listdir(os.path.join(d, "tsv")) if x.endswith(".csv")]
+    lines = open(os.path.join(d, "tsv", f[0])).read().splitlines()
+    assert lines[1].split("\t") == ["m1", "s", "USA", "v", "EJ/yr", "0.29"]

@@ -65,6 +65,15 @@ def interpolate_template(template: Column, replacements: Mapping[str, Column | s
     return x
 
 
+def interpolate_key_column(df, replacements: Mapping[str, Column | str], template_col: str = "EIA_template",
+                           out_col: str = "EIA_key", strip_prefix: str = "EIA_"):
+    """L4: write the interpolated key into ``out_col`` and drop the other columns
+    whose name starts with ``strip_prefix`` (the template and its parameters)."""
+    out = df.withColumn(out_col, interpolate_template(F.col(template_col), replacements))
+    strip = [c for c in out.columns if c.startswith(strip_prefix) and c != out_col]
+    return out.drop(*strip)
+
+
 def parse_number_text(c) -> Column:
     """Numeric text with thousands commas -> double; anything else (e.g.
     the below-threshold sentinel ``+``) -> missing. Never raises under ANSI."""

@@ -51,9 +51,8 @@ def drop_by_pattern(df: DataFrame, regex: str | None = None, prefix: str | None
 
 
 def _blank(c: str, dtype) -> Column:
+    """Missing cell: NULL, or NaN for floating columns (text "" is a value)."""
     col = F.col(f"`{c}`")
-    if isinstance(dtype, T.StringType):
-        return col.isNull() | (F.trim(col) == "")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return col.isNull() | F.isnan(col)
     return col.isNull()

@@ -148,7 +148,8 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
 
     A crosswalk given as a list is checked on the driver and needs no pass over
     the facts; a crosswalk DataFrame (possibly derived from the facts) is written
-    once, size-checked and checked in Spark."""
+    once, counted and checked in one small aggregate; beyond the broadcast bound
+    its factors are joined with a shuffle join instead."""
     check_input(df, unit_col, value_col)
     spark = df.sparkSession
     if isinstance(crosswalk, DataFrame):
@@ -162,7 +163,7 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
                              F.count_if(F.col("n") > 1).alias("bad")).first()
         n = int(stats["pairs"])
         if n > max_broadcast_rows:
-            raise UnitConversionError(f"crosswalk has more than {max_broadcast_rows} distinct pairs")
+            n = None          # beyond the bound: the factor join stays a shuffle join
         bad = ([(r.from_unit, r.targets) for r in crosswalk_violations(xw).limit(20).collect()]
                if stats["bad"] else [])
     else:

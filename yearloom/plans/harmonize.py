@@ -23,15 +23,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.functions.unit_names import relabel_units, standardize_unit_names
+from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, map_whole_values, relabel_units,
+                                           standardize_unit_names)
 from yearloom.operators.aggregate import scaled_rollup
 from yearloom.operators.columns import add_constants, round_numeric, where_matches, where_present
 from yearloom.operators.joins import full_outer_join, join_dim, semi_join
 from yearloom.operators.quality import assert_empty, nonmatch, unique_rows
 from yearloom.operators.reshape import pivot_wider, sort_nulls_last, union_by_name
-from yearloom.operators.units.convert import convert_crosswalk
+from yearloom.operators.units.convert import convert_crosswalk, convert_rowwise
 from yearloom.schemas import LONG_COLUMNS, WIDE_ID_COLUMNS
 from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize
+from yearloom.sources.sinks import write_csv, write_tsv
 
 # Source tags (case-insensitive patterns) and the model label each
 # split is published under (None = keep the model column).
@@ -153,6 +155,29 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
     return out
 
 
+def convert_with_default_targets(df: DataFrame, *, target_col: str = "emf_units",
+                                 display_names=TEMPLATE_DISPLAY_NAMES) -> DataFrame:
+    """The table form of conversion. A row without a template unit targets
+    its own unit (L15); units are converted rowwise on their standardised names;
+    resulting names are mapped back to the template's display names (L16)."""
+    target = F.coalesce(F.col(target_col), F.col("unit"))
+    spec = df.withColumn("_target", standardize_unit_names(target)) \
+             .withColumn("unit", standardize_unit_names(F.col("unit")))
+    out = convert_rowwise(spec, F.col("_target"), rename_fun=lambda c: c)
+    return out.withColumn("unit", map_whole_values(F.col("unit"), display_names)).drop("_target")
+
+
+def export_wide(wide: DataFrame, path: str) -> str:
+    """the combined wide table as one CSV, ordered by model, scenario,
+    region, variable; missing cells as NA."""
+    return write_csv(wide, path, order_by=["model", "scenario", "region", "variable"], single_file=True)
+
+
+def export_change_tracker(wide: DataFrame, path: str, years: Sequence[int | str]) -> str:
+    """the rounded change-tracking TSV."""
+    return write_tsv(change_tracker(wide, years), path, single_file=True)
+
+
 def change_tracker(wide: DataFrame, years: Sequence[int | str], digits: int = 2) -> DataFrame:
     """numeric columns rounded (half-up on the decimal value), selected
     years only, ordered by the id columns."""

@@ -22,6 +22,14 @@ from yearloom.operators.reshape import union_by_name
 
 SERIES_MAP_COLUMNS = ["dataset", "scenario", "region", "series_id", "variable", "factor"]
 
+# Core projection scenarios of one edition, and the regions a
+# projection may be requested for (the nation and the 50 state abbreviations).
+VALID_SCENARIOS = ["REF2020", "HIGHMACRO", "LOWMACRO", "HIGHPRICE", "LOWPRICE", "HIGHOGS", "LOWOGS", "HIRENCST",
+                   "LORENCST"]
+VALID_REGIONS = ["USA", "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS",
+                 "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC",
+                 "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY"]
+
 # The default dataset x scenario grid for projection templates.
 DEFAULT_DATASETS = ["AEO.2020", "AEO.2021", "AEO.2022"]
 DEFAULT_SCENARIOS = ["REF2020", "REF2021", "REF2022"]
@@ -101,6 +109,23 @@ def build_series_map(*maps: DataFrame) -> DataFrame:
     return union_by_name(maps).select(*SERIES_MAP_COLUMNS)
 
 
+def restrict_to_catalog(series_map: DataFrame, scenarios: Sequence[str] | None = VALID_SCENARIOS,
+                        regions: Sequence[str] | None = VALID_REGIONS) -> DataFrame:
+    """keep mapping rows whose scenario / region are in the catalogues
+    (``None`` = no restriction on that column)."""
+    out = series_map
+    if scenarios is not None:
+        out = out.where(F.col("scenario").isin(list(scenarios)))
+    if regions is not None:
+        out = out.where(F.col("region").isin(list(regions)))
+    return out
+
+
+def template_subset(template: DataFrame, round_: str = "beta", tiers: Sequence[int] = (1, 2)) -> DataFrame:
+    """Template rows of one review round and the given tiers."""
+    return template.where((F.col("round") == round_) & F.col("tier").isin(list(tiers)))
+
+
 def series_key_batches(series_map: DataFrame, batch_size: int = 100) -> DataFrame:
     """distinct series keys, numbered and cut into request batches."""
     return key_batches(series_map, "series_id", batch_size)
