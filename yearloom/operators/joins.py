@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, row_count_at_most
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", *, null_safe: bool = True,
@@ -64,8 +64,8 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
     """
     keys = list(keys)
     if dim_rows is None:
-        # exact up to the bound; the matched-key set below is never larger
-        dim_rows = dim.limit(max_broadcast_rows + 1).count()
+        # one bound for the dimension; the matched-key set below is never larger
+        dim_rows = max_broadcast_rows if row_count_at_most(dim, max_broadcast_rows) else max_broadcast_rows + 1
     dim_keys = dim.select(*keys).distinct()
     left = join_dim(fact, dim, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
     matched = join_dim(fact.select(*keys), dim_keys, keys, "left_semi", max_broadcast_rows=max_broadcast_rows,

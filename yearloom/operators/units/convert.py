@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.algebra import unit_factor_table
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, local_frame, materialize
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, local_frame, materialize, row_count_at_most
 
 RenameFun = Callable[[Column], Column]
 
@@ -48,10 +48,9 @@ def check_input(df: DataFrame, unit_col: str = "unit", value_col: str = "value")
 def _fact_pairs(pairs: DataFrame, max_broadcast_rows: int) -> tuple[DataFrame, int | None]:
     """Distinct (from, to) pairs taken from a fact table: written once (one
     column-pruned, map-side combined pass over the facts) and counted up to the
-    bound. Returns the table and its row count (None when beyond the bound)."""
+    bound. Returns the table and a proven row bound (None when beyond it)."""
     p = materialize(pairs.distinct())
-    n = p.limit(max_broadcast_rows + 1).count()
-    return p, (n if n <= max_broadcast_rows else None)
+    return p, (max_broadcast_rows if row_count_at_most(p, max_broadcast_rows) else None)
 
 
 def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible: str) -> DataFrame:

@@ -32,7 +32,7 @@ from yearloom.operators.quality import assert_empty, nonmatch, unique_rows
 from yearloom.operators.reshape import pivot_wider, sort_nulls_last, union_by_name
 from yearloom.operators.units.convert import convert_crosswalk, convert_rowwise
 from yearloom.schemas import LONG_COLUMNS, WIDE_ID_COLUMNS
-from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize
+from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize, row_count_at_most
 from yearloom.sources.sinks import write_csv, write_tsv
 
 # Source tags (case-insensitive patterns) and the model label each
@@ -145,7 +145,7 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
         # would cost a second pass over the facts.
         tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
     # the template is a dimension: bound it once (its distinct units are no more)
-    t_rows = template.limit(DEFAULT_BROADCAST_ROWS + 1).count()
+    t_rows = DEFAULT_BROADCAST_ROWS if row_count_at_most(template, DEFAULT_BROADCAST_ROWS) else None
     attached = materialize(attach_units(rolled, tu, literal=literal, template_rows=t_rows))
     converted = convert_to_template(attached, strict=strict)
     long = long_table(converted)

@@ -2,7 +2,7 @@
 size-checked broadcasts.
 
 Nothing here reaches into Spark internals: a broadcast is granted only after an
-explicit, bounded row count (``limit(n + 1).count()``) or a bound known by
+explicit, bounded row count (``offset(n).isEmpty()``) or a bound known by
 construction, and lineage is cut by writing a table into the checkpoint folder
 the session names (``spark.checkpoint.dir``).
 """
@@ -125,16 +125,18 @@ def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows. Skips ``max_rows`` rows and
+    asks for one more: an incremental take over the partitions (no shuffle), so
+    at most ``max_rows + 1`` rows are read."""
+    return df.offset(max_rows).isEmpty()
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
     """Broadcast hint behind a size check.
 
-    ``known_rows`` is for frames built from a bounded driver-side list (the bound is
-    proven by construction). Otherwise the frame is counted up to ``max_rows + 1``
-    rows; beyond the bound it is returned unhinted, and the join falls back to a
+    ``known_rows`` is an upper bound proven elsewhere (a driver-side list, a count
+    already taken). Otherwise at most ``max_rows + 1`` rows are read to decide;
+    beyond the bound the frame is returned unhinted, and the join falls back to a
     shuffle join that AQE may still convert or split for skew at run time.
     """
     if known_rows is not None:
