@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from yearloom.operators.aggregate import first_per_key, group_total_keep_rows, scaled_rollup
+from yearloom.operators.aggregate import first_per_key, group_total_keep_rows
 from yearloom.operators.joins import full_outer_join, full_outer_with_dim, join_dim, semi_join
 from yearloom.plans.harmonize import attach_units, map_and_rollup, template_units_present
 

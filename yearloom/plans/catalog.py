@@ -28,9 +28,9 @@ from yearloom.operators.units.algebra import unit_factor_table
 from yearloom.operators.units.convert import (convert_crosswalk, convert_from_set, convert_rowwise, convert_to_single,
                                               pack_units, unpack_units)
 from yearloom.plans import fixtures as fx
-from yearloom.plans.harmonize import (attach_units, change_tracker, clean_inventory, convert_to_template, crosswalk_qa,
-                                      harmonize, long_table, map_and_rollup, template_units_present, wide_table)
-from yearloom.plans.mapping import build_series_map, clean_mapping, expand_industry_map, instantiate_template, tag_mapping
+from yearloom.plans.harmonize import (attach_units, change_tracker, clean_inventory, crosswalk_qa, harmonize,
+                                      map_and_rollup, template_units_present)
+from yearloom.plans.mapping import build_series_map, clean_mapping, expand_industry_map, instantiate_template
 from yearloom.sources.readers import explode_payload
 from yearloom.session import materialize
 
@@ -988,6 +988,3 @@ ORACLE_SQL: dict[str, str] = {
     "inventory_unpivot": SQL_INVENTORY_UNPIVOT,
     "harmonize_flagship": SQL_HARMONIZE_FLAGSHIP,
 }
-
-# keep unused imports referenced for tools that introspect the catalogue
-_ = (convert_to_template, long_table, wide_table, tag_mapping, clean_inventory, T)
