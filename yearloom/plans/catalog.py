@@ -37,8 +37,17 @@ from yearloom.session import materialize
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table ``name``: resolved once per session (file listing and
+    footer schema), like a catalog table; the tables are immutable inputs."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 def _dbl(df: DataFrame, cols) -> DataFrame:

@@ -72,7 +72,9 @@ MAP_SCHEMA = T.StructType([
 def orders_obs(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """Observations from ``orders``: series 'S.<status>.<priority digit>', year of
     the order date, a unit per priority, value = total price as DECIMAL(18,2)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    from yearloom.plans.catalog import _t
+
+    o = _t(spark, sf_dir, "orders")
     prio = F.substring("o_orderpriority", 1, 1)
     status = F.col("o_orderstatus")
     unit = (F.when(prio == "1", "quadrillion Btu")
@@ -91,7 +93,9 @@ def orders_obs(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
 
 def lineitem_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projection-style observations from ``lineitem``."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    from yearloom.plans.catalog import _t
+
+    li = _t(spark, sf_dir, "lineitem")
     prefix = F.when(F.col("l_linestatus") == "F", "AEO.2020.REF2020.L").otherwise("AEO.2021.REF2021.L")
     return li.select(F.concat(prefix, F.col("l_returnflag")).alias("series_id"),
                      F.col("l_returnflag").alias("name"),
