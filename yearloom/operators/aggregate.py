@@ -81,8 +81,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     """The first whole row per key under a total ``order`` (ascending).
 
     Implemented as ``min`` over a struct whose leading fields are the order
-    columns - a partial+final hash aggregate - instead of ``row_number`` over a
-    window, which sorts each whole group inside one task."""
+    columns instead of ``row_number`` over a window, which sorts each whole group
+    inside one task. A struct buffer is not hash-aggregatable, so Spark plans a
+    sort-based aggregate, but still partial + final: each map task keeps one row
+    per key before the shuffle, so a hot key never reaches one task whole."""
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     rest = [c for c in df.columns if c not in keys]

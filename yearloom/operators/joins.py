@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, row_count_at_most
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", *, null_safe: bool = True,
@@ -57,7 +57,8 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
 
     1. fact LEFT JOIN broadcast(dim)                       (map-side, one pass)
     2. keys of dim that occur in the fact: fact keys semi-joined to the broadcast
-       dim keys, then distinct - bounded by the dimension's key count
+       dim keys, then distinct - bounded by the dimension's key count, written
+       once (second and last pass over the fact)
     3. dim rows whose key is not among them (anti join against that bounded set)
     4. union by name; columns missing on a side are NULL.
     Missing keys match each other (the reference's join semantics).
@@ -68,8 +69,10 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
         dim_rows = max_broadcast_rows if row_count_at_most(dim, max_broadcast_rows) else max_broadcast_rows + 1
     dim_keys = dim.select(*keys).distinct()
     left = join_dim(fact, dim, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
-    matched = join_dim(fact.select(*keys), dim_keys, keys, "left_semi", max_broadcast_rows=max_broadcast_rows,
-                       dim_rows=dim_rows).distinct()
+    # Written once: it is bounded by the dimension, and Catalyst may push the anti
+    # join below a UNION inside ``dim`` and copy this subtree (a fact scan) per branch.
+    matched = materialize(join_dim(fact.select(*keys), dim_keys, keys, "left_semi",
+                                   max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows).distinct())
     dim_only = join_dim(dim, matched, keys, "left_anti", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
     return left.unionByName(dim_only, allowMissingColumns=True)
 
