@@ -19,6 +19,7 @@ from yearloom.operators.columns import (add_constants, drop_by_pattern, drop_na_
                                         remove_empty, where_not_blank)
 from yearloom.operators.joins import cross_with_bounded, expand_literal_grid, join_dim, parameter_grid
 from yearloom.operators.reshape import union_by_name
+from yearloom.session import materialize
 
 SERIES_MAP_COLUMNS = ["dataset", "scenario", "region", "series_id", "variable", "factor"]
 
@@ -54,6 +55,8 @@ def expand_industry_map(industry_dim: DataFrame, industry_var_dim: DataFrame, ba
     F1); a missing ``EIA_subsector`` or category gives missing text per R's
     if_else rule."""
     ind = where_not_blank(industry_dim, "EMF_industry_name")
+    # used twice (the subcategory list and the attribute join): written once
+    industry_var_dim = materialize(industry_var_dim)
     subcats = industry_var_dim.select("EMF_subcategory")
     grid = cross_with_bounded(ind, subcats, max_rows=max_subcategories)
     attrs = industry_var_dim.drop(*[c for c in industry_var_dim.columns if c in ind.columns and c != "EMF_subcategory"])
