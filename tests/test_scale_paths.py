@@ -67,3 +67,18 @@ def test_key_batches_many_partitions(spark):
     keys = _skewed(spark).select("g")
     got = sorted(key_batches(keys, "g", 10, partitions=5).collect())
     assert [r.key_index for r in got] == list(range(1, 52))
+
+
+def test_salted_fallback_joins(spark):
+    df = _skewed(spark)
+    a = rows(group_total_keep_rows(df, ["g"], max_broadcast_rows=1, salt_buckets=8).select("id", "group_total"))
+    b = rows(group_total_keep_rows(df, ["g"]).select("id", "group_total"))
+    assert a == b
+    fact = df.select("g", "id")
+    dim = spark.range(60).select(F.when(F.col("id") == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), F.col("id").cast("string"))).alias("g"), F.col("id").alias("d"))
+    salted = join_dim(fact, dim, ["g"], "left", max_broadcast_rows=1, salt_buckets=8)
+    assert salted.columns == ["g", "id", "d"]
+    assert rows(salted.select("id", "d")) == rows(join_dim(fact, dim, ["g"], "left").select("id", "d"))
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan

@@ -51,20 +51,27 @@ def scaled_rollup(df: DataFrame, keys: Sequence[str] = ROLLUP_KEYS, value_col: s
 
 
 def group_total_keep_rows(df: DataFrame, keys: Sequence[str], value_col: str = "value", out_col: str = "group_total",
-                          *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                          *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """The group's (strict) total attached to every row.
 
     Written as aggregate + join back instead of ``sum().over(partitionBy)``: the
     window would put a hot group into one task, while the aggregate combines it
     map-side. The totals are broadcast when they fit the bound; otherwise the join
     is a shuffle join whose skewed partitions AQE splits (the totals side has one
-    row per key, so replicating it for a split is cheap)."""
+    row per key, so replicating it for a split is cheap). ``salt_buckets > 1``
+    salts that join explicitly instead (see ``joins.salted_join``)."""
     keys = list(keys)
     dtype = df.schema[value_col].dataType
     totals = df.groupBy(*keys).agg(strict_sum(F.col(value_col), dtype).alias(out_col))
     totals = materialize(totals)
     t = totals.select(*[F.col(k).alias(f"__t_{k}") for k in keys], out_col)
-    t = broadcast_checked(t, max_broadcast_rows)
+    hinted = broadcast_checked(t, max_broadcast_rows)
+    if hinted is t and salt_buckets > 1:
+        from yearloom.operators.joins import salted_join
+
+        out = salted_join(df, t, [(k, f"__t_{k}") for k in keys], "left", salt_buckets)
+        return out.drop(*[f"__t_{k}" for k in keys])
+    t = hinted
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__t_{k}"))

@@ -17,14 +17,37 @@ from pyspark.sql import functions as F
 from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
 
 
+def salted_join(fact: DataFrame, dim: DataFrame, cond_keys: Sequence[tuple[str, str]], how: str,
+                buckets: int, seed: int = 17) -> DataFrame:
+    """Shuffle join that spreads every key of ``fact`` over ``buckets`` tasks:
+    each fact row gets a random salt, each ``dim`` row is replicated once per salt,
+    and the join is on (keys, salt). For a dimension-like side with one row (or
+    few) per key, a key holding a third of the fact rows is split ``buckets`` ways
+    without relying on AQE. Any salt assignment gives the same result, so a
+    recomputed task may draw different salts."""
+    f = fact.withColumn("__salt", F.floor(F.rand(seed) * buckets).cast("int"))
+    d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    cond = f["__salt"] == d["__salt"]
+    for fk, dk in cond_keys:
+        cond = cond & f[fk].eqNullSafe(d[dk])
+    return f.join(d, cond, how).drop(f["__salt"]).drop(d["__salt"])
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", *, null_safe: bool = True,
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None) -> DataFrame:
+             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None,
+             salt_buckets: int = 0) -> DataFrame:
     """Fact x dimension join (J1' inner, J2' left, J4-J8 left, J3 semi) with the
     dimension broadcast when its size is proven small.
 
-    Key columns appear once in the output (taken from the fact side)."""
+    Beyond the bound it is a shuffle join (AQE splits skewed partitions); with
+    ``salt_buckets > 1`` it is a salted join instead (``salted_join``) for inner
+    and left joins. Key columns appear once in the output (from the fact side)."""
     keys = list(keys)
     d = broadcast_checked(dim, max_broadcast_rows, known_rows=dim_rows)
+    if salt_buckets > 1 and d is dim and how in ("inner", "left", "left_outer", "leftouter"):
+        dr = dim.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in dim.columns if c not in keys])
+        out = salted_join(fact, dr, [(k, f"__k_{k}") for k in keys], how, salt_buckets)
+        return out.drop(*[f"__k_{k}" for k in keys])
     if not null_safe:
         return fact.join(d, keys, how)
     dr = d.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in dim.columns if c not in keys])
