@@ -131,3 +131,11 @@ def test_coverage_gaps(spark):
     got = rows(coverage_gaps(data, template, smap, pairs))
     assert got == [("template_variable_unmapped", "V2"), ("unit_not_convertible", "GW -> EJ/yr"),
                    ("variable_not_in_template", "V9")]
+
+
+def test_frequency_violations_t14(spark):
+    from yearloom.operators.quality import frequency_violations
+
+    obs = spark.createDataFrame([("STEO.GDPQXUS", 2020, 1.0), ("STEO.GDPQXUS", 2020, 2.0), ("X.A", 2020, 3.0)],
+                                "series_id string, year int, value double")
+    assert rows(frequency_violations(obs)) == [("STEO.GDPQXUS", 2020, 2)]

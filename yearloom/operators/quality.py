@@ -34,6 +34,12 @@ def unique_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return duplicate_groups(df, cols)
 
 
+def frequency_violations(obs: DataFrame, keys: Sequence[str] = ("series_id", "year")) -> DataFrame:
+    """Series with more than one observation in a year (a sub-annual series
+    whose points the roll-up would add up)."""
+    return duplicate_groups(obs, list(keys))
+
+
 def unit_map_violations(crosswalk: DataFrame, from_col: str = "from_unit", to_col: str = "to_unit") -> DataFrame:
     """Q2: from-units mapping to more than one target; a missing target counts."""
     return crosswalk_violations(crosswalk, from_col, to_col)
