@@ -64,7 +64,7 @@ def unit_differences(df: DataFrame, benchmark: DataFrame, comparison_col: str =
 def warn_unit_differences(df: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """Q5: Q4 plus a Python warning when there is any difference."""
     diff = unit_differences(df, benchmark, **kw)
-    if diff.limit(1).count():
+    if not diff.isEmpty():
         warnings.warn("variable/unit combinations differ from the template", stacklevel=2)
     return diff
 

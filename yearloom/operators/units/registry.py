@@ -218,15 +218,6 @@ def build_unit_table(defs: list[UnitDef], *, prefixes=SI_PREFIXES) -> dict[str,
     return table
 
 
-def unit_table(variant: bool = False) -> dict[str, tuple[str, float, dict]]:
-    defs = BASE_UNITS + (VARIANT_UNITS if variant else HARMONIZATION_UNITS)
-    table = build_unit_table(defs)
-    if variant:
-        for name, (scale, dims) in VARIANT_OVERRIDES.items():
-            table[name] = ("symbol", scale, dims)
-    return table
-
-
 def registry_rows(variant: bool = False, extra: list[UnitDef] | None = None) -> list[tuple]:
     defs = BASE_UNITS + (VARIANT_UNITS if variant else HARMONIZATION_UNITS) + list(extra or [])
     table = build_unit_table(defs)
