@@ -9,6 +9,7 @@ generated by the Spark code), so the conversion checks are independent.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -37,16 +38,17 @@ from yearloom.session import materialize
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLES: dict = {}
+_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table ``name``: resolved once per session (file listing and
     footer schema), like a catalog table; the tables are immutable inputs."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    df = _TABLES.get(key)
+    per_session = _TABLES.setdefault(spark, {})
+    key = (sf_dir, name)
+    df = per_session.get(key)
     if df is None:
-        df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = per_session[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df
 
 
