@@ -133,12 +133,15 @@ def round_numeric(df: DataFrame, digits: int = 2, exact_precision: int = 38, exa
     """P16 + L12: round every numeric column, half-up on the decimal value.
 
     Doubles are taken to ``DECIMAL(exact_precision, exact_scale)`` first so ties
-    are decided on the decimal text (0.285 -> 0.29), then returned as double."""
+    are decided on the decimal text (0.285 -> 0.29), then returned as double.
+    Values outside that decimal range (and NaN) fall back to rounding the double
+    instead of failing under ANSI mode."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(c.cast(T.DecimalType(exact_precision, exact_scale)), digits).cast("double").alias(f.name))
+            exact = F.round(c.try_cast(T.DecimalType(exact_precision, exact_scale)), digits).cast("double")
+            out.append(F.coalesce(exact, F.round(c, digits)).alias(f.name))
         elif isinstance(f.dataType, T.DecimalType):
             out.append(F.round(c, digits).alias(f.name))
         else:
