@@ -24,13 +24,16 @@ def _normalise_strings(df: DataFrame, blank_as: str) -> DataFrame:
     return df.select(*cols)
 
 
-def read_mapping_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_mapping_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                     multi_line: bool = False) -> DataFrame:
     """S1 (``readr::read_csv``): header row, ``NA`` and blank -> missing.
 
     Without a schema every column is read as text and ``Factor``-like numeric
     columns are cast with ``try_cast`` (a bad cell becomes missing, ANSI-safe).
-    A UTF-8 byte-order mark is handled by the reader."""
-    r = spark.read.option("header", True).option("nullValue", "NA").option("multiLine", True).option("escape", '"')
+    A UTF-8 byte-order mark is handled by the reader. ``multi_line`` only for
+    files with line breaks inside quoted cells (such a file is read by one task)."""
+    r = (spark.read.option("header", True).option("nullValue", "NA").option("multiLine", multi_line)
+         .option("escape", '"'))
     if schema is not None:
         df = r.schema(schema).csv(path)
     else:
@@ -41,9 +44,10 @@ def read_mapping_csv(spark: SparkSession, path: str, schema: T.StructType | str
     return _normalise_strings(df, "null")
 
 
-def read_base_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_base_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                  multi_line: bool = False) -> DataFrame:
     """S2 (``read.csv``): blank text cells stay ``""`` so ``!= ""`` tests behave."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
     df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
     return _normalise_strings(df, "blank")
