@@ -22,11 +22,13 @@ DEFAULT_BROADCAST_ROWS = 50_000
 
 
 def build_session(master: str = "local[8]", app: str = "yearloom", shuffle_partitions: int = 8,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, max_partition_bytes: str | None = None) -> SparkSession:
     """A session configured the way the library expects (AQE on, UTC, no UI).
 
-    On a cluster pass the cluster master and a shuffle-partition count sized to
-    the data (roughly input bytes / 128 MiB for the fact scans).
+    On a cluster pass the cluster master, a shuffle-partition count sized to the
+    partial-aggregate output (groups, not rows: AQE coalesces what is left over)
+    and, for very large scans, ``max_partition_bytes`` (e.g. ``"256m"``) so each
+    scan task reads a few row groups.
     """
     b = (
         SparkSession.builder.master(master).appName(app)
@@ -39,6 +41,8 @@ def build_session(master: str = "local[8]", app: str = "yearloom", shuffle_parti
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
+    if max_partition_bytes:
+        b = b.config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
