@@ -87,3 +87,12 @@ def test_exports(spark):
     f = [x for x in os.listdir(os.path.join(d, "tsv")) if x.endswith(".csv")]
     lines = open(os.path.join(d, "tsv", f[0])).read().splitlines()
     assert lines[1].split("\t") == ["m1", "s", "USA", "v", "EJ/yr", "0.29"]
+
+
+def test_payload_from_parquet(spark):
+    d = _tmp()
+    p = spark.createDataFrame([("A", "a", "GW", [(2020, 1.0), (2021, None)])],
+                              "series_id string, name string, units string, data array<struct<year:int,value:double>>")
+    p.write.parquet(os.path.join(d, "landed"))
+    got = rows(read_payload(spark, os.path.join(d, "landed"), fmt="parquet"))
+    assert got == [("A", "a", 2020, "GW", 1.0), ("A", "a", 2021, "GW", None)]

@@ -135,3 +135,20 @@ def test_alt_normaliser_and_whole_value_maps(spark):
     assert disp[3] == "Mt CO2/yr" and disp[1] == "quads"
     src = [r[0] for r in df.select(map_whole_values(F.col("u"), SOURCE_UNIT_ALIASES)).collect()]
     assert src[3] == "MMTCO2e"
+
+
+def test_factor_algebra_is_consistent(spark):
+    """Property over registry units of the same dimension: a->b times b->a is 1,
+    and a->b times b->c equals a->c."""
+    import random
+
+    energy = ["Btu", "MMBtu", "kWh", "GJ", "EJ", "barrelnew", "cubic_feet", "short_tons_coal", "megawatthour", "TJ"]
+    money = ["cent", "dollar", "US_2012_Dollar", "US_2019_Dollar", "US_2021_cent"]
+    rnd = random.Random(7)
+    triples = [tuple(rnd.sample(group, 3)) for group in (energy, money) for _ in range(6)]
+    pairs = {(a, b) for t in triples for a, b in ((t[0], t[1]), (t[1], t[0]), (t[1], t[2]), (t[0], t[2]))}
+    df = spark.createDataFrame(sorted(pairs), "from_unit string, to_unit string")
+    f = {(r.from_unit, r.to_unit): r.factor for r in unit_factor_table(df, rename_fun=lambda c: c).collect()}
+    for a, b, c in triples:
+        assert math.isclose(f[(a, b)] * f[(b, a)], 1.0, rel_tol=1e-12)
+        assert math.isclose(f[(a, b)] * f[(b, c)], f[(a, c)], rel_tol=1e-12)
