@@ -11,6 +11,8 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -46,6 +48,8 @@ def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
+    rel = con.sql(oracle_sql()[name])
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(dcols) == cols
