@@ -55,8 +55,9 @@ def _fact_pairs(pairs: DataFrame, max_broadcast_rows: int) -> tuple[DataFrame, i
 
 def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible: str) -> DataFrame:
     """Factor table for small distinct pairs (already a literal or a written
-    table); inconvertible pairs raise (at once: the table is written here) or are
-    dropped."""
+    table). Inconvertible pairs raise - at once: the table is written here so the
+    error surfaces when the conversion is built - or are dropped; then there is
+    nothing to fail fast and the few rows are computed inside the broadcast."""
     ft = unit_factor_table(pairs, "from_unit", "to_unit", rename_fun, registry, cut_lineage=False)
     if on_inconvertible == "error":
         msg = F.concat(F.lit("cannot convert '"), F.coalesce("from_unit", F.lit("NA")), F.lit("' to '"),
@@ -64,7 +65,7 @@ def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible
                        F.lit(" -> "), F.coalesce("to_units_unit", F.lit("NA")), F.lit(")"))
         ft = ft.withColumn("factor", F.when(F.col("convertible"), F.col("factor")).otherwise(F.raise_error(msg).cast("double")))
     elif on_inconvertible == "keep":
-        ft = ft.where("convertible")
+        return ft.where("convertible").select("from_unit", "to_unit", "factor")
     else:
         raise ValueError("on_inconvertible must be 'error' or 'keep'")
     return materialize(ft.select("from_unit", "to_unit", "factor"))
