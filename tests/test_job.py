@@ -44,8 +44,8 @@ def test_run_job_end_to_end(spark):
     d = tempfile.mkdtemp(prefix="yearloom-job-")
     pay, tpl = _write_inputs(d)
     spec = JobSpec(
-        tagged_mappings=[(str(FIXTURES / "STEO_mapping.csv"), "EIA_STEO", "Ref"),
-                         (str(FIXTURES / "Historical_mapping.csv"), "EIAHistoric", "Historic")],
+        tagged_mappings=[(str(FIXTURES / "mapping_short_term.csv"), "EIA_STEO", "Ref"),
+                         (str(FIXTURES / "mapping_historical.csv"), "EIAHistoric", "Historic")],
         template_path=tpl, output_dir=os.path.join(d, "out"), payload_path=pay, tracker_years=[2020, 2021])
     # the same source unit feeds a template variable and a variable outside the
     # template: two targets, one missing -> error in strict mode (trap T9)

@@ -17,9 +17,9 @@ def _clean(spark, name):
 
 
 def test_clean_steo_mapping(spark):
-    raw = read_mapping_csv(spark, str(FIXTURES / "STEO_mapping.csv"))
+    raw = read_mapping_csv(spark, str(FIXTURES / "mapping_short_term.csv"))
     assert raw.columns[0] == "Variable" and raw.count() == 37       # byte-order mark handled
-    df = _clean(spark, "STEO_mapping.csv")
+    df = _clean(spark, "mapping_short_term.csv")
     assert df.columns == ["variable", "series_name", "series_id", "factor"]
     got = df.collect()
     assert len(got) == 31
@@ -28,7 +28,7 @@ def test_clean_steo_mapping(spark):
 
 
 def test_clean_historical_mapping(spark):
-    got = _clean(spark, "Historical_mapping.csv").collect()
+    got = _clean(spark, "mapping_historical.csv").collect()
     assert len(got) == 61
     assert len({r.variable for r in got}) == 49 and len({r.series_id for r in got}) == 48
     assert Counter(r.factor for r in got) == {1.0: 55, -1.0: 6}
@@ -37,8 +37,8 @@ def test_clean_historical_mapping(spark):
 
 
 def test_tag_and_union(spark):
-    steo = tag_mapping(_clean(spark, "STEO_mapping.csv"), "EIA_STEO", "Ref")
-    hist = tag_mapping(_clean(spark, "Historical_mapping.csv"), "EIAHistoric", "Historic")
+    steo = tag_mapping(_clean(spark, "mapping_short_term.csv"), "EIA_STEO", "Ref")
+    hist = tag_mapping(_clean(spark, "mapping_historical.csv"), "EIAHistoric", "Historic")
     m = build_series_map(steo, hist)
     assert m.columns == ["dataset", "scenario", "region", "series_id", "variable", "factor"]
     assert m.count() == 92

@@ -64,7 +64,7 @@ def test_sort_nulls_last(spark):
 
 
 def test_inventory_golden_cells(spark):
-    raw = read_base_csv(spark, str(FIXTURES / "EPA_GHGI.csv"))
+    raw = read_base_csv(spark, str(FIXTURES / "inventory_wide.csv"))
     years = [str(y) for y in range(1990, 2021)]
     assert raw.count() == 56
     long = pivot_longer(raw.drop("model", "scenario"), ["variable", "region", "unit"], years, "year", "cell")

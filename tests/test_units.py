@@ -12,7 +12,7 @@ from yearloom.functions.unit_names import (SOURCE_UNIT_ALIASES, TEMPLATE_DISPLAY
 from yearloom.operators.units.algebra import resolve_unit_expressions, unit_factor_table, unit_lookup
 from yearloom.operators.units.registry import UnitDef, registry_rows, unit_registry
 
-GOLDEN = list(csv.DictReader(open(FIXTURES / "unit_conv_distinct_crosswalk.csv")))
+GOLDEN = list(csv.DictReader(open(FIXTURES / "unit_crosswalk_golden.csv")))
 
 # Factor column of the golden table (10 significant digits), derived from the
 # unit definitions with Btu = 1055.05585262 J.
