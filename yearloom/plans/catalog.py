@@ -57,7 +57,7 @@ def _dbl(df: DataFrame, cols) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The 28 unit pairs of the reference's conversion QA file, in
+# The 28 published unit pairs of the conversion QA crosswalk, in
 # its order (from-unit, template unit).
 # ---------------------------------------------------------------------------
 GOLDEN_PAIRS = [
