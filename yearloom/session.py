@@ -84,12 +84,19 @@ def materialize(df: DataFrame) -> DataFrame:
     statistics for AQE.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/yearloom-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application's lineage-cut tables, under the checkpoint
+    folder: ``<spark.checkpoint.dir>/yearloom-<application id>``. It can be
+    removed as a whole once the application's outputs are written."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/yearloom-{spark.sparkContext.applicationId}"
+
+
 def _sql_literal(v, dtype: str) -> str:
     if v is None:
         return f"CAST(NULL AS {dtype})"
