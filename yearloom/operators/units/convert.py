@@ -139,7 +139,7 @@ def _list_violations(rows) -> list[tuple[str, list]]:
 def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str, str | None]], *, unit_col: str = "unit",
                       value_col: str = "value", rename_fun: RenameFun = standardize_unit_names,
                       registry=None, strict: bool = True, on_inconvertible: str = "error",
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, cut_lineage: bool = True) -> DataFrame:
     """Convert by a crosswalk of (from, to) pairs.
 
     ``strict`` keeps the reference rule that a from-unit with two targets - a
@@ -149,14 +149,16 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
     A crosswalk given as a list is checked on the driver and needs no pass over
     the facts; a crosswalk DataFrame (possibly derived from the facts) is written
     once, counted and checked in one small aggregate; beyond the broadcast bound
-    its factors are joined with a shuffle join instead."""
+    its factors are joined with a shuffle join instead. ``cut_lineage=False``
+    skips writing the distinct pairs when the crosswalk already comes from a
+    written (small) table."""
     check_input(df, unit_col, value_col)
     spark = df.sparkSession
     if isinstance(crosswalk, DataFrame):
         xw = crosswalk.select(F.col(crosswalk.columns[0]).alias("from_unit"), F.col(crosswalk.columns[1]).alias("to_unit"))
         if not strict:
             xw = xw.where(F.col("to_unit").isNotNull())
-        xw = materialize(xw.distinct())
+        xw = materialize(xw.distinct()) if cut_lineage else xw.distinct()
         # one small aggregate gives both the size bound and the Q2 verdict
         per_from = xw.groupBy("from_unit").agg(F.count(F.lit(1)).alias("n"))
         stats = per_from.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"),

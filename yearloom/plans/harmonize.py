@@ -81,11 +81,14 @@ def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool
     return j.withColumn("unit", relabel_units(F.col("variable"), F.col("unit")))
 
 
-def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = True) -> DataFrame:
+def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = True, df_is_written: bool = False
+                        ) -> DataFrame:
     """convert each row to its template unit with the data's own crosswalk
-    (U7), then require every row with a template unit to be in it (Q3)."""
+    (U7), then require every row with a template unit to be in it (Q3).
+    ``df_is_written``: ``df`` is already a written table, so its crosswalk needs
+    no lineage cut of its own."""
     xw = df.select(F.col("unit").alias("from_unit"), F.col("emf_units").alias("to_unit"))
-    out = materialize(convert_crosswalk(df, xw, strict=strict))
+    out = materialize(convert_crosswalk(df, xw, strict=strict, cut_lineage=not df_is_written))
     if check:
         assert_empty(nonmatch(out), "rows not in the template unit")
     return out
@@ -147,7 +150,7 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
     # the template is a dimension: bound it once (its distinct units are no more)
     t_rows = DEFAULT_BROADCAST_ROWS if row_count_at_most(template, DEFAULT_BROADCAST_ROWS) else None
     attached = materialize(attach_units(rolled, tu, literal=literal, template_rows=t_rows))
-    converted = convert_to_template(attached, strict=strict)
+    converted = convert_to_template(attached, strict=strict, df_is_written=True)
     long = long_table(converted)
     out = {"long": long, "crosswalk_qa": crosswalk_qa(attached)}
     if build_wide:
