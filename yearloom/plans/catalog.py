@@ -141,7 +141,8 @@ RELABEL_SQL = """regexp_replace(
   'barrels?', 'barrelnew', 'g')"""
 
 
-def relabel_sql(variable: str, unit: str) -> str:
+def relabel_sql(variable: str, unit: str) -> tuple[str, str, str]:
+    """The three CASE steps of rules R1-R3 (SQL side); R4 and R5 are RELABEL_SQL."""
     u1 = f"CASE WHEN {unit} = 'million barrels per day' THEN 'million barrels' ELSE {unit} END"
     u2 = f"CASE WHEN u1 = 'billion cubic feet per day' THEN 'billion cubic_feet' ELSE u1 END"
     u3 = ("CASE WHEN coalesce(contains(variable, 'Emissions|CO2') AND u2 = 'million metric tons', false) "
