@@ -82,3 +82,5 @@ def test_salted_fallback_joins(spark):
     assert rows(salted.select("id", "d")) == rows(join_dim(fact, dim, ["g"], "left").select("id", "d"))
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan
+    fo = rows(full_outer_with_dim(fact, dim, ["g"], max_broadcast_rows=1, salt_buckets=4).select("g", "id", "d"))
+    assert fo == rows(full_outer_join(fact, dim, ["g"]).select("g", "id", "d"))

@@ -72,7 +72,8 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_bro
 
 
 def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None) -> DataFrame:
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None,
+                        salt_buckets: int = 0) -> DataFrame:
     """J1 / J2 faithful full outer join of a large fact table with a small dimension.
 
     Spark ignores a broadcast hint on FULL OUTER and would shuffle the whole fact
@@ -84,14 +85,16 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
        once (second and last pass over the fact)
     3. dim rows whose key is not among them (anti join against that bounded set)
     4. union by name; columns missing on a side are NULL.
-    Missing keys match each other (the reference's join semantics).
+    Missing keys match each other (the reference's join semantics). Beyond the
+    bound step 1 is a shuffle join, salted with ``salt_buckets > 1``.
     """
     keys = list(keys)
     if dim_rows is None:
         # one bound for the dimension; the matched-key set below is never larger
         dim_rows = max_broadcast_rows if row_count_at_most(dim, max_broadcast_rows) else max_broadcast_rows + 1
     dim_keys = dim.select(*keys).distinct()
-    left = join_dim(fact, dim, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
+    left = join_dim(fact, dim, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows,
+                    salt_buckets=salt_buckets)
     # Written once: it is bounded by the dimension, and Catalyst may push the anti
     # join below a UNION inside ``dim`` and copy this subtree (a fact scan) per branch.
     matched = materialize(join_dim(fact.select(*keys), dim_keys, keys, "left_semi",
