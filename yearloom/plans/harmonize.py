@@ -45,7 +45,7 @@ SOURCE_SPLITS = [
 
 
 def map_and_rollup(obs: DataFrame, series_map: DataFrame, *, literal: bool = False,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """observations x series map, ``value * factor`` summed per
     (dataset, scenario, variable, region, unit, year).
 
@@ -56,7 +56,8 @@ def map_and_rollup(obs: DataFrame, series_map: DataFrame, *, literal: bool = Fal
     if literal:
         joined = full_outer_join(obs, series_map, ["series_id"])
     else:
-        joined = join_dim(obs, series_map, ["series_id"], "inner", max_broadcast_rows=max_broadcast_rows)
+        joined = join_dim(obs, series_map, ["series_id"], "inner", max_broadcast_rows=max_broadcast_rows,
+                          salt_buckets=salt_buckets)
     return scaled_rollup(joined)
 
 
@@ -132,14 +133,16 @@ def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_uni
 
 
 def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, years: Sequence[int] | None = None,
-              literal: bool = False, strict: bool = True, build_wide: bool = True) -> dict[str, DataFrame]:
+              literal: bool = False, strict: bool = True, build_wide: bool = True,
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> dict[str, DataFrame]:
     """The whole job (F7-F12): returns ``long``, ``crosswalk_qa`` and (unless
     ``build_wide=False``) ``wide``.
 
     Jobs: one pass over the facts (scan, broadcast map join, partial aggregate)
     writing the attached long table; small jobs for the crosswalk, its factors
     and the conversion; conformance and uniqueness checks on written tables."""
-    rolled = map_and_rollup(obs, series_map, literal=literal)
+    rolled = map_and_rollup(obs, series_map, literal=literal, max_broadcast_rows=max_broadcast_rows,
+                            salt_buckets=salt_buckets)
     if literal:
         tu = template_units_present(template, rolled)
     else:

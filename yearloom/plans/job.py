@@ -40,6 +40,8 @@ class JobSpec:
     tracker_years: Sequence[int] = field(default_factory=lambda: [2020, 2030, 2040])
     start_year: int | None = None
     strict: bool = True        # a unit with a template target and a missing one is an error (False: keep it)
+    max_broadcast_rows: int = 50_000   # series-map rows up to which the map is broadcast
+    salt_buckets: int = 0              # > 1: salt the map join when the map is beyond the bound
 
 
 def load_series_map(spark: SparkSession, spec: JobSpec) -> DataFrame:
@@ -68,7 +70,8 @@ def run_job(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     series_map = load_series_map(spark, spec)
     obs = load_observations(spark, spec)
     template = read_template(spark, spec.template_path, "parquet" if spec.template_path.endswith(".parquet") else "csv")
-    result = harmonize(obs, series_map, template.select("variable", "unit"), years=spec.years, strict=spec.strict)
+    result = harmonize(obs, series_map, template.select("variable", "unit"), years=spec.years, strict=spec.strict,
+                       max_broadcast_rows=spec.max_broadcast_rows, salt_buckets=spec.salt_buckets)
     out = spec.output_dir.rstrip("/")
     paths = {
         "wide_csv": export_wide(result["wide"], f"{out}/wide_csv"),
