@@ -23,11 +23,12 @@ from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, UNIT_ALIASES,
 from yearloom.operators.aggregate import first_per_key, group_total_keep_rows, key_batches, scaled_rollup
 from yearloom.operators.columns import where_matches
 from yearloom.operators.joins import full_outer_with_dim, join_dim
-from yearloom.operators.quality import coverage_gaps, nonmatch, unique_rows, unit_differences, unit_map_violations
+from yearloom.operators.quality import (coverage_gaps, frequency_violations, nonmatch, unique_rows, unit_differences,
+                                       unit_map_violations)
 from yearloom.operators.reshape import pivot_longer, pivot_wider, union_by_name
 from yearloom.operators.units.algebra import unit_factor_table
 from yearloom.operators.units.convert import (convert_crosswalk, convert_from_set, convert_rowwise, convert_to_single,
-                                              pack_units, unpack_units)
+                                              convert_value_columns, pack_units, unpack_units)
 from yearloom.plans import fixtures as fx
 from yearloom.plans.harmonize import (attach_units, change_tracker, clean_inventory, crosswalk_qa, harmonize,
                                       map_and_rollup, template_units_present)
@@ -611,6 +612,40 @@ def q_convert_crosswalk(spark, sf_dir):
 SQL_CONVERT_CROSSWALK = _convert_sql(_line_units_sql(), "s.unit = f.from_unit", pairs=_LINE_PAIRS)
 
 
+def _value_column_spec(df):
+    return df.withColumn("to_unit", F.when(F.col("l_linenumber") == 7, F.lit("EJ/yr"))
+                         .when(F.col("unit") == "GW", F.lit("GW"))
+                         .when(F.col("unit") == "million metric tons CO2", F.lit("Mt CO2/yr"))
+                         .otherwise(F.lit("EJ/yr")))
+
+
+def q_convert_value_columns(spark, sf_dir):
+    """A converted value column next to the original; same unit -> factor 1,
+    an inconvertible pair (line 7 asks GW or CO2 in EJ/yr) -> missing."""
+    df = _value_column_spec(_line_units(spark, sf_dir))
+    return convert_value_columns(df, "value", "unit", "to_unit", "to_value")
+
+
+SQL_CONVERT_VALUE_COLUMNS = f"""
+SELECT s.l_orderkey, s.l_linenumber, s.unit, s.value, s.to_unit,
+       CASE WHEN s.unit = s.to_unit THEN s.value * 1e0 ELSE s.value * f.factor END AS to_value
+FROM (SELECT *, CASE WHEN l_linenumber = 7 THEN 'EJ/yr' WHEN unit = 'GW' THEN 'GW'
+                     WHEN unit = 'million metric tons CO2' THEN 'Mt CO2/yr' ELSE 'EJ/yr' END AS to_unit
+      FROM ({_line_units_sql()})) s
+LEFT JOIN {factors_sql(_LINE_PAIRS)} ON s.unit = f.from_unit AND s.to_unit = f.to_unit
+"""
+
+
+def q_frequency_violations(spark, sf_dir):
+    """Series with more than one observation in a year."""
+    return frequency_violations(fx.orders_obs(spark, sf_dir))
+
+
+SQL_FREQUENCY_VIOLATIONS = f"""
+SELECT series_id, year, count(*) AS n_rows FROM ({fx.OBS_SQL}) GROUP BY series_id, year HAVING count(*) > 1
+"""
+
+
 def q_pack_unpack_units(spark, sf_dir):
     df = _line_units(spark, sf_dir)
     return unpack_units(pack_units(df))
@@ -949,11 +984,13 @@ QUERIES: dict[str, Query] = {
     "convert_single_target": q_convert_single_target,
     "convert_from_set": q_convert_from_set,
     "convert_crosswalk": q_convert_crosswalk,
+    "convert_value_columns": q_convert_value_columns,
     "pack_unpack_units": q_pack_unpack_units,
     "lookup_reverse_names": q_lookup_reverse_names,
     "crosswalk_qa": q_crosswalk_qa,
     "violations_unique": q_violations_unique,
     "violations_unit_map": q_violations_unit_map,
+    "frequency_violations": q_frequency_violations,
     "violations_nonmatch": q_violations_nonmatch,
     "unit_differences": q_unit_differences,
     "coverage_gaps": q_coverage_gaps,
@@ -985,11 +1022,13 @@ ORACLE_SQL: dict[str, str] = {
     "convert_single_target": SQL_CONVERT_SINGLE_TARGET,
     "convert_from_set": SQL_CONVERT_FROM_SET,
     "convert_crosswalk": SQL_CONVERT_CROSSWALK,
+    "convert_value_columns": SQL_CONVERT_VALUE_COLUMNS,
     "pack_unpack_units": SQL_PACK_UNPACK_UNITS,
     "lookup_reverse_names": SQL_LOOKUP_REVERSE_NAMES,
     "crosswalk_qa": SQL_CROSSWALK_QA,
     "violations_unique": SQL_VIOLATIONS_UNIQUE,
     "violations_unit_map": SQL_VIOLATIONS_UNIT_MAP,
+    "frequency_violations": SQL_FREQUENCY_VIOLATIONS,
     "violations_nonmatch": SQL_VIOLATIONS_NONMATCH,
     "unit_differences": SQL_UNIT_DIFFERENCES,
     "coverage_gaps": SQL_COVERAGE_GAPS,
