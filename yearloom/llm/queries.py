@@ -6,13 +6,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, sharding, url_cascade
+from yearloom.llm import chat, line_dedup, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 5: line dedup ----------------------------------------------------------------------------------------------------
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT k.*, r.keeper IS NOT NULL AND r.keeper <> k.doc_id AS gone FROM keyed k LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 # --- 7: sharding -----------------------------------------------------------------------------------------------------
 
 SHARDS = {f"shard-{i:03d}": 2 if i < 16 else 1 for i in range(112)}  # 16 shards on machines twice as large
@@ -100,12 +124,14 @@ FROM sized GROUP BY conv_id
 
 
 QUERIES = {
+    "op5_line_dedup": op5_line_dedup,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
 ORACLE_SQL = {
+    "op5_line_dedup": OP5_SQL,
     "op8_url_filters": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
 }
