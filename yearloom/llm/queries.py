@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, line_dedup, sharding, url_cascade
+from yearloom.llm import chat, line_dedup, packing, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,11 +123,24 @@ FROM sized GROUP BY conv_id
 """
 
 
+# --- 10: packing -----------------------------------------------------------------------------------------------------
+
+def tokenizer_file() -> str:
+    from public_tokenizers import path
+
+    return path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {

@@ -46,8 +46,10 @@ class Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
             size = max(n + 1, BLOCK_BYTES + (BLOCK_BYTES >> 2))
-            self.up, self.down = (np.cumprod(np.concatenate([[1], np.full(size, b, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                                  for b in (_BASE, _BASE_INVERSE))
+            self.up, self.down = np.full((2, size), [[_BASE], [_BASE_INVERSE]], np.uint64)
+            for x in (self.up, self.down):
+                x[0] = 1
+                np.cumprod(x, out=x)
         return self.up, self.down
 
 
