@@ -6,13 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, jaccard_join, line_dedup, packing, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 4: n-gram Jaccard join ------------------------------------------------------------------------------------------
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 # --- 5: line dedup ----------------------------------------------------------------------------------------------------
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +142,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
