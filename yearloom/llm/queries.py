@@ -6,13 +6,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, jaccard_join, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 1: language ID --------------------------------------------------------------------------------------------------
+
+def fold(modulus: int):
+    """crc32 of the document id's text, modulo ``modulus`` (null for a null id)."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_mix.identify(docs, fold(5) != 0)
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 # --- 4: n-gram Jaccard join ------------------------------------------------------------------------------------------
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +155,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op7_sharding": op7_sharding,
