@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, decontaminate, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+# --- 6: benchmark decontamination ------------------------------------------------------------------------------------
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --- 7: sharding -----------------------------------------------------------------------------------------------------
 
 SHARDS = {f"shard-{i:03d}": 2 if i < 16 else 1 for i in range(112)}  # 16 shards on machines twice as large
@@ -158,6 +164,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_url_filters": op8_url_filters,
     "op9_chat_formatting": op9_chat_formatting,
