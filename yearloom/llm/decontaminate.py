@@ -3,7 +3,7 @@
 Texts are compared in a plain form: A-Z lower-cased, every run of ASCII characters that
 are neither letters nor digits as one space. A benchmark item leaks into a document if a
 window of ``w`` of its characters (the whole item, if shorter than ``WINDOW``) aligns with
-the document with at most ``e`` edits, ``e`` a tenth of ``w``. By the q-gram lemma such a
+the document with at most ``e`` edits, ``e`` a share ``EDIT_RATE`` of ``w``. By the q-gram lemma such a
 window shares at least ``w - q + 1 - q e`` q-grams with the document, on diagonals that
 differ by at most ``e``.
 
@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 from yearloom.llm import textarrays as ta
 
 Q = 8  # bytes: a q-gram is one 64-bit number
-WINDOW = 64
-EDIT_RATE = 0.1
+WINDOW = 80
+EDIT_RATE = 0.075
 MIN_ITEM = 25
 MAX_ITEM_BYTES = 16 << 20
 FILTER_BITS = 22
+ALIGN_AT_ONCE = 20_000
 
 _PLAIN = np.full(256, 0x20, np.uint8)
 for _a, _b in ((48, 58), (97, 123), (128, 256)):
@@ -127,22 +128,29 @@ def _cover(n: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 def window_edits(items: Items, form: np.ndarray, item: np.ndarray, begin: np.ndarray, row_start: np.ndarray, row_end: np.ndarray,
                  origin: np.ndarray) -> np.ndarray:
     """Least edits between the item windows that begin at ``begin`` and the document (its bytes ``row_start`` to ``row_end``), along
-    the diagonals within the edit budget of ``origin`` (where the window would begin in the document). Windows of one (w, e)."""
+    the diagonals within the edit budget of ``origin`` (where the window would begin in the document). Windows of one length;
+    those that pass their budget on the way are given up (and get a number above it)."""
     w, e = int(items.w[item[0]]), int(items.e[item[0]])
-    n, far = len(item), np.int16(9999)
-    band = np.arange(-e, e + 1)
-    cost = np.zeros((n, 2 * e + 1), np.int16)
+    out = np.full(len(item), e + 1, np.int64)
+    far = np.int16(9999)
     lanes = np.arange(2 * e + 1, dtype=np.int16)
-    source = items.offsets[item] + begin
+    source, low, high, first = items.offsets[item] + begin, row_start[:, None], row_end[:, None], origin[:, None] + np.arange(-e, e + 1)
+    todo, cost = np.arange(len(item)), np.zeros((len(item), 2 * e + 1), np.int16)
     for i in range(w):
-        letter = items.form[source + i]
-        at = (origin + i)[:, None] + band
-        inside = (at >= row_start[:, None]) & (at < row_end[:, None])
-        same = inside & (form[np.clip(at, 0, len(form) - 1)] == letter[:, None])
+        at = first + i
+        inside = (at >= low) & (at < high)
+        same = inside & (form[np.minimum(np.maximum(at, 0), len(form) - 1)] == items.form[source + i][:, None])
         new = np.where(inside, cost + ~same, far)  # match or replace
         new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)  # a letter of the item is missing in the document
         cost = np.minimum.accumulate(new - lanes, axis=1) + lanes  # further letters in the document
-    return cost.min(1)
+        if i % 8 == 7:
+            alive = cost.min(1) <= e
+            if not alive.all():
+                todo, cost, source, low, high, first = (x[alive] for x in (todo, cost, source, low, high, first))
+                if not len(todo):
+                    return out
+    out[todo] = cost.min(1)
+    return out
 
 
 def find_regions(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -165,52 +173,49 @@ def find_regions(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tu
     total = np.cumsum(n)
     entry = np.repeat(items.starts[gram] - (total - n), n) + np.arange(total[-1])
     hit, row, item, off = np.repeat(hit, n), np.repeat(row, n), items.item[entry], items.place[entry]
-    diagonal = hit - rows_at[row] - off + (1 << 20)
     wide = items.e[item] + 1
-    hit, row, item, off, diagonal = (np.concatenate([x, x]) for x in (hit, row, item, off, diagonal))
-    band = np.concatenate([diagonal[:len(wide)] // wide, diagonal[:len(wide)] // wide - 1])
-    order = np.lexsort((hit, band, item, row))
-    hit, row, item, off, band, diagonal = (x[order] for x in (hit, row, item, off, band, diagonal))
-    group = np.cumsum(np.concatenate([[0], (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])]))
-    begins, end = _dense(group, hit, items.t[item], items.w[item] + items.e[item])
+    band = (hit - rows_at[row] - off + (1 << 40)) // wide
+    group = row * len(items.ids) + item
+    hit, off, group, band = np.concatenate([hit, hit]), np.concatenate([off, off]), np.concatenate([group, group]), np.concatenate([band, band - 1])
+    order = np.lexsort((hit, band, group))
+    hit, off, group, band = hit[order], off[order], group[order], band[order]
+    new = np.concatenate([[True], (group[1:] != group[:-1]) | (band[1:] != band[:-1])])
+    once = new | np.concatenate([[True], hit[1:] != hit[:-1]])  # positions count once in a band
+    hit, off, group, band = hit[once], off[once], group[once], np.cumsum(new)[once]
+    row, item = np.divmod(group, len(items.ids))
+    begins, end = _dense(band, hit, items.t[item], items.w[item] + items.e[item])
     first = np.flatnonzero(begins)
     if not len(first):
         return []
 
-    # windows to align: from a stretch's first q-gram on, and up to its last one's end; richest stretches first
+    # windows to align: from a stretch's first q-gram on, and up to its last one's end; the richest stretch of a pair first
     last = end[first] - 1
     length = np.diff(items.offsets)[item[first]]
     w = items.w[item[first]]
     starts = np.concatenate([np.clip(off[first], 0, length - w), np.clip(off[last] + Q - w, 0, length - w)])
-    anchor = np.concatenate([first, last])
-    own = np.concatenate([first, first])
-    rich = np.concatenate([end[first] - first] * 2)
-    pair = row[own] * (len(items.ids) + 1) + item[own]
-    order = np.lexsort((-rich, pair))
-    starts, anchor, own, pair = starts[order], anchor[order], own[order], pair[order]
-    rank = np.arange(len(pair)) - np.repeat(*(lambda s: (s, np.diff(np.append(s, len(pair)))))(
-        np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))))
+    anchor, own = np.concatenate([first, last]), np.concatenate([first, first])
+    order = np.lexsort((-np.concatenate([end[first] - first] * 2), group[own]))
+    starts, anchor, own = starts[order], anchor[order], own[order]
+    pair = group[own]
+    best = np.concatenate([[True], pair[1:] != pair[:-1]])
     found: dict[int, int] = {}
-    todo, at_rank = np.arange(len(pair)), 0
-    while len(todo):  # one window of every pair still open at a time
-        now = todo[rank[todo] == at_rank]
-        shapes = items.w[item[own[now]]]
-        for shape in np.unique(shapes):
-            k = now[shapes == shape]
-            j = own[k]
-            origin = hit[anchor[k]] - (off[anchor[k]] - starts[k])
-            edits = window_edits(items, form, item[j], starts[k], rows_at[row[j]], rows_at[row[j] + 1], origin)
-            good = edits <= items.e[item[j]]
-            found.update(zip(pair[k[good]].tolist(), edits[good].tolist()))
-        at_rank += 1
-        todo = todo[rank[todo] >= at_rank]
+    for todo in (np.flatnonzero(best), np.flatnonzero(~best)):
         todo = todo[~np.isin(pair[todo], np.fromiter(found, np.int64, len(found)))]
+        shapes = items.w[item[own[todo]]]
+        for shape in np.unique(shapes):
+            same = todo[shapes == shape]
+            for a in range(0, len(same), ALIGN_AT_ONCE):
+                k = same[a:a + ALIGN_AT_ONCE]
+                j = own[k]
+                origin = hit[anchor[k]] - (off[anchor[k]] - starts[k])
+                edits = window_edits(items, form, item[j], starts[k], rows_at[row[j]], rows_at[row[j] + 1], origin)
+                for p, x in zip(pair[k[edits <= items.e[item[j]]]].tolist(), edits[edits <= items.e[item[j]]].tolist()):
+                    found[p] = min(x, found.get(p, x))
     out = []
-    stretch_pair = row[first] * (len(items.ids) + 1) + item[first]
     for p, edits in sorted(found.items()):
-        k = stretch_pair == p
-        a, b = int(hit[first[k]].min()), int(hit[last[k]].max()) + Q - 1
-        r, i = divmod(p, len(items.ids) + 1)
+        k = first[group[first] == p]
+        a, b = int(hit[k].min()), int(hit[end[k] - 1].max()) + Q - 1
+        r, i = divmod(p, len(items.ids))
         out.append((r, i, int(place[a] - offsets[r]), int(place[b] - offsets[r]) + 1, edits))
     return out
 

@@ -108,11 +108,28 @@ def _mix(lik: np.ndarray, start: np.ndarray, count: np.ndarray, share: np.ndarra
         total = weighted.sum(1)
         gain = np.add.reduceat(lik / total[:, None], start, axis=0)
         value = np.add.reduceat(np.log(total), start)
-        bound = gain.max(1) - count
+        bound = np.where(share > 0, gain, 0).max(1) - count
         share = share * gain / count[:, None]
     return share, value, bound
 
 
+def _settle(lik: np.ndarray, count: np.ndarray, share: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and log-likelihoods after convergence; the latter -inf for documents that certainly stay below ``goal``."""
+    value = np.full(len(count), -np.inf)
+    todo, rows, length, steps = np.arange(len(count)), lik, count, 0
+    while len(todo):
+        first = np.cumsum(length) - length
+        share[todo], reached, bound = _mix(rows, first, length, share[todo], 4)
+        steps += 4
+        open_ = reached + bound > goal[todo]
+        done = open_ & ((bound < TOLERANCE) | (steps >= MAX_STEPS))
+        value[todo[done]] = reached[done]
+        left = open_ & ~done
+        if not left.all():
+            rows, length, todo = rows[np.repeat(left, length)], length[left], todo[left]
+    return share, value
+
+
 def infer(logs: np.ndarray, count: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
     """Most likely label and its share, for documents of ``count`` (1 or more) words each; ``logs`` [word, label]."""
     n_docs, n_langs = len(count), logs.shape[1]
@@ -125,33 +142,23 @@ def infer(logs: np.ndarray, count: np.ndarray, penalty: float = PENALTY) -> tupl
     lik = np.exp((logs - top).astype(np.float64)) + 1e-300
     base = np.add.reduceat(top[:, 0], start, dtype=np.float64)
     fine = penalty + 0.5 * np.log(count)
-    goal = single.max(1) - base + fine  # what a set of several languages must pass
-
-    todo = np.arange(n_docs)
-    pi = np.full((n_docs, n_langs), 1 / n_langs)
-    rows, first, length, steps = lik, start, count, 0
-    several = []
-    while len(todo):
-        pi[todo], value, bound = _mix(rows, first, length, pi[todo], 4)
-        steps += 4
-        open_ = value + bound > goal[todo]  # else one language is certain to win
-        settled = open_ & ((bound < TOLERANCE) | (steps >= MAX_STEPS))
-        several += todo[settled].tolist()
-        left = open_ & ~settled
-        if not left.all():
-            rows, length, todo = rows[np.repeat(left, length)], length[left], todo[left]
-            first = np.cumsum(length) - length
-    for d in several:
-        own = lik[start[d]:start[d] + count[d]]
-        order = np.argsort(-pi[d], kind="stable")
-        reached = single[d].max() - base[d]
-        for k in range(2, n_langs + 1):
-            use = np.sort(order[:k])
-            some = pi[d, use] + 1e-12
-            part, value, bound = _mix(own[:, use], np.zeros(1, np.int64), count[d:d + 1], (some / some.sum())[None], MAX_STEPS)
-            if value[0] - (k - 1) * fine[d] > reached:
-                reached = value[0] - (k - 1) * fine[d]
-                best[d], share[d] = use[part[0].argmax()], min(1.0, part[0].max())
+    reached = single.max(1) - base  # the best penalised likelihood so far
+    every, value = _settle(lik, count, np.full((n_docs, n_langs), 1 / n_langs), reached + fine)
+    docs = np.flatnonzero(value > -np.inf)  # of the others, one language is certain to win
+    order = np.argsort(-every[docs], axis=1, kind="stable")
+    for k in range(2, n_langs + 1):
+        if not len(docs):
+            break
+        some = np.zeros((len(docs), n_langs))
+        use = order[:, :k]
+        np.put_along_axis(some, use, np.take_along_axis(every[docs], use, 1) + 1e-12, 1)
+        own = np.zeros(n_docs, bool)
+        own[docs] = True
+        part, value = _settle(lik[np.repeat(own, count)], count[docs], some / some.sum(1, keepdims=True), reached[docs] + (k - 1) * fine[docs])
+        better = np.flatnonzero(value - (k - 1) * fine[docs] > reached[docs])
+        won = docs[better]
+        reached[won] = (value - (k - 1) * fine[docs])[better]
+        best[won], share[won] = part[better].argmax(1), np.minimum(1.0, part[better].max(1))
     return best, share
 
 
