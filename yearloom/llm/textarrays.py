@@ -149,3 +149,35 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = np.searchsorted(table, keys)
     at[at == len(table)] = 0
     return np.where(table[at] == keys, at, -1)
+
+
+def hash_table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open-addressing table of distinct, non-zero, well mixed keys: at least half of the slots stay free (key 0)."""
+    bits = max(4, int(2 * len(keys)).bit_length())
+    slots, held = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, values.dtype)
+    at, todo = (keys >> np.uint64(64 - bits)).astype(np.int64), np.arange(len(keys))
+    while len(todo):
+        p = at[todo]
+        free = slots[p] == 0
+        slots[p[free]] = keys[todo[free]]
+        done = slots[p] == keys[todo]
+        held[p[done]] = values[todo[done]]
+        todo = todo[~done]
+        at[todo] = (at[todo] + 1) & ((1 << bits) - 1)
+    return slots, held
+
+
+def table_get(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the table, and their values (0 where they aren't)."""
+    slots, held = table
+    at = (keys >> np.uint64(65 - len(slots).bit_length())).astype(np.int64)
+    seen = slots[at]
+    found = seen == keys
+    todo = np.flatnonzero(~found & (seen != 0))
+    while len(todo):
+        at[todo] = (at[todo] + 1) & (len(slots) - 1)
+        seen = slots[at[todo]]
+        same = seen == keys[todo]
+        found[todo[same]] = True
+        todo = todo[~same & (seen != 0)]
+    return found, np.where(found, held[at], held.dtype.type(0))
