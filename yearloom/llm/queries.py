@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, context_tree, decontaminate, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+# --- 2: embedding near-dedup -----------------------------------------------------------------------------------------
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 # --- 3: LM scoring ---------------------------------------------------------------------------------------------------
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +174,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
