@@ -1,0 +1,72 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from yearloom.llm import line_dedup as L
+
+WS = " \t\n\x0b\x0c\r"
+LONG = "This line is long enough"
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(WS))
+
+
+def brute(rows, min_chars=20, min_docs=3):
+    docs = {}
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                docs.setdefault(key(line), set()).add(-(1 << 63) if i is None else i)
+    gone = {k: max(v) for k, v in docs.items() if len(v) >= min_docs}
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (key(x) in gone and gone[key(x)] != (-(1 << 63) if i is None else i))]
+        out.append((i, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return out
+
+
+def result(df):
+    return sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in df.collect()), key=repr)
+
+
+CASES = [
+    (1, LONG), (2, f"  {LONG.upper()}\t\nshort"), (3, f"{LONG}\n{LONG}\nunique line of document three"), (4, f"a\n\n{LONG}\r\nb"),
+    (5, None), (6, ""), (7, "\n\n"), (8, "é" * 20), (9, "É" * 20), (10, "é" * 20), (11, "é" * 20 + "\nz"), (12, "é" * 19), (13, "é" * 19), (14, "é" * 19),
+    (None, LONG), (None, LONG), (15, "twice only, in two documents\n" * 50), (16, "twice only, in two documents"), (16, "twice only, in two documents"),
+    (17, ("x" * 300_000 + "\n") * 3), (18, "x" * 300_000), (19, "x" * 300_000 + "\nend"), (20, "NO-BREAK spaces stay, they do" + " "),
+    (-3, "negative ids have lines as well"), (-2, "negative ids have lines as well"), (-1, "negative ids have lines as well"),
+]
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_cases(spark, docs, broadcast):
+    got = L.dedup_lines(docs(*CASES), max_broadcast_keys=broadcast)
+    assert result(got) == sorted(brute(CASES), key=repr)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_lines", "n_dropped"]
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 64 << 20])
+def test_random_with_a_full_filter(spark, docs, bits):
+    rng = random.Random(5)
+    pool = [f"common line number {k} of the pool" for k in range(40)]
+    rows = [(i, "\n".join(rng.choice(pool[:1] * 20 + pool) if rng.random() < .5 else f"own line {rng.random()} of one document" for _ in range(6)))
+            for i in range(300)]
+    got = L.dedup_lines(docs(*rows).repartition(7), max_filter_bytes=bits)
+    assert result(got) == sorted(brute(rows), key=repr)
+
+
+def test_columns_that_clash_and_empty_table(spark, docs):
+    df = docs(*CASES[:4]).withColumn("N_Lines", F.lit("mine")).withColumn("digest", F.lit(1)).withColumn("doc", F.lit(2))
+    out = L.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "digest", "doc", "n_lines", "n_dropped"]
+    assert {(r.digest, r.doc) for r in out.collect()} == {(1, 2)}
+    assert L.dedup_lines(docs(*CASES).limit(0)).count() == 0
+    assert result(L.dedup_lines(docs((1, None), (2, None)))) == [(1, None, 1, 0), (2, None, 1, 0)]
+
+
+def test_other_parameters(spark, docs):
+    got = L.dedup_lines(docs(*CASES), min_chars=5, min_docs=2)
+    assert result(got) == sorted(brute(CASES, 5, 2), key=repr)

@@ -214,7 +214,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     y, low = x + 8.0, np.zeros_like(x)
     for k in range(8):
         low += np.log(x + k)
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - low
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) + 1 / (1188 * y ** 9) - low
 
 
 def log_block(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ SEQUENCE_TOKENS = 2048
 SEPARATOR = 0
 GROUP_PIECES = 65_536
 WEIGHTS = (1.0, 0.001, 0.001)  # of tokens, documents, attention cost
-CACHED_WORDS = 1_000_000  # a task's word cache starts anew beyond this
+CACHED_WORDS = 600_000  # a task's word cache starts anew beyond this
 WORDS_PER_CALL = 200
 WORD_BLOCK_BYTES = 4 << 20
 
@@ -80,8 +80,6 @@ class WordEncoder:
             self.parts.update(zip(own, self.encode(own)))
 
     def learn(self, words: list[str], hashes: np.ndarray) -> None:
-        if len(self.hashes) + len(words) > CACHED_WORDS:
-            self.reset()
         split = [m.groups() if (m := self.simple.fullmatch(w)) else None for w in words]
         fresh = dict.fromkeys(p for s in split if s for p in s if p and p not in self.parts)
         self.encode_parts(list(fresh))
@@ -99,13 +97,13 @@ class WordEncoder:
         hashes, starts, ends, counts = ta.word_hashes(data, offsets, powers)
         known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         new = np.flatnonzero(ta.lookup(self.hashes, known) < 0)
+        if len(self.hashes) + len(new) > CACHED_WORDS:
+            self.reset()
+            new = np.arange(len(known))
         if len(new):
             lower = ta.LOWER[data].tobytes()
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
             self.learn([lower[a:b].decode() for a, b in spans], known[new])
-            if (missing := np.flatnonzero(ta.lookup(self.hashes, known) < 0)).size:  # the cache started anew
-                spans = zip(starts[first[missing]].tolist(), ends[first[missing]].tolist())
-                self.learn([lower[a:b].decode() for a, b in spans], known[missing])
         place = ta.lookup(self.hashes, known)[inverse]
         last = np.cumsum(counts)
         at = np.insert(self.at[place], last, 0)
