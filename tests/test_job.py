@@ -49,7 +49,7 @@ def test_run_job_end_to_end(spark):
         template_path=tpl, output_dir=os.path.join(d, "out"), payload_path=pay, tracker_years=[2020, 2021])
     # the same source unit feeds a template variable and a variable outside the
     # template: two targets, one missing -> error in strict mode (trap T9)
-    with pytest.raises(UnitConversionError, match="uniquely"):
+    with pytest.raises(UnitConversionError, match="more than one target"):
         run_job(spark, spec)
     spec.strict = False
     spec.output_dir = os.path.join(d, "out2")

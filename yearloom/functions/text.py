@@ -74,10 +74,16 @@ def interpolate_key_column(df, replacements: Mapping[str, Column | str], templat
     return out.drop(*strip)
 
 
+# digits with an optional sign, point and exponent; no type suffixes, no words
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def parse_number_text(c) -> Column:
     """Numeric text with thousands commas -> double; anything else (e.g.
-    the below-threshold sentinel ``+``) -> missing. Never raises under ANSI."""
-    return F.regexp_replace(_c(c), ",", "").try_cast("double")
+    the below-threshold sentinel ``+``, or words such as ``inf``) -> missing. Never
+    raises under ANSI."""
+    plain = F.trim(F.regexp_replace(_c(c), ",", ""))
+    return F.when(plain.rlike(NUMBER_TEXT), plain.try_cast("double"))
 
 
 def below_threshold(c, sentinel: str = "+") -> Column:

@@ -109,11 +109,13 @@ def standardize_unit_names(c: Column | str, aliases: Sequence[tuple[str, str]] =
 def standardize_unit_names_alt(c: Column | str, equivalence_sets: Sequence[Sequence[str]] = ()) -> Column:
     """Collapse each equivalence set to its first member, then the ordered
     substitutions, then the alias list. The equivalence sets are parameters."""
-    x = _col(c)
-    for members in equivalence_sets:
-        members = list(members)
+    x = source = _col(c)
+    chain = None  # one chained test of the original value: the first set that holds it wins
+    for members in map(list, equivalence_sets):
         if members:
-            x = F.when(x.isin(members), F.lit(members[0])).otherwise(x)
+            chain = (F if chain is None else chain).when(source.isin(members), F.lit(members[0]))
+    if chain is not None:
+        x = chain.otherwise(source)
     for pat, rep, is_regex in ALT_SUBSTITUTIONS:
         x = F.regexp_replace(x, F.lit(pat), F.lit(rep)) if is_regex else F.replace(x, F.lit(pat), F.lit(rep))
     return fold_replace(x, ALT_ALIASES)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize
 
 ROLLUP_KEYS = ("dataset", "scenario", "variable", "region", "unit", "year")
 
@@ -52,7 +52,8 @@ def scaled_rollup(df: DataFrame, keys: Sequence[str] = ROLLUP_KEYS, value_col: s
 
 def group_total_keep_rows(df: DataFrame, keys: Sequence[str], value_col: str = "value", out_col: str = "group_total",
                           *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
-    """The group's (strict) total attached to every row.
+    """The group's (strict) total attached to every row. Runs a job: the totals
+    are written once.
 
     Written as aggregate + join back instead of ``sum().over(partitionBy)``: the
     window would put a hot group into one task, while the aggregate combines it
@@ -79,30 +80,21 @@ def group_total_keep_rows(df: DataFrame, keys: Sequence[str], value_col: str = "
     return df.join(t, cond, "left").drop(*[f"__t_{k}" for k in keys])
 
 
-def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A2 / A3 / A5: distinct over all or the given columns."""
-    return (df.select(*cols) if cols else df).distinct()
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The first whole row per key under a total ``order`` (ascending).
+    """The first whole row per key, ascending with missing order values last.
 
-    Implemented as ``min`` over a struct whose leading fields are the order
-    columns instead of ``row_number`` over a window, which sorts each whole group
-    inside one task. A struct buffer is not hash-aggregatable, so Spark plans a
-    sort-based aggregate, but still partial + final: each map task keeps one row
-    per key before the shuffle, so a hot key never reaches one task whole."""
-    keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order_cols)], *[F.col(c) for c in rest])
-    out = df.groupBy(*keys).agg(F.min(packed).alias("__m"))
-    return out.select(*keys, *[F.col(f"__m.{c}").alias(c) for c in rest]).select(*df.columns)
+    A ``row_number() = 1`` filter: Spark keeps only each task's first row per key
+    before the shuffle (window group limit), so a hot key never reaches one task
+    whole. Works for any column type, maps included."""
+    order_cols = [(F.col(o) if isinstance(o, str) else o).asc_nulls_last() for o in order]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
+    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
 def key_batches(keys_df: DataFrame, key_col: str, batch_size: int = 100, *, partitions: int | None = None) -> DataFrame:
-    """A5 + W2: distinct keys in ascending order, numbered 1..n, and cut into
-    blocks of ``batch_size`` (``ceil(index / batch_size)``).
+    """A5 + W2: distinct non-missing keys in ascending order, numbered 1..n, and cut
+    into blocks of ``batch_size`` (``ceil(index / batch_size)``). Runs a job: the
+    numbering is written once.
 
     A global ``row_number`` would run in one task. This is the two-pass
     zipWithIndex pattern in DataFrame form: range-partition the distinct keys,
@@ -129,7 +121,3 @@ def key_batches(keys_df: DataFrame, key_col: str, batch_size: int = 100, *, part
 def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Groups of ``cols`` with more than one row, with their size."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
-
-
-def is_unique(df: DataFrame, cols: Sequence[str]) -> bool:
-    return row_count_at_most(duplicate_groups(df, cols), 0)

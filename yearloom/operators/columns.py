@@ -32,11 +32,6 @@ def relocate(df: DataFrame, first: Iterable[str]) -> DataFrame:
     return df.select(*first, *[c for c in df.columns if c not in first])
 
 
-def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """P3."""
-    return df.drop(*cols)
-
-
 def drop_by_pattern(df: DataFrame, regex: str | None = None, prefix: str | None = None) -> DataFrame:
     """Drop columns whose name matches ``regex`` (search, case-insensitive) or
     starts with ``prefix`` (case-insensitive)."""
@@ -98,17 +93,6 @@ def where_not_blank(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col) != "")
 
 
-def where_equals(df: DataFrame, col: str, value) -> DataFrame:
-    """P10."""
-    return df.where(F.col(col) == F.lit(value))
-
-
-def is_missing(c: Column | str) -> Column:
-    """NULL or NaN (R's ``is.na``)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.isNull() | F.isnan(c)
-
-
 def where_present(df: DataFrame, col: str = "value") -> DataFrame:
     """Keep rows whose value is present (not NULL, not NaN)."""
     dt = df.schema[col].dataType
@@ -117,31 +101,24 @@ def where_present(df: DataFrame, col: str = "value") -> DataFrame:
     return df.where(F.col(col).isNotNull())
 
 
-def where_differs(df: DataFrame, a: str, b: str | None = None, value=None) -> DataFrame:
-    """Rows where ``a != b`` (or ``a != value``); a missing side drops the row."""
-    other = F.col(b) if b is not None else F.lit(value)
-    return df.where(F.col(a) != other)
-
-
 def where_matches(df: DataFrame, col: str, pattern: str, ignore_case: bool = True) -> DataFrame:
     """Regex filter, case-insensitive by default; missing never matches."""
     pat = f"(?i){pattern}" if ignore_case else pattern
     return df.where(F.coalesce(F.col(col).rlike(pat), F.lit(False)))
 
 
-def round_numeric(df: DataFrame, digits: int = 2, exact_precision: int = 38, exact_scale: int = 10) -> DataFrame:
+def round_numeric(df: DataFrame, digits: int = 2) -> DataFrame:
     """P16 + L12: round every numeric column, half-up on the decimal value.
 
-    Doubles are taken to ``DECIMAL(exact_precision, exact_scale)`` first so ties
-    are decided on the decimal text (0.285 -> 0.29), then returned as double.
-    Values outside that decimal range (and NaN) fall back to rounding the double
-    instead of failing under ANSI mode."""
+    A double is rounded once, on its shortest decimal text (0.285 -> 0.29,
+    1.00499999999 -> 1.00). Doubles of 1e16 and more have no fraction and stay, and so
+    do NaN and the infinities."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exact = F.round(c.try_cast(T.DecimalType(exact_precision, exact_scale)), digits).cast("double")
-            out.append(F.coalesce(exact, F.round(c, digits)).alias(f.name))
+            exact = F.round(c.cast("string").try_cast(T.DecimalType(38, 21)), digits).cast("double")
+            out.append(F.when(F.abs(c) < F.lit(1e16), exact).otherwise(c).alias(f.name))
         elif isinstance(f.dataType, T.DecimalType):
             out.append(F.round(c, digits).alias(f.name))
         else:

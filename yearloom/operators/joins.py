@@ -140,11 +140,7 @@ def parameter_grid(**lists) -> list[dict]:
 
 
 def cross_with_bounded(df: DataFrame, small: DataFrame, *, max_rows: int = 10_000) -> DataFrame:
-    """``df`` x distinct rows of ``small`` (``tidyr::expand``), where ``small``
-    must be proven to hold at most ``max_rows`` rows. The product is linear in
-    ``df``; an unbounded second side is refused rather than squared."""
-    s = small.distinct()
-    b = broadcast_checked(s, max_rows)
-    if b is s:
-        raise ValueError(f"second side of the grid has more than {max_rows} distinct rows")
-    return df.distinct().crossJoin(b)
+    """Distinct rows of ``df`` x distinct rows of ``small`` (``tidyr::expand``).
+    ``small`` is broadcast when it holds at most ``max_rows`` rows; beyond, the
+    product is planned without a hint, with the same rows."""
+    return df.distinct().crossJoin(broadcast_checked(small.distinct(), max_rows))

@@ -22,10 +22,11 @@ class QualityError(AssertionError):
 
 
 def assert_empty(violations: DataFrame, what: str, show: int = 10) -> DataFrame:
-    """Raise if ``violations`` has a row; the message carries up to ``show`` rows."""
+    """Raise if ``violations`` has a row; the message carries up to ``show`` rows and
+    the full count."""
     rows = violations.limit(show).collect()
     if rows:
-        raise QualityError(f"{what}: " + "; ".join(str(r.asDict()) for r in rows))
+        raise QualityError(f"{what} ({violations.count()} rows): " + "; ".join(str(r.asDict()) for r in rows))
     return violations
 
 
@@ -90,10 +91,3 @@ def coverage_gaps(data: DataFrame, template: DataFrame, series_map: DataFrame, c
             F.concat_ws(" -> ", F.col("from_unit"), F.col("to_unit")).alias("key"))
         out = out.unionByName(bad)
     return out
-
-
-def check_columns(df: DataFrame, required: Sequence[str]) -> None:
-    """Q7: required columns present (plan-time check, no job)."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise QualityError(f"missing columns: {missing}")

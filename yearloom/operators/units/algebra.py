@@ -29,6 +29,7 @@ from yearloom.operators.units.registry import UnitDef, registry_rows
 from yearloom.session import materialize, row_count_at_most
 
 _TOKEN_SPLIT = r"[\s*]+"
+_NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
 DIMS_TYPE = "array<struct<dim:string,exp:int>>"
 MAX_REGISTRY_ROWS = 100_000
 
@@ -116,7 +117,7 @@ def _lookup_token(tok: Column, maps) -> Column:
     """struct<scale double, dims string> for one token, or NULL if unknown."""
     ex_s, ex_d, ci_s, ci_d = maps
     single = F.regexp_replace(tok, "s$", "")
-    numeric = tok.try_cast("double")
+    numeric = F.when(tok.rlike(_NUMBER_TOKEN), tok.try_cast("double"))
     cands = [(ex_s, ex_d, tok), (ex_s, ex_d, single), (ci_s, ci_d, F.lower(tok)), (ci_s, ci_d, F.lower(single))]
     out = F.when(numeric.isNotNull(), F.struct(numeric.alias("scale"), F.lit("").alias("dims")))
     for ms, md, k in cands:
@@ -164,12 +165,14 @@ def _cached(kind: str, col: str, lookup: UnitLookup) -> Column:
     """The resolution expressions are large trees of higher-order functions; they
     are unresolved (bound by column name), so each is built once per Spark
     application and registry and reused by every query."""
-    from pyspark import SparkContext
+    from pyspark.sql import SparkSession
 
-    sc = SparkContext._active_spark_context
-    key = (sc.applicationId if sc else None, kind, col, lookup)
+    session = SparkSession.getActiveSession()
+    key = (session.sparkContext.applicationId if session else None, kind, col, lookup)
     hit = _EXPR_CACHE.get(key)
     if hit is None:
+        if len(_EXPR_CACHE) >= 64:
+            _EXPR_CACHE.clear()
         hit = _resolved_tokens(F.col(col), lookup.maps()) if kind == "tokens" else _summarize(F.col(col))
         _EXPR_CACHE[key] = hit
     return hit

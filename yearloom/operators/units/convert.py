@@ -174,7 +174,7 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
         xw, n = local_frame(spark, rows, "from_unit string, to_unit string"), len(rows)
     if bad:
         detail = "; ".join(f"{a} -> {t}" for a, t in bad)
-        raise UnitConversionError(f"Supplied from_unit must uniquely map to to_unit: {detail}")
+        raise UnitConversionError(f"a source unit has more than one target unit: {detail}")
     pairs = xw.where(F.col("to_unit").isNotNull() & (F.col("to_unit") != F.col("from_unit")))
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
     return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n)

@@ -95,6 +95,7 @@ BASE_UNITS = [
     UnitDef(("barrel",), multiplier=0.158987294928, of="m m m"),
     UnitDef(("Btu", "BTU", "btu"), kind="symbol", multiplier=1055.05585262, of="J"),
     UnitDef(("British_thermal_unit",), multiplier=1055.05585262, of="J"),
+    UnitDef(("kt",), kind="symbol", multiplier=1852.0 / 3600.0, dims={"m": 1, "s": -1}),  # knot, not kilotonne
     UnitDef(("percent",), multiplier=0.01),
 ]
 

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, map_whole_values, relabel_units,
                                            standardize_unit_names)
 from yearloom.operators.aggregate import scaled_rollup
-from yearloom.operators.columns import add_constants, round_numeric, where_matches, where_present
+from yearloom.operators.columns import add_constants, round_numeric, where_present
 from yearloom.operators.joins import full_outer_join, join_dim, semi_join
 from yearloom.operators.quality import assert_empty, nonmatch, unique_rows
-from yearloom.operators.reshape import pivot_wider, sort_nulls_last, union_by_name
+from yearloom.operators.reshape import pivot_wider
 from yearloom.operators.units.convert import convert_crosswalk, convert_rowwise
 from yearloom.schemas import LONG_COLUMNS, WIDE_ID_COLUMNS
 from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize, row_count_at_most
-from yearloom.sources.sinks import write_csv, write_tsv
+from yearloom.sources.sinks import write_csv, write_csv_quoted, write_tsv
 
 # Source tags (case-insensitive patterns) and the model label each
 # split is published under (None = keep the model column).
@@ -51,8 +51,9 @@ def map_and_rollup(obs: DataFrame, series_map: DataFrame, *, literal: bool = Fal
 
     The rewrite joins inner with the map broadcast: map-only rows would form
     groups with missing unit/year/value and data-only rows get a missing factor;
-    both are removed later by the missing-value filter. Precondition:
-    observations carry ``unit`` and ``year`` (checked at ingest)."""
+    both are removed later by the missing-value filter. An observation without a
+    unit, or without a year, forms a group of its own and is kept; one without both
+    is a violation at ingest (``payload_violations``)."""
     if literal:
         joined = full_outer_join(obs, series_map, ["series_id"])
     else:
@@ -62,9 +63,10 @@ def map_and_rollup(obs: DataFrame, series_map: DataFrame, *, literal: bool = Fal
 
 
 def template_units_present(template: DataFrame, data: DataFrame, unit_col: str = "unit") -> DataFrame:
-    """F8: template (variable, emf_units) rows whose variable occurs in the data."""
+    """F8: template (variable, emf_units) rows whose variable occurs in the data.
+    Runs one job over ``data``: its distinct variables are written once."""
     t = template.select("variable", F.col(unit_col).alias("emf_units")).distinct()
-    return semi_join(t, data.select("variable"), ["variable"])
+    return semi_join(t, materialize(data.select("variable").distinct()), ["variable"])
 
 
 def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool = False,
@@ -108,28 +110,36 @@ def long_table(converted: DataFrame) -> DataFrame:
 
 
 def tag_sources(long: DataFrame, splits=SOURCE_SPLITS) -> DataFrame:
-    """F11 first half: keep rows of each source split (P13, tags are disjoint)
-    and relabel ``model`` where the split says so; rows of no split are dropped."""
-    parts = []
-    for col, pattern, label in splits:
-        p = where_matches(long, col, pattern)
-        if label is not None:
-            p = add_constants(p, {"model": label})
-        parts.append(p)
-    return union_by_name(parts)
+    """F11 first half: rows of the source splits (P13), ``model`` relabelled where the
+    split says so; a row of several splits comes once for each, a row of none is
+    dropped. One pass over ``long``."""
+    labels = F.array(*[F.when(F.coalesce(F.col(col).rlike(f"(?i){pattern}"), F.lit(False)),
+                              F.struct((F.col("model") if label is None else F.lit(label)).alias("model")))
+                       for col, pattern, label in splits])
+    hit = F.explode(F.filter(labels, lambda x: x.isNotNull())).alias("__split")
+    rows = long.select("*", hit)
+    return rows.select(*[F.col("__split.model").alias("model") if c == "model" else F.col(c) for c in long.columns])
 
 
 def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_unique: bool = True) -> DataFrame:
-    """F11 + F12: one pivot over the tagged union (instead of three), year
-    columns in ascending order, one row per (model, scenario, region, variable,
-    unit) - which makes the reference's keep-first dedupe (A4) a no-op."""
-    tagged = tag_sources(long)
+    """F11 + F12: one pivot over the tagged rows (instead of three), year columns in
+    ascending order, one row per (model, scenario, region, variable, unit) - which
+    makes the reference's keep-first dedupe (A4) a no-op. Rows without a year go to a
+    column ``NA``.
+
+    Runs one or two jobs: with ``check_unique`` a cell with two values is an error, and
+    so is a year outside a given ``years`` list; without a list the years are read."""
+    tagged = tag_sources(long).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("NA")))
     if check_unique:
         assert_empty(unique_rows(tagged, WIDE_ID_COLUMNS + ["year"]), "more than one value per cell (T11)")
-    if years is None:
-        years = sorted(r[0] for r in tagged.select("year").distinct().collect())
-    wide = pivot_wider(tagged, WIDE_ID_COLUMNS, "year", "value", list(years))
-    return wide.select(*WIDE_ID_COLUMNS, *[str(y) for y in years])
+    if years is not None:
+        labels = [str(y) for y in years]
+        assert_empty(tagged.where(~F.col("year").isin(labels)).groupBy("year").count(), "years outside the list")
+    else:
+        # one row per year; "NA" sorts after the digits
+        labels = sorted(r[0] for r in tagged.select("year").distinct().collect())
+    wide = pivot_wider(tagged, WIDE_ID_COLUMNS, "year", "value", labels)
+    return wide.select(*WIDE_ID_COLUMNS, *labels)
 
 
 def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, years: Sequence[int] | None = None,
@@ -161,35 +171,60 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
     return out
 
 
+def display_unit_names(df: DataFrame, cols: Sequence[str], *, display_names=TEMPLATE_DISPLAY_NAMES,
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """L5 + L16: for each of ``cols`` add ``<col>_std`` (registry name) and
+    ``<col>_display`` (template display name). The alias fold runs on the distinct
+    units only, which are written once and joined back."""
+    values = None
+    for c in cols:
+        v = df.select(F.col(c).alias("__u"))
+        values = v if values is None else values.union(v)
+    std = standardize_unit_names(F.col("__u"))
+    names = materialize(values.where("__u is not null").distinct()).select("__u", std.alias("__s"))
+    few = row_count_at_most(names, max_broadcast_rows)
+    names = names.select("*", map_whole_values(F.col("__s"), display_names).alias("__d"))
+    for c in cols:
+        own = names.select(F.col("__u").alias(f"__{c}"), F.col("__s").alias(f"{c}_std"), F.col("__d").alias(f"{c}_display"))
+        own = F.broadcast(own) if few else own
+        df = df.join(own, F.col(c) == F.col(f"__{c}"), "left").drop(f"__{c}")
+    return df
+
+
 def convert_with_default_targets(df: DataFrame, *, target_col: str = "emf_units",
                                  display_names=TEMPLATE_DISPLAY_NAMES) -> DataFrame:
     """The table form of conversion. A row without a template unit targets
     its own unit (L15); units are converted rowwise on their standardised names;
-    resulting names are mapped back to the template's display names (L16)."""
-    target = F.coalesce(F.col(target_col), F.col("unit"))
-    spec = df.withColumn("_target", standardize_unit_names(target)) \
-             .withColumn("unit", standardize_unit_names(F.col("unit")))
-    out = convert_rowwise(spec, F.col("_target"), rename_fun=lambda c: c)
-    return out.withColumn("unit", map_whole_values(F.col("unit"), display_names)).drop("_target")
+    resulting names are mapped back to the template's display names (L16). Runs
+    the jobs for the distinct units and pairs."""
+    spec = df.withColumn("__target", F.coalesce(F.col(target_col), F.col("unit"))).withColumnRenamed("unit", "__unit")
+    spec = display_unit_names(spec, ["__unit", "__target"], display_names=display_names)
+    spec = spec.withColumn("unit", F.col("__unit_std"))
+    out = convert_rowwise(spec, F.col("__target_std"), rename_fun=lambda c: c)
+    # a converted row holds its target's name, any other its own
+    shown = F.when(F.col("unit") == F.col("__target_std"), F.col("__target_display")).otherwise(F.col("__unit_display"))
+    return out.withColumn("unit", shown).select(*df.columns)
 
 
-def export_wide(wide: DataFrame, path: str) -> str:
-    """the combined wide table as one CSV, ordered by model, scenario,
-    region, variable; missing cells as NA."""
-    return write_csv(wide, path, order_by=["model", "scenario", "region", "variable"], single_file=True)
+def export_wide(wide: DataFrame, path: str, single_file: bool = False) -> str:
+    """the combined wide table as CSV, ordered by model, scenario, region,
+    variable; missing cells as NA. ``single_file`` only for small results."""
+    return write_csv(wide, path, order_by=["model", "scenario", "region", "variable"], single_file=single_file)
 
 
-def export_change_tracker(wide: DataFrame, path: str, years: Sequence[int | str]) -> str:
-    """the rounded change-tracking TSV."""
-    return write_tsv(change_tracker(wide, years), path, single_file=True)
+def export_change_tracker(wide: DataFrame, path: str, years: Sequence[int | str], single_file: bool = False) -> str:
+    """the rounded change-tracking TSV, ordered by the id columns."""
+    return write_tsv(change_tracker(wide, years), path, order_by=WIDE_ID_COLUMNS, single_file=single_file)
 
 
 def change_tracker(wide: DataFrame, years: Sequence[int | str], digits: int = 2) -> DataFrame:
-    """numeric columns rounded (half-up on the decimal value), selected
-    years only, ordered by the id columns."""
-    r = round_numeric(wide, digits)
-    out = r.select(*WIDE_ID_COLUMNS, *[str(y) for y in years])
-    return sort_nulls_last(out, WIDE_ID_COLUMNS)
+    """the id columns and the selected years, numbers rounded (half-up on the
+    decimal value). A year that the table lacks is an error. Sorted at the sink."""
+    names = [str(y) for y in years]
+    missing = [y for y in names if y not in wide.columns]
+    if missing:
+        raise ValueError(f"the wide table has no column for {', '.join(missing)}")
+    return round_numeric(wide.select(*WIDE_ID_COLUMNS, *names), digits)
 
 
 def clean_inventory(raw: DataFrame, *, unit_filter: str = "MMTCO2e", unit_label: str = "MMTCO2/yr",
@@ -201,3 +236,11 @@ def clean_inventory(raw: DataFrame, *, unit_filter: str = "MMTCO2e", unit_label:
     df = raw.where(F.col("variable") != "").drop(*[c for c in drop if c in raw.columns])
     df = df.where(F.col("unit") == unit_filter).withColumn("unit", F.lit(unit_label))
     return add_constants(df, {"model": model, "scenario": scenario})
+
+
+def export_inventory(raw: DataFrame, path: str, single_file: bool = False, **options) -> str:
+    """F14 tail: the cleaned inventory, ordered by variable, unit and region, as an
+    all-quoted CSV (O1 + S9)."""
+    clean = clean_inventory(raw, **options)
+    return write_csv_quoted(clean, path, order_by=[c for c in ("variable", "unit", "region") if c in clean.columns],
+                            single_file=single_file)

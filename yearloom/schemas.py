@@ -15,49 +15,15 @@ SERIES_PAYLOAD = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("units", T.StringType()),
     T.StructField("data", T.ArrayType(T.StructType([
-        T.StructField("year", T.IntegerType()),
-        T.StructField("value", T.DoubleType()),
+        T.StructField("year", T.StringType()),   # text: a point that fails to parse is reported, not lost
+        T.StructField("value", T.StringType()),
     ]))),
 ])
 
-MAPPING_RAW = T.StructType([
-    T.StructField("Variable", T.StringType()),
-    T.StructField("Series_Name", T.StringType()),
-    T.StructField("Series_ID", T.StringType()),
-    T.StructField("Factor", T.DoubleType()),
-    T.StructField("notes", T.StringType()),
-    T.StructField("notes_variable", T.StringType()),
-])
-
-AEO_TEMPLATE_RAW = T.StructType([
-    T.StructField("Variable", T.StringType()),
-    T.StructField("Series_template", T.StringType()),
-    T.StructField("Series_Name", T.StringType()),
-    T.StructField("Factor", T.DoubleType()),
-    T.StructField("notes", T.StringType()),
-    T.StructField("notes_variable", T.StringType()),
-])
-
-SERIES_MAP = T.StructType([
-    T.StructField("dataset", T.StringType()),
-    T.StructField("scenario", T.StringType()),
-    T.StructField("region", T.StringType()),
-    T.StructField("series_id", T.StringType()),
-    T.StructField("variable", T.StringType()),
-    T.StructField("factor", T.DoubleType()),
-])
-
 TEMPLATE = T.StructType([
     T.StructField("variable", T.StringType()),
     T.StructField("unit", T.StringType()),
 ])
 
-UNIT_XWALK = T.StructType([
-    T.StructField("from_unit", T.StringType()),
-    T.StructField("from_units_unit", T.StringType()),
-    T.StructField("to_units_unit", T.StringType()),
-    T.StructField("to_unit", T.StringType()),
-])
-
 LONG_COLUMNS = ["model", "scenario", "region", "variable", "unit", "year", "value"]
 WIDE_ID_COLUMNS = ["model", "scenario", "region", "variable", "unit"]

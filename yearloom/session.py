@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if not sc.master.startswith("local") and conf_dir.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir is {conf_dir}: a cluster needs a folder that all its machines share")
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
@@ -97,6 +99,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base}/yearloom-{spark.sparkContext.applicationId}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's lineage-cut tables. Only once nothing will read
+    frames built on them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _sql_literal(v, dtype: str) -> str:
     if v is None:
         return f"CAST(NULL AS {dtype})"
@@ -137,8 +146,10 @@ def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Skips ``max_rows`` rows and
-    asks for one more: an incremental take over the partitions (no shuffle), so
-    at most ``max_rows + 1`` rows are read."""
+    asks for one more: an incremental take over the partitions. On a scan or a
+    written table no more than ``max_rows + 1`` rows are read; a frame with a
+    shuffle in it (a ``distinct`` over facts) runs that first, so write it once
+    (``materialize``) and check the table."""
     return df.offset(max_rows).isEmpty()
 
 

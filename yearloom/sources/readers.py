@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearloom import schemas
+from yearloom.functions.text import parse_number_text
+
+# Cells that stand for a missing number in landed payloads.
+MISSING_NUMBERS = ["", "NA", "null", "--"]
 
 
 def _normalise_strings(df: DataFrame, blank_as: str) -> DataFrame:
@@ -28,8 +32,9 @@ def read_mapping_csv(spark: SparkSession, path: str, schema: T.StructType | str
                      multi_line: bool = False) -> DataFrame:
     """S1 (``readr::read_csv``): header row, ``NA`` and blank -> missing.
 
-    Without a schema every column is read as text and ``Factor``-like numeric
-    columns are cast with ``try_cast`` (a bad cell becomes missing, ANSI-safe).
+    Without a schema every column is read as text and ``Factor`` is parsed as a
+    number with optional thousands commas; a cell that isn't one becomes missing
+    and is reported by ``factor_violations``.
     A UTF-8 byte-order mark is handled by the reader. ``multi_line`` only for
     files with line breaks inside quoted cells (such a file is read by one task)."""
     r = (spark.read.option("header", True).option("nullValue", "NA").option("multiLine", multi_line)
@@ -40,10 +45,21 @@ def read_mapping_csv(spark: SparkSession, path: str, schema: T.StructType | str
         df = r.option("inferSchema", False).csv(path)
         df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
         if "Factor" in df.columns:
-            df = df.withColumn("Factor", F.col("Factor").try_cast("double"))
+            df = df.withColumn("Factor", parse_number_text(F.col("Factor")))
     return _normalise_strings(df, "null")
 
 
+def factor_violations(spark: SparkSession, path: str, factor_col: str = "Factor") -> DataFrame:
+    """S1 check: rows of a mapping file whose factor cell is neither blank, ``NA``
+    nor a number (``path, factor`` and the row's other cells as read)."""
+    df = spark.read.option("header", True).option("nullValue", "NA").option("escape", '"').csv(path)
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
+    if factor_col not in df.columns:
+        return df.limit(0)
+    cell = F.col(factor_col)
+    return df.where((F.trim(cell) != "") & parse_number_text(cell).isNull())
+
+
 def read_base_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                   multi_line: bool = False) -> DataFrame:
     """S2 (``read.csv``): blank text cells stay ``""`` so ``!= ""`` tests behave."""
@@ -65,23 +81,49 @@ def template_units_from_mapping(mapping: DataFrame, variable_col: str = "Variabl
     return mapping.select(F.col(variable_col).alias("variable"), F.col(unit_col).alias("emf_units")).distinct()
 
 
+def _payload_points(payload: DataFrame) -> DataFrame:
+    point = F.col("p")
+    return payload.select("series_id", "name", F.col("units").alias("unit"), F.explode("data").alias("p")).select(
+        "series_id", "name", "unit", point["year"].cast("string").alias("year_text"), point["value"].cast("string").alias("value_text"))
+
+
 def explode_payload(payload: DataFrame, start: int | None = None) -> DataFrame:
     """S5 after the read: one row per series with a ``data`` array of
     ``(year, value)`` points -> the long observation table
-    ``series_id, name, year, unit, value``. ``start`` keeps points from that year on."""
-    long = payload.select("series_id", "name", F.col("units").alias("unit"), F.explode("data").alias("p")) \
-        .select("series_id", "name", F.col("p.year").cast("int").alias("year"), "unit",
-                F.col("p.value").cast("double").alias("value"))
+    ``series_id, name, year, unit, value``. Years and values may be text; one that
+    doesn't parse is missing here and listed by ``payload_violations``. ``start``
+    drops earlier points inside the arrays, before they become rows."""
     if start is not None:
-        long = long.where(F.col("year") >= F.lit(start))
-    return long.select("series_id", "name", "year", "unit", "value")
+        payload = payload.withColumn("data", F.filter("data", lambda p: p["year"].cast("string").try_cast("int") >= F.lit(start)))
+    return _payload_points(payload).select(
+        "series_id", "name", F.col("year_text").try_cast("int").alias("year"), "unit",
+        parse_number_text(F.col("value_text")).alias("value"))
+
+
+def payload_violations(payload: DataFrame) -> DataFrame:
+    """S5 check: ``series_id, field, cell`` of points whose year or value is present
+    but isn't a number, and of points without a unit and a year (``field`` is
+    ``unit and year``), which no roll-up group can hold."""
+    points = _payload_points(payload)
+    year, value = F.col("year_text"), F.col("value_text")
+    bad_year = year.isNotNull() & year.try_cast("int").isNull()
+    bad_value = value.isNotNull() & ~F.trim(value).isin(MISSING_NUMBERS) & parse_number_text(value).isNull()
+    neither = F.col("unit").isNull() & year.try_cast("int").isNull()
+    found = F.filter(F.array(
+        F.when(bad_year, F.struct(F.lit("year").alias("field"), year.alias("cell"))),
+        F.when(bad_value, F.struct(F.lit("value").alias("field"), value.alias("cell"))),
+        F.when(neither, F.struct(F.lit("unit and year").alias("field"), year.alias("cell")))), lambda x: x.isNotNull())
+    return points.select("series_id", F.explode(found).alias("f")).select("series_id", "f.field", "f.cell")
+
+
+def load_payload(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """All landed payload files in one distributed read (O5), as landed."""
+    return spark.read.schema(schemas.SERIES_PAYLOAD).json(path) if fmt == "json" else spark.read.parquet(path)
 
 
 def read_payload(spark: SparkSession, path: str, fmt: str = "json", start: int | None = None) -> DataFrame:
-    """All landed payload files in one distributed read (O5), then exploded."""
-    reader = spark.read.schema(schemas.SERIES_PAYLOAD)
-    payload = reader.json(path) if fmt == "json" else reader.parquet(path)
-    return explode_payload(payload, start)
+    """Landed payload files, exploded to observations."""
+    return explode_payload(load_payload(spark, path, fmt), start)
 
 
 def read_observations(spark: SparkSession, path: str, start: int | None = None) -> DataFrame:
