@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearloom.llm import textarrays as ta
 from yearloom.session import materialize
 
 MAX_ROUNDS = 60
@@ -38,6 +39,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[label]
 
 
+@ta.released
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:

@@ -48,7 +48,6 @@ MIN_COUNT = 8
 MODEL_CODES = 1 << 21
 HEAVY_WORDS = 1 << 18
 BASE_ALPHA = 0.1
-CHUNK_BYTES = 4 << 20
 MARK = 255  # start and end mark: no byte of UTF-8 text
 END_WORD = np.uint64(0x9D39247E33776D41)  # stands for the end among the words
 HALF, LOG_HALF = math.lgamma(0.5), math.log(0.5)
@@ -101,7 +100,7 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
         self.parts.append(tally(keys, counts))
         self.held += len(self.parts[-1][0])
-        if self.held > 2 * self.joined + 1_000_000:
+        if self.held > 2 * self.joined + 500_000:
             self.total()
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
@@ -159,11 +158,12 @@ def _deal(kind: str, keys: np.ndarray, counts: np.ndarray, owner: np.ndarray) ->
 
 
 def _count(owners: int):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, words, codes = ta.Powers(), Tally(), Tally()
         for batch in batches:
             column = batch.column(0).filter(batch.column(1).fill_null(False))
-            for _, _, data, offsets in ta.blocks(column, CHUNK_BYTES):
+            for _, _, data, offsets in ta.blocks(column):
                 words.add(ta.word_hashes(data, offsets, powers)[0])
                 codes.add(byte_codes(data, offsets)[0])
             if len(column):
@@ -175,6 +175,7 @@ def _count(owners: int):
     return run
 
 
+@ta.released
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """An owner's counts, summed; for codes also how many pairs there are at each depth (2 on) by the size of their contexts."""
     sums: dict[tuple[str, int], Tally] = {}
@@ -319,6 +320,7 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 def _tops(least: int):
     """What the levels above depth 2 need of an owner: pairs of depth 1 with their counts, and sums over depth 2's nodes per node of depth 1."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for codes, counts in _codes(batches):
             pairs, n = pair_counts(codes, counts, 1)
@@ -334,6 +336,7 @@ def _tops(least: int):
 
 
 def _entries(least: int, top):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, above, left, pairs, logs = top.value
         for codes, counts in _codes(batches):
@@ -407,6 +410,7 @@ def _as_codes(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _heavy(least: int):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, counts in _codes(batches):
             use = counts >= least
@@ -449,6 +453,7 @@ def _scored_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _score(model, heavy, total: float, owners: int):
     """Rows of documents (packed by batch) with their model score and the heavy words' part of the base score; and the other words'
     occurrences, packed for their owners."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, table, words = ta.Powers(), model.value, heavy.value
         end_known, end_count = ta.table_get(words, np.array([END_WORD]))
@@ -487,6 +492,7 @@ def _score(model, heavy, total: float, owners: int):
 
 def _rare(total: float):
     """An owner's word counts and the occurrences that wait for them -> per batch and document, sums."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, list] = {}
         waiting: dict[int, list] = {}
@@ -508,6 +514,7 @@ def _rare(total: float):
 
 
 def _finish(train_tokens: int):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: dict[int, tuple] = {}
         sums: dict[int, list] = {}

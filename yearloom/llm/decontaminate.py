@@ -225,6 +225,7 @@ def _index(raw) -> Items:
 
 
 def _matches(raw):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _index(raw)
         for batch in batches:
@@ -244,6 +245,7 @@ def _matches(raw):
 
 
 def _without(raw, text_at: int):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _index(raw)
         for batch in batches:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearloom.llm import textarrays as ta
 from yearloom.llm.components import connected_components, forest
 from yearloom.session import materialize, row_count_at_most
 
@@ -219,6 +220,7 @@ def audited_search(graph: Graph, queries: np.ndarray, threshold: float) -> Itera
 
 # --- Spark -----------------------------------------------------------------------------------------------------------
 
+@ta.released
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, label, vector): the vector's doubles as bytes, null where it can't link."""
     for batch in batches:
@@ -243,6 +245,7 @@ def _units(raw: np.ndarray) -> np.ndarray:
     return (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
 
 
+@ta.released
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard -> one row a shard: its classes, their sizes, vectors and graph."""
     def index(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
@@ -303,6 +306,7 @@ def _search_pairs(threshold: float):
             "a": pa.array(np.concatenate([own, a])), "b": pa.array(np.concatenate([np.zeros(len(own), np.int64), b]), mask=np.arange(len(own) + len(a)) < len(own)),
             "links": pa.array(np.concatenate([links, np.zeros(len(a), np.int64)]))})
 
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):

@@ -63,6 +63,7 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 def _count(labels: list[str]):
     place = {x: k for k, x in enumerate(labels)}
 
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(labels), BUCKETS), np.int64)
         for batch in batches:
@@ -183,6 +184,7 @@ def predict_batch(column: pa.Array, labels: list[str], model: np.ndarray, penalt
 
 
 def _predict(labels: list[str], model, penalty: float):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = predict_batch(batch.column(0), labels, model.value, penalty)
@@ -191,6 +193,7 @@ def _predict(labels: list[str], model, penalty: float):
 
 
 def _accept(labels: list[str], model, penalty: float, text_at: int, min_share: float):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = predict_batch(batch.column(text_at), labels, model.value, penalty)

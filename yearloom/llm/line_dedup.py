@@ -93,6 +93,7 @@ def _suspected(twice: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _hash_blocks(min_chars: int):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = ta.Powers()
         for batch in batches:
@@ -116,6 +117,7 @@ def _hash_blocks(min_chars: int):
 
 def _fill(bits: int):
     """Blocks of one segment after another -> its twice-seen filter."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
@@ -143,6 +145,7 @@ def _digest(data: np.ndarray, left: int, right: int) -> bytes:
 
 def _suspects(bloom, min_chars: int, min_docs: int | None):
     """Rows (digest, doc_id) of the suspected lines. With ``min_docs`` a task keeps each key's ``min_docs`` largest ids."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, twice = ta.Powers(), bloom.value
         found: dict[bytes, list[int]] = {}
@@ -190,6 +193,7 @@ def _keeper(keys: tuple[np.ndarray, np.ndarray, np.ndarray], digest: bytes) -> i
 def _drop(bloom, confirmed, names: list[str], text_at: int, id_at: int, min_chars: int, drops_at: int | None):
     """Rows with the confirmed lines left out, and their counts of lines before and dropped. With ``drops_at`` the digests
     to drop come with the row, in that column, which goes."""
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, twice = ta.Powers(), bloom.value
         keys = confirmed.value if confirmed is not None else None

@@ -37,8 +37,9 @@ SEPARATOR = 0
 GROUP_PIECES = 65_536
 WEIGHTS = (1.0, 0.001, 0.001)  # of tokens, documents, attention cost
 CACHED_WORDS = 600_000  # a task's word cache starts anew beyond this
+CACHED_PARTS = 100_000
 WORDS_PER_CALL = 200
-WORD_BLOCK_BYTES = 4 << 20
+WORD_BLOCK_BYTES = 2 << 20
 
 
 class WordEncoder:
@@ -81,6 +82,8 @@ class WordEncoder:
 
     def learn(self, words: list[str], hashes: np.ndarray) -> None:
         split = [m.groups() if (m := self.simple.fullmatch(w)) else None for w in words]
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {}
         fresh = dict.fromkeys(p for s in split if s for p in s if p and p not in self.parts)
         self.encode_parts(list(fresh))
         odd = iter(self.encode([w for w, s in zip(words, split) if s is None]))
@@ -88,9 +91,8 @@ class WordEncoder:
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         at = len(self.ids) + np.cumsum(count) - count
         self.ids = np.concatenate([self.ids, *ids])
-        hashes, at, count = (np.concatenate(x) for x in ((self.hashes, hashes), (self.at, at), (self.count, count)))
-        order = np.argsort(hashes)
-        self.hashes, self.at, self.count = hashes[order], at[order], count[order]
+        place = np.searchsorted(self.hashes, hashes)  # both ascending
+        self.hashes, self.at, self.count = (np.insert(x, place, y) for x, y in ((self.hashes, hashes), (self.at, at), (self.count, count)))
 
     def rows(self, data: np.ndarray, offsets: np.ndarray, powers: ta.Powers) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, each text's followed by the separator, and the rows' offsets among them."""
@@ -117,6 +119,7 @@ class WordEncoder:
 
 
 def _pieces(tokenizer_json, length: int, with_ids: bool):
+    @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, powers = WordEncoder(tokenizer_json.value), ta.Powers()
         for batch in batches:

@@ -8,13 +8,31 @@ prefix sums modulo 2^64 and mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 
+
+
+def released(run: Callable) -> Callable:
+    """For a task's function over Arrow batches: when it ends, memory that Arrow and the C library still hold goes back to the
+    system, since Spark keeps the worker for later tasks."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+    return wrapped
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
