@@ -89,7 +89,7 @@ def test_dispatcher(spark, facts):
     assert rows(convert_units(facts, to_unit="EJ/yr")) == rows(convert_to_single(facts, "EJ/yr"))
     assert rows(convert_units(facts, from_unit=["GW"], to_unit="MW")) == rows(convert_from_set(facts, ["GW"], "MW"))
     with pytest.raises(UnitConversionError):
-        convert_units(facts, from_unit=["GW", "EJ"], to_unit=["MW"])
+        convert_units(facts, from_unit=["GW", "EJ"], to_unit=["MW", "TJ", "PJ"])
 
 
 def test_there_and_back_is_identity(spark, facts):

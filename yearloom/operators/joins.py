@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
 
 
+SIDE_ONLY = ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti")  # joins that return left columns only
+
+
 def salted_join(fact: DataFrame, dim: DataFrame, cond_keys: Sequence[tuple[str, str]], how: str,
                 buckets: int, seed: int = 17) -> DataFrame:
     """Shuffle join that spreads every key of ``fact`` over ``buckets`` tasks:
@@ -30,7 +33,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, cond_keys: Sequence[tuple[str,
     cond = f["__salt"] == d["__salt"]
     for fk, dk in cond_keys:
         cond = cond & f[fk].eqNullSafe(d[dk])
-    return f.join(d, cond, how).drop(f["__salt"]).drop(d["__salt"])
+    out = f.join(d, cond, how).drop(f["__salt"])
+    return out if how in SIDE_ONLY else out.drop(d["__salt"])
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", *, null_safe: bool = True,
@@ -40,14 +44,14 @@ def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "i
     dimension broadcast when its size is proven small.
 
     Beyond the bound it is a shuffle join (AQE splits skewed partitions); with
-    ``salt_buckets > 1`` it is a salted join instead (``salted_join``) for inner
-    and left joins. Key columns appear once in the output (from the fact side)."""
+    ``salt_buckets > 1`` it is a salted join instead (``salted_join``; missing keys
+    are spread as well) for inner, left, semi and anti joins. Key columns appear once in the output (from the fact side)."""
     keys = list(keys)
     d = broadcast_checked(dim, max_broadcast_rows, known_rows=dim_rows)
-    if salt_buckets > 1 and d is dim and how in ("inner", "left", "left_outer", "leftouter"):
+    if salt_buckets > 1 and d is dim and how in ("inner", "left", "left_outer", "leftouter", *SIDE_ONLY):
         dr = dim.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in dim.columns if c not in keys])
         out = salted_join(fact, dr, [(k, f"__k_{k}") for k in keys], how, salt_buckets)
-        return out.drop(*[f"__k_{k}" for k in keys])
+        return out if how in SIDE_ONLY else out.drop(*[f"__k_{k}" for k in keys])
     if not null_safe:
         return fact.join(d, keys, how)
     dr = d.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in dim.columns if c not in keys])
@@ -56,19 +60,23 @@ def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "i
         c = fact[k].eqNullSafe(dr[f"__k_{k}"])
         cond = c if cond is None else cond & c
     out = fact.join(dr, cond, how)
-    if how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti"):
+    if how in SIDE_ONLY:
         return out
     return out.drop(*[f"__k_{k}" for k in keys])
 
 
-def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              salt_buckets: int = 0) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right`` (missing keys match)."""
-    return join_dim(left, right.select(*keys).distinct(), keys, "left_semi", max_broadcast_rows=max_broadcast_rows)
+    return join_dim(left, right.select(*keys).distinct(), keys, "left_semi", max_broadcast_rows=max_broadcast_rows,
+                    salt_buckets=salt_buckets)
 
 
-def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              salt_buckets: int = 0) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right`` (missing keys match)."""
-    return join_dim(left, right.select(*keys).distinct(), keys, "left_anti", max_broadcast_rows=max_broadcast_rows)
+    return join_dim(left, right.select(*keys).distinct(), keys, "left_anti", max_broadcast_rows=max_broadcast_rows,
+                    salt_buckets=salt_buckets)
 
 
 def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
@@ -77,7 +85,7 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
     """J1 / J2 faithful full outer join of a large fact table with a small dimension.
 
     Spark ignores a broadcast hint on FULL OUTER and would shuffle the whole fact
-    table. Same result, no fact shuffle:
+    table. Same result, no fact shuffle. Runs a job: step 2 is written once.
 
     1. fact LEFT JOIN broadcast(dim)                       (map-side, one pass)
     2. keys of dim that occur in the fact: fact keys semi-joined to the broadcast
@@ -97,8 +105,8 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
                     salt_buckets=salt_buckets)
     # Written once: it is bounded by the dimension, and Catalyst may push the anti
     # join below a UNION inside ``dim`` and copy this subtree (a fact scan) per branch.
-    matched = materialize(join_dim(fact.select(*keys), dim_keys, keys, "left_semi",
-                                   max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows).distinct())
+    matched = materialize(join_dim(fact.select(*keys), dim_keys, keys, "left_semi", max_broadcast_rows=max_broadcast_rows,
+                                   dim_rows=dim_rows, salt_buckets=salt_buckets).distinct())
     dim_only = join_dim(dim, matched, keys, "left_anti", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
     return left.unionByName(dim_only, allowMissingColumns=True)
 

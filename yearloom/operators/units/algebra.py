@@ -26,12 +26,11 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.registry import UnitDef, registry_rows
-from yearloom.session import materialize, row_count_at_most
+from yearloom.session import materialize
 
 _TOKEN_SPLIT = r"[\s*]+"
 _NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
 DIMS_TYPE = "array<struct<dim:string,exp:int>>"
-MAX_REGISTRY_ROWS = 100_000
 
 
 def _dims_text(dims) -> str:
@@ -83,19 +82,13 @@ class UnitLookup:
 
 
 def unit_lookup(registry=None, *, variant: bool = False, extra: list[UnitDef] | None = None) -> UnitLookup:
-    """Build the lookup from the built-in registry (plus ``extra`` definitions),
-    from a list of registry rows, or from a registry DataFrame (size-checked,
-    then read: it is a bounded dimension)."""
-    if isinstance(registry, UnitLookup):
+    """Build the lookup from the built-in registry (plus ``extra`` definitions) or
+    from a list of registry rows. A registry DataFrame (name, kind, scale, dims) is
+    returned as it is: units are then resolved by joins with it, at any size."""
+    if isinstance(registry, (UnitLookup, DataFrame)):
         return registry
     if registry is None:
         return UnitLookup.from_rows(registry_rows(variant, extra))
-    if isinstance(registry, DataFrame):
-        if not row_count_at_most(registry, MAX_REGISTRY_ROWS):
-            raise ValueError(f"unit registry larger than {MAX_REGISTRY_ROWS} rows")
-        rows = [(r["name"], r["kind"], r["scale"], [(d["dim"], d["exp"]) for d in r["dims"]])
-                for r in registry.select("name", "kind", "scale", "dims").collect()]
-        return UnitLookup.from_rows(rows)
     return UnitLookup.from_rows(registry)
 
 
@@ -182,13 +175,52 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
     """Add, for each ``(expr_col, out_col)``, ``out_col`` = struct<scale, dims,
     unresolved> of the unit expression in ``expr_col``. Two projections: the token
     lookup is computed once per row and then referenced (Catalyst does not inline
-    a non-cheap expression that is used several times)."""
+    a non-cheap expression that is used several times). With a registry DataFrame
+    the distinct expressions are resolved by joins and joined back."""
+    if isinstance(lookup, DataFrame):
+        for e, o in specs:
+            done = _resolved_by_join(df.select(F.coalesce(F.col(e), F.lit("")).alias("__e")).distinct(), lookup)
+            df = df.join(done.withColumnRenamed("__r", o), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
+        return df
     toks = [_cached("tokens", e, lookup).alias(f"__toks_{o}") for e, o in specs]
     step = df.select("*", *toks)
     outs = [_cached("summary", f"__toks_{o}", lookup).alias(o) for _, o in specs]
     return step.select(*df.columns, *outs)
 
 
+def _registry_lookup(registry: DataFrame) -> DataFrame:
+    """(mode, key, scale, dims text) rows: exact names, and lower-case spellings of
+    ``name`` units where all that share one agree. Of rows that share a name the
+    largest scale counts."""
+    dims = F.array_join(F.transform(F.array_sort(F.transform("dims", lambda d: F.struct(d["dim"].alias("dim"), d["exp"].alias("exp")))),
+                                    lambda d: F.concat(d["dim"], F.lit(":"), d["exp"].cast("string"))), "|")
+    unit = F.struct(F.col("scale").cast("double").alias("scale"), dims.alias("dims"), F.col("kind").alias("kind"))
+    exact = registry.groupBy("name").agg(F.max(unit).alias("u")).select("name", "u.*")
+    folded = (exact.where("kind = 'name'").groupBy(F.lower("name").alias("key"))
+              .agg(F.min(F.struct("scale", "dims")).alias("a"), F.max(F.struct("scale", "dims")).alias("b")).where("a = b"))
+    return exact.select(F.lit("exact").alias("mode"), F.col("name").alias("key"), "scale", "dims").unionByName(
+        folded.select(F.lit("folded").alias("mode"), "key", "a.scale", "a.dims"))
+
+
+def _resolved_by_join(exprs: DataFrame, registry: DataFrame) -> DataFrame:
+    """Distinct expressions (column ``__e``) with their ``__r`` struct: the tokens'
+    candidate spellings meet the registry in an equi-join, the first in priority wins."""
+    tokens = exprs.select("__e", F.posexplode(_tokens(F.col("__e"))).alias("pos", "t")).select("__e", "pos", "t.tok", "t.sign")
+    single = F.regexp_replace("tok", "s$", "")
+    spellings = F.array(*[F.struct(F.lit(m).alias("mode"), k.alias("key")) for m, k in (
+        ("exact", F.col("tok")), ("exact", single), ("folded", F.lower("tok")), ("folded", F.lower(single)))])
+    asked = tokens.select("*", F.posexplode(spellings).alias("rank", "k")).select("__e", "pos", "tok", "sign", "rank", "k.mode", "k.key")
+    found = asked.join(_registry_lookup(registry), ["mode", "key"], "left").groupBy("__e", "pos", "tok", "sign").agg(
+        F.min(F.when(F.col("scale").isNotNull(), F.struct("rank", "scale", "dims"))).alias("u"))
+    number = F.when(F.col("tok").rlike(_NUMBER_TOKEN), F.col("tok").try_cast("double"))
+    unit = F.when(number.isNotNull(), F.struct(number.alias("scale"), F.lit("").alias("dims"))).when(
+        F.col("u").isNotNull(), F.struct(F.col("u.scale").alias("scale"), F.col("u.dims").alias("dims")))
+    lists = found.groupBy("__e").agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "sign", unit.alias("m")))).alias("__t"))
+    none = F.expr("cast(array() as array<struct<pos:int,tok:string,sign:int,m:struct<scale:double,dims:string>>>)")
+    every = exprs.join(lists, "__e", "left").withColumn("__t", F.coalesce("__t", none))
+    return every.select("__e", _summarize(F.col("__t")).alias("__r"))
+
+
 def with_resolved(df: DataFrame, expr_col: str, out_col: str, lookup: UnitLookup) -> DataFrame:
     """``with_resolved_many`` for one column."""
     return with_resolved_many(df, [(expr_col, out_col)], lookup)

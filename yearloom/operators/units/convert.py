@@ -72,19 +72,24 @@ def _factors(pairs: DataFrame, rename_fun: RenameFun, registry, on_inconvertible
 
 
 def _apply(df: DataFrame, factors: DataFrame, keys: list[tuple[Column, str]], unit_col: str, value_col: str,
-           max_broadcast_rows: int, factor_rows: int | None) -> DataFrame:
+           max_broadcast_rows: int, factor_rows: int | None, salt_buckets: int = 0) -> DataFrame:
     """Join the factor table and rewrite unit/value; a row without a factor
     keeps its unit and value. The factor table is broadcast when its row count
     is known to be within the bound (it has at most as many rows as the distinct
-    pairs); otherwise this is a shuffle join that AQE may re-plan."""
+    pairs); otherwise this is a shuffle join that AQE may re-plan, or with
+    ``salt_buckets > 1`` a salted one: few units hold most rows."""
     f = factors.select(F.col("from_unit").alias("_cf"), F.col("to_unit").alias("_ct"), F.col("factor").alias("_cfac"))
+    cols = df.columns
     if factor_rows is not None and factor_rows <= max_broadcast_rows:
         f = F.broadcast(f)
+    elif salt_buckets > 1:
+        df = df.withColumn("_salt", F.floor(F.rand(29) * salt_buckets).cast("int"))
+        f = f.withColumn("_fsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        keys = [*keys, (F.col("_salt"), "_fsalt")]
     cond = None
     for left, right in keys:
         c = left.eqNullSafe(F.col(right))
         cond = c if cond is None else cond & c
-    cols = df.columns
     j = df.join(f, cond, "left")
     has = F.col("_cfac").isNotNull()
     out = j.withColumn(value_col, F.when(has, F.col(value_col) * F.col("_cfac")).otherwise(F.col(value_col))) \
@@ -94,9 +99,10 @@ def _apply(df: DataFrame, factors: DataFrame, keys: list[tuple[Column, str]], un
 
 def convert_rowwise(df: DataFrame, to_unit: Column | str, *, unit_col: str = "unit", value_col: str = "value",
                     rename_fun: RenameFun = standardize_unit_names, registry=None,
-                    on_inconvertible: str = "error", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    on_inconvertible: str = "error", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """U4: each row's target is ``to_unit`` (a column); a missing target leaves the
-    row untouched; an inconvertible pair raises (or, with ``keep``, passes)."""
+    row untouched; an inconvertible pair raises (or, with ``keep``, passes). Runs a
+    job over the facts: the distinct pairs are written once."""
     check_input(df, unit_col, value_col)
     to = F.col(to_unit) if isinstance(to_unit, str) else to_unit
     spec = df.withColumn("_to_unit", to)
@@ -105,27 +111,28 @@ def convert_rowwise(df: DataFrame, to_unit: Column | str, *, unit_col: str = "un
     pairs, n = _fact_pairs(pairs, max_broadcast_rows)
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
     out = _apply(spec, factors, [(F.col(unit_col), "_cf"), (F.col("_to_unit"), "_ct")], unit_col, value_col,
-                 max_broadcast_rows, n)
+                 max_broadcast_rows, n, salt_buckets)
     return out.drop("_to_unit")
 
 
 def convert_to_single(df: DataFrame, to_unit: str, *, unit_col: str = "unit", value_col: str = "value",
                       rename_fun: RenameFun = standardize_unit_names, registry=None,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Every unit convertible to ``to_unit`` is converted; others pass through."""
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
+    """Every unit convertible to ``to_unit`` is converted; others pass through.
+    Runs a job over the facts: the distinct units are written once."""
     check_input(df, unit_col, value_col)
     pairs = (df.select(F.col(unit_col).alias("from_unit")).where(F.col("from_unit").isNotNull())
              .where(F.col("from_unit") != F.lit(to_unit)))
     pairs, n = _fact_pairs(pairs, max_broadcast_rows)
     factors = _factors(pairs.withColumn("to_unit", F.lit(to_unit)), rename_fun, registry, "keep")
-    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n)
+    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n, salt_buckets)
 
 
 def crosswalk_violations(crosswalk: DataFrame, from_col: str = "from_unit", to_col: str = "to_unit") -> DataFrame:
     """Q2: from-units that map to more than one target (a missing target counts)."""
     return (crosswalk.select(F.col(from_col).alias("from_unit"), F.col(to_col).alias("to_unit")).distinct()
             .groupBy("from_unit").agg(F.count(F.lit(1)).alias("n_targets"),
-                                      F.sort_array(F.collect_list(F.coalesce("to_unit", F.lit("<missing>")))).alias("targets"))
+                                      F.min("to_unit").alias("first_target"), F.max("to_unit").alias("last_target"))
             .where("n_targets > 1"))
 
 
@@ -139,7 +146,7 @@ def _list_violations(rows) -> list[tuple[str, list]]:
 def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str, str | None]], *, unit_col: str = "unit",
                       value_col: str = "value", rename_fun: RenameFun = standardize_unit_names,
                       registry=None, strict: bool = True, on_inconvertible: str = "error",
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, cut_lineage: bool = True) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0, cut_lineage: bool = True) -> DataFrame:
     """Convert by a crosswalk of (from, to) pairs.
 
     ``strict`` keeps the reference rule that a from-unit with two targets - a
@@ -166,7 +173,7 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
         n = int(stats["pairs"])
         if n > max_broadcast_rows:
             n = None          # beyond the bound: the factor join stays a shuffle join
-        bad = ([(r.from_unit, r.targets) for r in crosswalk_violations(xw).limit(20).collect()]
+        bad = ([(r.from_unit, f"{r.n_targets} targets, {r.first_target} to {r.last_target}") for r in crosswalk_violations(xw).limit(20).collect()]
                if stats["bad"] else [])
     else:
         rows = sorted({(a, b) for a, b in crosswalk if strict or b is not None}, key=lambda r: (r[0] or "", r[1] or ""))
@@ -174,10 +181,11 @@ def convert_crosswalk(df: DataFrame, crosswalk: DataFrame | Sequence[tuple[str,
         xw, n = local_frame(spark, rows, "from_unit string, to_unit string"), len(rows)
     if bad:
         detail = "; ".join(f"{a} -> {t}" for a, t in bad)
-        raise UnitConversionError(f"a source unit has more than one target unit: {detail}")
+        count = len(bad) if not isinstance(crosswalk, DataFrame) else stats["bad"]
+        raise UnitConversionError(f"{count} source units have more than one target unit (a missing one counts): {detail}")
     pairs = xw.where(F.col("to_unit").isNotNull() & (F.col("to_unit") != F.col("from_unit")))
     factors = _factors(pairs, rename_fun, registry, on_inconvertible)
-    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n)
+    return _apply(df, factors, [(F.col(unit_col), "_cf")], unit_col, value_col, max_broadcast_rows, n, salt_buckets)
 
 
 def convert_from_set(df: DataFrame, from_units: Sequence[str], to_unit: str, **kw) -> DataFrame:
@@ -187,12 +195,16 @@ def convert_from_set(df: DataFrame, from_units: Sequence[str], to_unit: str, **k
 
 def convert_units(df: DataFrame, to_unit=None, from_unit=None, crosswalk=None, **kw) -> DataFrame:
     """Dispatcher (U8) by parameter type: Column -> rowwise; str -> single target;
-    str + from_unit list -> set; crosswalk -> crosswalk."""
+    str (or a list of one) + from_unit list -> set; lists of one length -> pairs;
+    crosswalk -> crosswalk."""
     if crosswalk is not None:
         return convert_crosswalk(df, crosswalk, **kw)
     if from_unit is not None:
-        if isinstance(to_unit, str):
-            return convert_from_set(df, list(from_unit), to_unit, **kw)
+        from_unit = [from_unit] if isinstance(from_unit, str) else list(from_unit)
+        if to_unit is None or isinstance(to_unit, Column):
+            raise UnitConversionError("from_unit needs to_unit as a string or a list")
+        if isinstance(to_unit, str) or len(to_unit) == 1:
+            return convert_from_set(df, from_unit, to_unit if isinstance(to_unit, str) else to_unit[0], **kw)
         if len(from_unit) != len(to_unit):
             raise UnitConversionError("from_unit and to_unit must be of compatible size")
         return convert_crosswalk(df, list(zip(from_unit, to_unit)), **kw)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearloom.functions.text import below_threshold, parse_number_text
-from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, UNIT_ALIASES, map_whole_values, relabel_units,
+from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, UNIT_ALIASES, relabel_units,
                                            standardize_unit_names)
 from yearloom.operators.aggregate import first_per_key, group_total_keep_rows, key_batches, scaled_rollup
 from yearloom.operators.columns import where_matches
@@ -30,8 +30,8 @@ from yearloom.operators.units.algebra import unit_factor_table
 from yearloom.operators.units.convert import (convert_crosswalk, convert_from_set, convert_rowwise, convert_to_single,
                                               convert_value_columns, pack_units, unpack_units)
 from yearloom.plans import fixtures as fx
-from yearloom.plans.harmonize import (attach_units, change_tracker, clean_inventory, crosswalk_qa, harmonize,
-                                      map_and_rollup, template_units_present)
+from yearloom.plans.harmonize import (attach_units, change_tracker, clean_inventory, crosswalk_qa, display_unit_names,
+                                      harmonize, map_and_rollup, template_units_present)
 from yearloom.plans.mapping import build_series_map, clean_mapping, expand_industry_map, instantiate_template
 from yearloom.sources.readers import explode_payload
 from yearloom.session import materialize
@@ -422,7 +422,7 @@ NULL_VAR_TEMPLATE = fx.TEMPLATE + [(None, "EJ/yr")]
 
 def q_attach_units_full(spark, sf_dir):
     m = union_by_name([_series_map(spark), fx.map_frame(spark, NULL_VAR_MAP, "EIAHistoric", "Historic")])
-    rolled = map_and_rollup(fx.orders_obs(spark, sf_dir), m)
+    rolled = materialize(map_and_rollup(fx.orders_obs(spark, sf_dir), m))  # read twice below
     t = fx.template_frame(spark, NULL_VAR_TEMPLATE).withColumnRenamed("unit", "emf_units")
     return _dbl(full_outer_with_dim(rolled, t, ["variable"]), ["value"])
 
@@ -647,20 +647,23 @@ SELECT series_id, year, count(*) AS n_rows FROM ({fx.OBS_SQL}) GROUP BY series_i
 
 
 def q_pack_unpack_units(spark, sf_dir):
-    df = _line_units(spark, sf_dir)
-    return unpack_units(pack_units(df))
+    """The packed quantity goes through an aggregate (the largest of each order, by value then unit) before it is unpacked."""
+    packed = pack_units(_line_units(spark, sf_dir))
+    return unpack_units(packed.groupBy("l_orderkey").agg(F.max("quantity").alias("quantity"), F.count("*").alias("n_lines")))
 
 
-SQL_PACK_UNPACK_UNITS = f"SELECT l_orderkey, l_linenumber, value, unit FROM ({_line_units_sql()})"
+SQL_PACK_UNPACK_UNITS = f"""
+SELECT l_orderkey, count(*) OVER (PARTITION BY l_orderkey) AS n_lines, value, unit FROM ({_line_units_sql()})
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY value DESC, unit DESC NULLS LAST) = 1
+"""
 
 
 def q_lookup_reverse_names(spark, sf_dir):
     obs = fx.orders_obs(spark, sf_dir, with_key=True)
     j = join_dim(obs, _series_map(spark), ["series_id"], "inner")
     j = join_dim(j, fx.template_frame(spark).withColumnRenamed("unit", "emf_units"), ["variable"], "left")
-    target = F.coalesce(F.col("emf_units"), F.col("unit"))
-    return j.select("o_orderkey", "variable", "unit", target.alias("target_unit"),
-                    map_whole_values(standardize_unit_names(target), TEMPLATE_DISPLAY_NAMES).alias("display_unit"))
+    named = display_unit_names(j.withColumn("target_unit", F.coalesce("emf_units", "unit")), ["target_unit"])
+    return named.select("o_orderkey", "variable", "unit", "target_unit", F.col("target_unit_display").alias("display_unit"))
 
 
 def _display_sql(x: str) -> str:
@@ -773,7 +776,7 @@ def q_change_tracker(spark, sf_dir):
 
 SQL_CHANGE_TRACKER = f"""
 SELECT model, scenario, region, variable, unit,
-       {', '.join(f'CAST(round(CAST("{y}" AS DECIMAL(38,10)), 2) AS DOUBLE) AS "{y}"' for y in CHANGE_YEARS)}
+       {', '.join(f'CAST(round(CAST(CAST("{y}" AS VARCHAR) AS DECIMAL(38,21)), 2) AS DOUBLE) AS "{y}"' for y in CHANGE_YEARS)}
 FROM ({SQL_HARMONIZE_FLAGSHIP})
 """
 

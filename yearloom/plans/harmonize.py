@@ -69,8 +69,8 @@ def template_units_present(template: DataFrame, data: DataFrame, unit_col: str =
     return semi_join(t, materialize(data.select("variable").distinct()), ["variable"])
 
 
-def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool = False,
-                 template_rows: int | None = None) -> DataFrame:
+def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool = False, template_rows: int | None = None,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """attach the template unit (J2), drop missing values (P11), relabel.
 
     A template variable without data would only add rows with a missing value,
@@ -79,19 +79,21 @@ def attach_units(rolled: DataFrame, template_units: DataFrame, *, literal: bool
     if literal:
         j = full_outer_join(rolled, template_units, ["variable"])
     else:
-        j = join_dim(rolled, template_units, ["variable"], "left", dim_rows=template_rows)
+        j = join_dim(rolled, template_units, ["variable"], "left", dim_rows=template_rows, max_broadcast_rows=max_broadcast_rows,
+                     salt_buckets=salt_buckets)
     j = where_present(j, "value")
     return j.withColumn("unit", relabel_units(F.col("variable"), F.col("unit")))
 
 
-def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = True, df_is_written: bool = False
-                        ) -> DataFrame:
+def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = True, df_is_written: bool = False,
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 0) -> DataFrame:
     """convert each row to its template unit with the data's own crosswalk
     (U7), then require every row with a template unit to be in it (Q3).
     ``df_is_written``: ``df`` is already a written table, so its crosswalk needs
     no lineage cut of its own."""
     xw = df.select(F.col("unit").alias("from_unit"), F.col("emf_units").alias("to_unit"))
-    out = materialize(convert_crosswalk(df, xw, strict=strict, cut_lineage=not df_is_written))
+    out = materialize(convert_crosswalk(df, xw, strict=strict, cut_lineage=not df_is_written,
+                                        max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets))
     if check:
         assert_empty(nonmatch(out), "rows not in the template unit")
     return out
@@ -161,9 +163,10 @@ def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, yea
         # would cost a second pass over the facts.
         tu = template.select("variable", F.col("unit").alias("emf_units")).distinct()
     # the template is a dimension: bound it once (its distinct units are no more)
-    t_rows = DEFAULT_BROADCAST_ROWS if row_count_at_most(template, DEFAULT_BROADCAST_ROWS) else None
-    attached = materialize(attach_units(rolled, tu, literal=literal, template_rows=t_rows))
-    converted = convert_to_template(attached, strict=strict, df_is_written=True)
+    t_rows = max_broadcast_rows if row_count_at_most(template, max_broadcast_rows) else max_broadcast_rows + 1
+    sizes = {"max_broadcast_rows": max_broadcast_rows, "salt_buckets": salt_buckets}
+    attached = materialize(attach_units(rolled, tu, literal=literal, template_rows=t_rows, **sizes))
+    converted = convert_to_template(attached, strict=strict, df_is_written=True, **sizes)
     long = long_table(converted)
     out = {"long": long, "crosswalk_qa": crosswalk_qa(attached)}
     if build_wide:

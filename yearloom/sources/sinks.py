@@ -16,7 +16,8 @@ def _writer(df: DataFrame, order_by: Sequence[str] | None, single_file: bool):
     if single_file:
         # Only for small published outputs (the wide tables): one ordered file.
         df = df.coalesce(1)
-    return df.write.mode("overwrite").option("header", True)
+    # a quote inside a cell is doubled, as the readers expect
+    return df.write.mode("overwrite").option("header", True).option("escape", '"')
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None, single_file: bool = False) -> str:
