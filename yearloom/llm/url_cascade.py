@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearloom.session import materialize
+from yearloom.session import local_frame, materialize
 
 BUCKET_BITS = 32_768  # bits of one bitmap_construct_agg bitmap
 BITS_PER_KEY = 10
@@ -139,8 +139,9 @@ def judge(pages: DataFrame, url: str, allow: list[tuple[str, str]], block: list[
 
     universe = asked.select("host", "path").distinct().select(F.explode(keys).alias("key"))
     listed = {"allow": allow, "block": block}
-    cascades = {k: build_cascade(spark.createDataFrame([(h + p,) for h, p in v], "key string"), universe, max_bytes)
-                for k, v in listed.items()}
+    rows = {k: local_frame(spark, [(h + p,) for h, p in v], "key string") if v else spark.range(0).select(F.lit("").alias("key"))
+            for k, v in listed.items()}
+    cascades = {k: build_cascade(v, universe, max_bytes) for k, v in rows.items()}
     hosts = build_cascade(blocked_hosts, asked.select(F.col("host").alias("key")), max_bytes)
     if None in cascades.values():
         raise ValueError("the rule list passes max_bytes; raise it or pass the rules as blocked_hosts")
