@@ -39,7 +39,7 @@ WEIGHTS = (1.0, 0.001, 0.001)  # of tokens, documents, attention cost
 CACHED_WORDS = 600_000  # a task's word cache starts anew beyond this
 CACHED_PARTS = 100_000
 WORDS_PER_CALL = 200
-WORD_BLOCK_BYTES = 2 << 20
+WORD_BLOCK_BYTES = 1 << 20
 
 
 class WordEncoder:

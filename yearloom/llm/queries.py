@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_PER_BATCH = 2000  # of Arrow batches to and from Python tasks: about 6 MB of documents of the usual length
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's 10,000 rows, so texts take little memory on either side of a task. Sets the session's option."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+
+
 # --- 1: language ID --------------------------------------------------------------------------------------------------
 
 def fold(modulus: int):
@@ -21,6 +29,7 @@ def fold(modulus: int):
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     found = language_mix.identify(docs, fold(5) != 0)
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
@@ -35,18 +44,21 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 3: LM scoring ---------------------------------------------------------------------------------------------------
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return context_tree.score_documents(table(spark, sf_dir, "documents"), fold(10) != 0)
 
 
 # --- 4: n-gram Jaccard join ------------------------------------------------------------------------------------------
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
 # --- 5: line dedup ----------------------------------------------------------------------------------------------------
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -71,6 +83,7 @@ FROM marked GROUP BY doc_id
 # --- 6: benchmark decontamination ------------------------------------------------------------------------------------
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -169,6 +182,7 @@ def tokenizer_file() -> str:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
