@@ -42,11 +42,3 @@ def test_conversion_broadcasts_factors(spark, rolled):
     plan = _plan(out)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "BatchEvalPython" not in plan
-
-
-def test_filter_reaches_the_scan(spark):
-    from pyspark.sql import functions as F
-
-    o = spark.read.parquet(f"{SF}/orders.parquet").where(F.col("o_orderstatus") == "F").select("o_totalprice")
-    plan = _plan(o)
-    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan

@@ -488,13 +488,13 @@ FROM part""", "p_partkey, variable, unit_in", unit="unit_in")
 
 def _golden_part(spark, sf_dir, pairs):
     p = _t(spark, sf_dir, "part")
-    return p.select("p_partkey", _pick("p_partkey", [a for a, _ in pairs]).alias("from_unit"),
-                    _pick("p_partkey", [b for _, b in pairs]).alias("to_unit"))
+    return p.select("p_partkey", _pick("p_size", [a for a, _ in pairs]).alias("from_unit"),
+                    _pick("p_size", [b for _, b in pairs]).alias("to_unit"))
 
 
 def _golden_part_sql(pairs) -> str:
-    return (f"SELECT p_partkey, {_pick_sql('p_partkey', [a for a, _ in pairs])} AS from_unit, "
-            f"{_pick_sql('p_partkey', [b for _, b in pairs])} AS to_unit FROM part")
+    return (f"SELECT p_partkey, {_pick_sql('p_size', [a for a, _ in pairs])} AS from_unit, "
+            f"{_pick_sql('p_size', [b for _, b in pairs])} AS to_unit FROM part")
 
 
 def q_unit_standardize(spark, sf_dir):

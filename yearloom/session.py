@@ -9,7 +9,9 @@ the session names (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -70,6 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) on a cluster")
     path = tempfile.mkdtemp(prefix="yearloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)  # a local session's own folder
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 
