@@ -19,6 +19,7 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,7 +38,6 @@ SEPARATOR = 0
 GROUP_PIECES = 65_536
 WEIGHTS = (1.0, 0.001, 0.001)  # of tokens, documents, attention cost
 CACHED_WORDS = 600_000  # a task's word cache starts anew beyond this
-CACHED_PARTS = 100_000
 WORDS_PER_CALL = 200
 WORD_BLOCK_BYTES = 1 << 20
 
@@ -46,6 +46,7 @@ class WordEncoder:
     """Ids of words, each distinct word encoded once while it is cached."""
 
     def __init__(self, tokenizer_json: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
@@ -63,31 +64,29 @@ class WordEncoder:
         self.at = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
-        self.parts: dict[str, np.ndarray] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_parts(self, parts: list[str]) -> None:
-        """Ids of letter runs and punctuation runs into the cache, many runs in one call where their ends can be told."""
+    def encode_parts(self, parts: list[str]) -> dict[str, np.ndarray]:
+        """Ids of letter runs and punctuation runs, many runs in one call where their ends can be told."""
+        found: dict[str, np.ndarray] = {}
         for k in range(0, len(parts), WORDS_PER_CALL):
             own = parts[k:k + WORDS_PER_CALL]
             if self.ends_word is not None:
                 ids = self.encode([" ".join(own)])[0]
                 ends = np.flatnonzero(self.ends_word[ids]) + 1
                 if len(ends) == len(own) and ends[-1] == len(ids):
-                    self.parts.update(zip(own, np.split(ids, ends[:-1])))
+                    found.update(zip(own, np.split(ids, ends[:-1])))
                     continue
-            self.parts.update(zip(own, self.encode(own)))
+            found.update(zip(own, self.encode(own)))
+        return found
 
     def learn(self, words: list[str], hashes: np.ndarray) -> None:
         split = [m.groups() if (m := self.simple.fullmatch(w)) else None for w in words]
-        if len(self.parts) > CACHED_PARTS:
-            self.parts = {}
-        fresh = dict.fromkeys(p for s in split if s for p in s if p and p not in self.parts)
-        self.encode_parts(list(fresh))
+        parts = self.encode_parts(list(dict.fromkeys(p for s in split if s for p in s if p)))
         odd = iter(self.encode([w for w, s in zip(words, split) if s is None]))
-        ids = [next(odd) if s is None else self.parts[s[0]] if not s[1] else np.concatenate([self.parts[s[0]], self.parts[s[1]]]) for s in split]
+        ids = [next(odd) if s is None else parts[s[0]] if not s[1] else np.concatenate([parts[s[0]], parts[s[1]]]) for s in split]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         at = len(self.ids) + np.cumsum(count) - count
         self.ids = np.concatenate([self.ids, *ids])

@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-ROWS_PER_BATCH = 2000  # of Arrow batches to and from Python tasks: about 6 MB of documents of the usual length
+ROWS_PER_BATCH = 1000  # of Arrow batches to and from Python tasks: about 3 MB of documents of the usual length
 
 
 def small_batches(spark: SparkSession) -> None:

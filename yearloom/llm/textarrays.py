@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 
