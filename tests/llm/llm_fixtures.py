@@ -1,3 +1,5 @@
+"""Fixtures that the operator tests import (a second conftest would hide the first)."""
+
 import pytest
 from pyspark.sql import types as T
 
@@ -11,8 +13,3 @@ def docs(spark):
     def make(*rows):
         return spark.createDataFrame([(r[0], r[1], r[2] if len(r) > 2 else "en", "s", None if r[1] is None else len(r[1])) for r in rows], DOCS)
     return make
-
-
-@pytest.fixture(scope="session")
-def real_docs(spark):
-    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

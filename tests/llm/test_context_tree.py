@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from yearloom.llm import context_tree as C
 from yearloom.llm import textarrays as ta
+from llm_fixtures import docs  # noqa: F401
 
 
 def symbols(text):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from yearloom.llm import decontaminate as D
 from yearloom.llm import textarrays as ta
+from llm_fixtures import docs  # noqa: F401
 
 
 def plain(text):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearloom.llm import language_mix as L
+from llm_fixtures import docs  # noqa: F401
 
 VOWELS = {"aa": "the and of that with which from have this are for not", "bb": "der die und nicht von mit ist auch eine werden zwischen sich",
           "cc": "que los para una por con las del como pero todos muy"}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearloom.llm import line_dedup as L
+from llm_fixtures import docs  # noqa: F401
 
 WS = " \t\n\x0b\x0c\r"
 LONG = "This line is long enough"

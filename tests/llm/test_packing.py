@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearloom.llm import packing as P
+from llm_fixtures import docs  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
