@@ -129,6 +129,22 @@ def test_model_bound_doubles_the_least_count(docs):
     check(small, ROWS, sizes[min(k for k in pairs if pairs[k] <= 60)])
 
 
+@pytest.mark.parametrize("cached", [0, 60])
+def test_contexts_beyond_the_cache_are_scored_too(docs, cached):
+    model = Brute([t for i, t in ROWS if is_learned(i)], 1)
+    check(C.score_documents(docs(*ROWS).repartition(3), learn(), min_count=1, cached_codes=cached), ROWS, model)
+
+
+def test_model_grows_with_the_corpus(docs, spark):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnop ") for _ in range(300))) for i in range(60)]
+    cached = C.train(docs(*rows).select("text", F.lit(True).alias("learn")), min_count=1, cached_codes=500)
+    kept = [len(r["keys"]) // 8 for r in cached[3].collect()]
+    assert sum(kept) > 10 * (cached[4].value[0] != 0).sum()
+    model = Brute([t for i, t in rows if is_learned(i)], 1)
+    check(C.score_documents(docs(*rows), learn(), min_count=1, cached_codes=500), rows, model)
+
+
 def test_probabilities_add_up_to_one():
     rng = random.Random(1)
     texts = ["".join(rng.choice("abé .") for _ in range(rng.randrange(60))) for _ in range(40)]

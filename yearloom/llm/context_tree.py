@@ -8,17 +8,22 @@ probability plus half the product of its children's, which gives the share ``w``
 node's own estimate in the mixture over all depths:
 ``p = w_0 KT_0 + (1 - w_0)(w_1 KT_1 + (1 - w_1)( ... ))``.
 
-Contexts with ``MIN_COUNT`` training bytes or more are nodes; the other contexts below a
-node count in its weighting as one child. ``MODEL_CODES`` bounds the model that tasks
-receive: if the nodes' (context, byte) pairs pass it, the least count doubles until they
-fit. A byte never seen after a context gets the context's unseen probability, shared out as
-by the next shorter context.
+Contexts with ``MIN_COUNT`` training bytes or more are nodes, however many these are (only a
+caller's ``model_codes`` bounds them: the least count then doubles until their (context, byte)
+pairs fit); the other contexts below a node count in its weighting as one child. A byte never
+seen after a context gets the context's unseen probability, shared out as by the next shorter
+context.
 
 Training, as Spark jobs: tasks count (context, byte) pairs and words of their documents;
 owners (by the last two bytes, by the word) add the counts up; weights go up the trees and
 mixtures down inside the owners, and only the two top levels (at most 256 x 256 counts) meet
 on the driver.
 
+Scoring: tasks receive a cache of the largest contexts, whole, of about ``CACHED_CODES`` pairs.
+It settles the bytes whose longest context it holds, as all shorter ones are then in it too.
+The others go, packed, to the owners of their last ``DEALT`` bytes, which hold every node of
+``DEALT`` bytes or more (shorter ones are broadcast), and come back as sums per document.
+
 The base score needs every word's training count. Words with at least 1 / ``HEAVY_WORDS`` of the
 tokens (so at most ``HEAVY_WORDS``) are broadcast; occurrences of the others go, packed, to the
 words' owners, and come back as sums per document.
@@ -45,7 +50,8 @@ from yearloom.session import materialize
 
 DEPTH = 6
 MIN_COUNT = 8
-MODEL_CODES = 1 << 21
+CACHED_CODES = 1 << 21
+DEALT = 3  # last bytes of a context that name the owner of its probabilities
 HEAVY_WORDS = 1 << 18
 BASE_ALPHA = 0.1
 MARK = 255  # start and end mark: no byte of UTF-8 text
@@ -100,12 +106,14 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
         self.parts.append(tally(keys, counts))
         self.held += len(self.parts[-1][0])
-        if self.held > 2 * self.joined + 500_000:
+        if self.held > 2 * self.joined + 250_000:
             self.total()
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = tally(np.concatenate([k for k, _ in self.parts] or [np.zeros(0, np.uint64)]),
-                             np.concatenate([c for _, c in self.parts] or [np.zeros(0, np.int64)]))
+        keys = np.concatenate([k for k, _ in self.parts] or [np.zeros(0, np.uint64)])
+        counts = np.concatenate([c for _, c in self.parts] or [np.zeros(0, np.int64)])
+        self.parts = []  # not held while the join sorts
+        keys, counts = tally(keys, counts)
         self.parts, self.held, self.joined = [(keys, counts)], len(keys), len(keys)
         return keys, counts
 
@@ -132,6 +140,17 @@ def unpack_counts(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.int64).ravel()
 
 
+def pack_small(values: np.ndarray) -> bytes:
+    """Integers under 2^32, compressed."""
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def unpack_small(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
 def context(codes: np.ndarray, depth: int) -> np.ndarray:
     """The context of ``depth`` bytes of full codes."""
     return codes >> np.uint64(8 * (DEPTH + 1 - depth)) if depth else np.zeros(len(codes), np.uint64)
@@ -290,17 +309,19 @@ def model_key(keys: np.ndarray, depth: int, whole: bool) -> np.ndarray:
     return ta.mix(keys | tag if DEPTH < 7 else keys ^ ta.mix(np.array([tag]))[0])
 
 
-def entries(level: Level, logs: np.ndarray, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Table entries (key, ln): every pair's probability, and every context's factor for bytes unseen after it. ``shorter``: the pairs'
-    probabilities in the context one byte shorter."""
-    contexts, start, _ = runs(level.pairs >> np.uint64(8))
+def entries(level: Level, logs: np.ndarray, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Table entries (key, ln): every pair's probability, and every context's factor for bytes unseen after it; and the context of each
+    entry and its count. ``shorter``: the pairs' probabilities in the context one byte shorter."""
+    contexts, start, length = runs(level.pairs >> np.uint64(8))
     if not len(contexts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32), contexts, start
+    total = np.add.reduceat(level.counts, start)
     unseen = 1 - np.add.reduceat(np.exp(logs), start)
     other = 1 - np.add.reduceat(shorter, start)
     factor = np.log(np.maximum(unseen, 1e-12) / np.maximum(other, 1e-12))
     return (np.concatenate([model_key(level.pairs, level.depth, False), model_key(contexts, level.depth, True)]),
-            np.concatenate([logs, np.minimum(factor, 0.0 + 700)]).astype(np.float32))
+            np.concatenate([logs, np.minimum(factor, 0.0 + 700)]).astype(np.float32),
+            np.concatenate([level.pairs >> np.uint64(8), contexts]), np.concatenate([np.repeat(total, length), total]))
 
 
 def _levels(codes: np.ndarray, counts: np.ndarray, least: int) -> list[Level]:
@@ -335,27 +356,57 @@ def _tops(least: int):
     return run
 
 
-def _entries(least: int, top):
+TABLE = "kind string, owner int, keys binary, logs binary"
+
+
+def _entries(least: int, cached: int, top, owners: int):
+    """Table entries of an owner's codes: those of contexts under ``DEALT`` bytes ("short"), of the others with ``cached`` training bytes
+    or more ("cached"), and all the others by the owner of their last ``DEALT`` bytes ("model")."""
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, above, left, pairs, logs = top.value
         for codes, counts in _codes(batches):
+            rows, parts = [], []
             shorter_pairs, shorter_logs = pairs, logs
             upper_nodes, upper_above, upper_left = nodes, above, left
             for level in reversed(_levels(codes, counts, least)):
                 at = ta.lookup(upper_nodes, parent(level.nodes))
                 own = level.mix(upper_above[at], upper_left[at])
                 shorter = np.exp(shorter_logs[ta.lookup(shorter_pairs, parent(level.pairs))])
-                keys, values = entries(level, own, shorter)
-                yield pa.RecordBatch.from_pydict({"keys": pa.array([keys.tobytes()], pa.binary()), "logs": pa.array([values.tobytes()], pa.binary())})
+                keys, values, contexts, sizes = entries(level, own, shorter)
+                if level.depth < DEALT:
+                    rows.append(("short", -1, keys, values))
+                else:
+                    large = sizes >= cached
+                    rows.append(("cached", -1, keys[large], values[large]))
+                    parts.append((keys, values, code_owner(contexts >> np.uint64(8 * (level.depth - DEALT)), owners)))
                 shorter_pairs, shorter_logs = level.pairs, own
                 upper_nodes, upper_above, upper_left = level.nodes, level.above, level.left
+            keys, values, owner = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(owner, kind="stable")
+            who, at = np.unique(owner[order], return_index=True)
+            rows += [("model", o, keys[order[a:b]], values[order[a:b]]) for o, a, b in zip(who.tolist(), at.tolist(), [*at[1:].tolist(), len(order)])]
+            types = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+            columns = zip(*[(kind, o, k.tobytes(), x.tobytes()) for kind, o, k, x in rows])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=["kind", "owner", "keys", "logs"])
     return run
 
 
-def train(texts: DataFrame, model_codes: int = MODEL_CODES, min_count: int = MIN_COUNT, heavy_words: int = HEAVY_WORDS):
-    """From ``texts`` (text, learn): the table of counts (one row an owner and kind), tokens N, distinct tokens V, and the broadcast
-    tables of the byte model and of the heavy words' counts. Runs the training jobs."""
+def code_owner(contexts: np.ndarray, owners: int) -> np.ndarray:
+    """Owner of the probabilities after contexts of ``DEALT`` bytes."""
+    return (ta.mix(contexts) % np.uint64(owners)).astype(np.int32)
+
+
+def _joined(rows: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    use = [k for k, x in enumerate(rows["kind"].to_pylist()) if x == kind]
+    return (np.frombuffer(b"".join(rows["keys"][k].as_py() for k in use), np.uint64),
+            np.frombuffer(b"".join(rows["logs"][k].as_py() for k in use), np.float32))
+
+
+def train(texts: DataFrame, model_codes: int | None = None, min_count: int = MIN_COUNT, heavy_words: int = HEAVY_WORDS, cached_codes: int = CACHED_CODES):
+    """From ``texts`` (text, learn): the table of counts (one row an owner and kind), tokens N, distinct tokens V, the table of the byte
+    model (by owner), and the broadcast byte model's cache, its entries of contexts under ``DEALT`` bytes, and the heavy words' counts.
+    Runs the training jobs."""
     spark = texts.sparkSession
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = materialize(texts.mapInArrow(_count(owners), COUNTED).repartition(owners, "owner").mapInArrow(_add_up, COUNTED))
@@ -369,10 +420,8 @@ def train(texts: DataFrame, model_codes: int = MODEL_CODES, min_count: int = MIN
     sizes = np.zeros((DEPTH + 1, 64), np.int64)
     for r in codes.select("sizes").toLocalIterator():  # one row an owner
         sizes += np.frombuffer(r["sizes"], np.int64).reshape(DEPTH + 1, 64)
-    step = max(0, math.ceil(math.log2(min_count)))
-    while step < 63 and sizes[:, step:].sum() > model_codes:
-        step += 1
-    least = 1 << step
+    least = 1 << _step(sizes, min_count, model_codes) if model_codes is not None else min_count
+    cached = 1 << _step(sizes, least, cached_codes)
 
     rows = codes.mapInArrow(_tops(least), "node boolean, key long, n long, log double, n0 double, n1 double").groupBy("node", "key").agg(
         *[F.sum(k).alias(k) for k in ("n", "log", "n0", "n1")]).orderBy("node", "key").toArrow()  # at most 2 x 256 x 256
@@ -395,13 +444,22 @@ def train(texts: DataFrame, model_codes: int = MODEL_CODES, min_count: int = MIN
     none.mix(np.zeros(len(none.nodes)), np.ones(len(none.nodes)))
     up = ta.lookup(none.nodes, parent(one.nodes))
     one_logs = one.mix(none.above[up], none.left[up])
-    first = [(model_key(full, 0, False), byte_logs.astype(np.float32)), entries(one, one_logs, np.exp(byte_logs[(one.pairs & np.uint64(255)).astype(np.int64)]))]
+    first = [(model_key(full, 0, False), byte_logs.astype(np.float32)), entries(one, one_logs, np.exp(byte_logs[(one.pairs & np.uint64(255)).astype(np.int64)]))[:2]]
     top = spark.sparkContext.broadcast((one.nodes, one.above, one.left, one.pairs, one_logs))
-    rest = codes.mapInArrow(_entries(least, top), "keys binary, logs binary").toArrow()  # model_codes pairs and their contexts
-    keys = np.concatenate([*[k for k, _ in first], *[np.frombuffer(x, np.uint64) for x in rest["keys"].to_pylist()]])
-    logs = np.concatenate([*[x for _, x in first], *[np.frombuffer(x, np.float32) for x in rest["logs"].to_pylist()]])
-    model = spark.sparkContext.broadcast(ta.hash_table(keys, logs))
-    return counted, n, v, model, spark.sparkContext.broadcast(ta.hash_table(heavy_keys, heavy_counts))
+    table = materialize(codes.mapInArrow(_entries(least, cached, top, owners), TABLE))
+    rest = table.where("kind <> 'model'").select("kind", "keys", "logs").toArrow()  # cached_codes pairs and their contexts, and depth 2
+    short = [np.concatenate(x) for x in zip(*first, _joined(rest, "short"))]
+    cache = [np.concatenate(x) for x in zip(short, _joined(rest, "cached"))]
+    share = spark.sparkContext.broadcast
+    return counted, n, v, table.where("kind = 'model'"), share(ta.hash_table(*cache)), share(tuple(short)), share(ta.hash_table(heavy_keys, heavy_counts))
+
+
+def _step(sizes: np.ndarray, least: int, most: int) -> int:
+    """log2 of the least power of two, ``least`` or more, such that contexts of that count have at most ``most`` pairs."""
+    step = max(0, math.ceil(math.log2(least)))
+    while step < 63 and sizes[:, step:].sum() > most:
+        step += 1
+    return step
 
 
 def _as_codes(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -420,9 +478,10 @@ def _heavy(least: int):
 
 # --- scoring ---------------------------------------------------------------------------------------------------------
 
-def code_logs(model: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> np.ndarray:
-    """ln probability of the byte in each code, given its context."""
-    out = np.zeros(len(codes))
+def code_logs(model: tuple[np.ndarray, np.ndarray], codes: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """ln probability of the byte in each code, given its context; and, unless the table is ``whole``, which codes' longest context it
+    lacks: these it can't settle (0)."""
+    out, unsettled = np.zeros(len(codes)), np.zeros(len(codes), bool)
     todo, own = np.arange(len(codes)), codes
     for d in range(DEPTH, -1, -1):
         pairs = (context(own, d) << np.uint64(8)) | (own & np.uint64(255)) if d < DEPTH else own
@@ -434,7 +493,24 @@ def code_logs(model: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> np.nda
         if d:
             found, value = ta.table_get(model, model_key(context(own, d), d, True))
             out[todo[found]] += value[found]
-    return out
+            if d == DEPTH and not whole:
+                unsettled[todo[~found]] = True
+                todo, own = todo[found], own[found]
+    return out, unsettled
+
+
+def _waiting(name: int, codes: np.ndarray, rows: np.ndarray, owners: int) -> Iterator[tuple]:
+    """Codes and the rows they are in, packed for the codes' owners."""
+    order = np.argsort(codes)
+    codes, rows = codes[order], rows[order]
+    tops, _, length = runs(context(codes, DEALT))
+    owner = np.repeat(code_owner(tops, owners), length)
+    order = np.argsort(owner, kind="stable")
+    codes, rows, owner = codes[order], rows[order], owner[order]
+    who, at = np.unique(owner, return_index=True)
+    for o, a, b in zip(who.tolist(), at.tolist(), [*at[1:].tolist(), len(owner)]):
+        distinct, _, count = runs(codes[a:b])
+        yield ("code", name, o, pack(distinct), pack_small(count), pack_small(rows[a:b]), *[None] * 4)
 
 
 SCORED = "kind string, batch long, owner int, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
@@ -452,7 +528,7 @@ def _scored_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _score(model, heavy, total: float, owners: int):
     """Rows of documents (packed by batch) with their model score and the heavy words' part of the base score; and the other words'
-    occurrences, packed for their owners."""
+    occurrences and the codes that the cache can't settle, packed for their owners."""
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, table, words = ta.Powers(), model.value, heavy.value
@@ -463,6 +539,7 @@ def _score(model, heavy, total: float, owners: int):
             ids, fold = batch.column(1), batch.column(2)
             tokens, known, score, base = np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             rare, rows = [np.full(0, END_WORD)], [np.zeros(0, np.int32)]
+            wait, wait_rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
             if end_known[0]:
                 known += 1
                 base += math.log10(end_count[0] + BASE_ALPHA) - total
@@ -470,7 +547,10 @@ def _score(model, heavy, total: float, owners: int):
                 rare, rows = [np.full(n, END_WORD)], [np.arange(n, dtype=np.int32)]
             for first, end, data, offsets in ta.blocks(batch.column(0)):
                 codes, at = byte_codes(data, offsets)
-                score[first:end] = np.add.reduceat(code_logs(table, codes), at[:-1]) / math.log(10)
+                logs, unsettled = code_logs(table, codes, False)
+                score[first:end] = np.add.reduceat(logs, at[:-1]) / math.log(10)
+                wait.append(codes[unsettled])
+                wait_rows.append(np.repeat(np.arange(first, end, dtype=np.int32), np.add.reduceat(unsettled, at[:-1], dtype=np.int64)))
                 hashes, _, _, counts = ta.word_hashes(data, offsets, powers)
                 row = np.repeat(np.arange(first, end, dtype=np.int32), counts)
                 found, count = ta.table_get(words, hashes)
@@ -487,6 +567,31 @@ def _score(model, heavy, total: float, owners: int):
             who, at = np.unique(owner[order], return_index=True)
             for o, a, b in zip(who.tolist(), at.tolist(), [*at[1:].tolist(), len(order)]):
                 yield _scored_batch([_packed("word", name, o, rare[order[a:b]], rows[order[a:b]])])
+            for row in _waiting(name, np.concatenate(wait), np.concatenate(wait_rows), owners):
+                yield _scored_batch([row])
+    return run
+
+
+def _settle(short):
+    """Rows sorted by owner, each owner's part of the byte model ahead of the codes that wait for it -> per batch and document, sums."""
+    @ta.released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, parts, model = None, [], None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                if r["owner"] != owner:
+                    owner, parts, model = r["owner"], [short.value], None
+                if r["kind"] == "model":
+                    parts.append((np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.float32)))
+                    continue
+                if model is None:
+                    model, parts = ta.hash_table(*(np.concatenate(x) for x in zip(*parts))), []
+                logs = np.repeat(code_logs(model, unpack(r["a"]), True)[0], unpack_small(r["b"]))
+                rows = unpack_small(r["c"])
+                sums = np.bincount(rows, logs) / math.log(10)
+                docs = np.flatnonzero(np.bincount(rows))
+                yield _scored_batch([("score", r["batch"], 0, pack_small(docs), sums[docs].tobytes(), *[None] * 5)])
     return run
 
 
@@ -518,16 +623,21 @@ def _finish(train_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: dict[int, tuple] = {}
         sums: dict[int, list] = {}
+        codes: dict[int, list] = {}
         for batch in batches:
             for r in batch.to_pylist():
                 if r["kind"] == "doc":
                     docs[r["batch"]] = tuple(np.frombuffer(r[k], t).copy() for k, t in zip("abcdefg", (np.int64, bool, np.int8, np.int64, np.int64, float, float)))
+                elif r["kind"] == "score":
+                    codes.setdefault(r["batch"], []).append((r["a"], r["b"]))
                 else:
                     sums.setdefault(r["batch"], []).append((np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], np.int64), np.frombuffer(r["c"], float)))
         for name, (ids, missing, fold, tokens, known, score, base) in docs.items():
             for rows, k, x in sums.get(name, ()):
                 known[rows] += k
                 base[rows] += x
+            for rows, x in codes.get(name, ()):
+                score[unpack_small(rows)] += np.frombuffer(x, float)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(ids, mask=missing), "held_out": pa.array(fold == 0, mask=fold == 2), "n_tokens": pa.array(tokens),
                 "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(ids), train_tokens, np.int64)),
@@ -535,17 +645,20 @@ def _finish(train_tokens: int):
     return run
 
 
-def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", model_codes: int = MODEL_CODES,
-                    min_count: int = MIN_COUNT, heavy_words: int = HEAVY_WORDS) -> DataFrame:
+def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", model_codes: int | None = None,
+                    min_count: int = MIN_COUNT, heavy_words: int = HEAVY_WORDS, cached_codes: int = CACHED_CODES) -> DataFrame:
     """doc_id, held_out (not ``learn``), n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row."""
     texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), learn.alias("learn"))
-    counted, n, v, model, heavy = train(texts.select("text", "learn"), model_codes, min_count, heavy_words)
+    counted, n, v, table, cache, short, heavy = train(texts.select("text", "learn"), model_codes, min_count, heavy_words, cached_codes)
     total = math.log10(n + BASE_ALPHA * (v + 1))
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = materialize(texts.mapInArrow(_score(model, heavy, total, owners), SCORED))
+    scored = materialize(texts.mapInArrow(_score(cache, heavy, total, owners), SCORED))
     waiting = scored.where("kind = 'word'").select("kind", "batch", "owner", "a", "b")
     counts = counted.where("kind = 'word'").select(F.lit("count").alias("kind"), F.lit(0).cast("long").alias("batch"), "owner",
                                                     F.col("keys").alias("a"), F.col("counts").alias("b"))
     sums = waiting.unionByName(counts).repartition(owners, "owner").mapInArrow(_rare(total), SCORED)
-    rows = scored.where("kind = 'doc'").unionByName(sums).repartition(owners, "batch")
+    entries_ = table.select("kind", F.lit(0).cast("long").alias("batch"), "owner", F.col("keys").alias("a"), F.col("logs").alias("b"), F.lit(None).cast("binary").alias("c"))
+    open_ = scored.where("kind = 'code'").select("kind", "batch", "owner", "a", "b", "c").unionByName(entries_)
+    settled = open_.repartition(owners, "owner").sortWithinPartitions("owner", F.col("kind") != "model").mapInArrow(_settle(short), SCORED)
+    rows = scored.where("kind = 'doc'").unionByName(sums).unionByName(settled).repartition(owners, "batch")
     return rows.mapInArrow(_finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
