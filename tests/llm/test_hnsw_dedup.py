@@ -108,6 +108,26 @@ def test_beam_widens_until_the_audit_passes(monkeypatch):
     assert max(widths) >= len(x)
 
 
+@pytest.mark.parametrize("own", [True, False])
+def test_sparse_pairs_beside_a_dense_group(own):
+    rng = np.random.default_rng(3)
+    dense, pairs = rng.normal(size=(1, 16)) + rng.normal(size=(400, 16)) * .05, rng.normal(size=(100, 16))
+    x = H._units(np.concatenate([dense, pairs, pairs + rng.normal(size=pairs.shape) * .05]))
+    graph = H.build(x)
+    for links in graph.layers:  # the pairs can't be reached
+        links[links >= len(dense)] = -1
+    true = x @ x.T >= .93
+    assert true[:400].sum() > 100 * true[400:].sum()
+    for first, sims in H.audited_search(graph, x, .93, *[np.arange(len(x))] * own):
+        assert ((sims >= .93) == true[first:first + len(sims)])[max(0, 400 - first):].all()
+
+
+def test_audit_takes_queries_with_few_finds_and_none_by_itself():
+    finds = np.array([300] * 400 + [0] * 100)
+    got = H.audited(finds, np.where(finds > 0, .99, .5), 128)
+    assert (got >= 400).sum() == 100 and (got < 400).sum() >= 128
+
+
 def test_one_vector_shards():
     graph = H.build(H._units(np.array([[1.0, 0.0]])))
     (first, sims), = H.audited_search(graph, graph.units, .93)

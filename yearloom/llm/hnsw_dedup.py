@@ -5,10 +5,11 @@ class; distinct ones are dealt to shards of about ``SHARD_VECTORS``, and every s
 hierarchical navigable small-world graph, written to the checkpoint folder. Each shard's
 vectors, as a block of queries, then search every shard of their label: greedily down the
 layers, by a beam in the lowest one, and on from every vector within ``SLACK`` of the
-threshold to its neighbours, so all of a dense group is reached. Each search is audited: for a
-sample of the queries, half of them those with the most similar finds, it is held against all
-of the shard; below ``RECALL`` the beam doubles and the search is repeated, at the widest over
-the whole shard. Found pairs are verified by cosine in double precision; links give
+threshold to its neighbours, so all of a dense group is reached. Each search is audited: for
+samples of the queries with many finds and of those with few, half of each those with the most
+similar finds, it is held against all of the shard; if it found less than ``RECALL`` of any
+query's pairs with others, the beam doubles and the search is repeated, at the widest over the
+whole shard. Found pairs are verified by cosine in double precision; links give
 components.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component, or
@@ -39,7 +40,8 @@ AT_ONCE = 512  # queries
 EXPAND = 4  # beam entries expanded at a time
 SLACK = 0.02
 RECALL = 0.99
-AUDITED = 256  # queries of each search
+AUDITED = 256  # queries of each search with more than LINKS finds, and as many of the others
+ROUNDING = 1e-4  # of similarities in single precision
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -199,20 +201,35 @@ def search(graph: Graph, queries: np.ndarray, threshold: float, width: int) -> n
                 sims[q2[b:b + 50_000], n2[b:b + 50_000]] = np.einsum("kd,kd->k", queries[q2[b:b + 50_000]], units[n2[b:b + 50_000]])
 
 
-def audited_search(graph: Graph, queries: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(first query, similarities) for blocks of queries; each block's beam widens until it passes the audit."""
+def audited(finds: np.ndarray, best: np.ndarray, share: int) -> np.ndarray:
+    """Queries to audit: of those with more than ``LINKS`` finds, and of the others, the ``share`` with the best find and as many evenly
+    spread ones."""
+    out = [np.zeros(0, np.int64)]
+    for group in (np.flatnonzero(finds > LINKS), np.flatnonzero(finds <= LINKS)):
+        out += [group[np.argsort(-best[group])[:share]], group[::max(1, len(group) // share)]]
+    return np.unique(np.concatenate(out))
+
+
+def audited_search(graph: Graph, queries: np.ndarray, threshold: float, itself: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(first query, similarities) for blocks of queries; each block's beam widens until it passes the audit. ``itself``: the node that
+    each query is (-1: none), which is no find."""
     width = BEAM
+    itself = np.full(len(queries), -1) if itself is None else itself
     for a in range(0, len(queries), AT_ONCE):
-        own = queries[a:a + AT_ONCE]
+        own, same = queries[a:a + AT_ONCE], itself[a:a + AT_ONCE]
         while True:
             sims = search(graph, own, threshold, width)
             if width >= len(graph.units):
                 break
-            share = max(1, AUDITED * len(own) // AT_ONCE // 2)
-            likely = np.argsort(-sims.max(1))[:share]
-            every = np.unique(np.concatenate([likely, np.arange(0, len(own), max(1, len(own) // share))]))
+            others = sims.copy()
+            here = np.flatnonzero(same >= 0)
+            others[here, same[here]] = -2
+            found = others >= threshold - ROUNDING
+            every = audited(found.sum(1), others.max(1), max(1, AUDITED * len(own) // AT_ONCE // 2))
             true = own[every] @ graph.units.T >= threshold
-            if (true & (sims[every] >= threshold)).sum() >= RECALL * true.sum():
+            here = np.flatnonzero(same[every] >= 0)
+            true[here, same[every][here]] = False
+            if ((true & found[every]).sum(1) >= RECALL * true.sum(1)).all():
                 break
             width *= 2
         yield a, sims
@@ -289,8 +306,8 @@ def _search_pairs(threshold: float):
         query = np.frombuffer(r["q_vectors"], np.float64).reshape(len(own), -1)
         norm, q_norm = np.linalg.norm(raw, axis=1), np.linalg.norm(query, axis=1)
         links, a, b = np.zeros(len(own), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for first, sims in audited_search(graph, _units(query), threshold):
-            q, node = np.nonzero(sims >= threshold - 1e-4)
+        for first, sims in audited_search(graph, _units(query), threshold, ta.lookup(cids, own)):
+            q, node = np.nonzero(sims >= threshold - ROUNDING)
             q = q + first
             good = np.zeros(len(q), bool)
             for k in range(0, len(q), 50_000):
