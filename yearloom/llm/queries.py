@@ -3,10 +3,13 @@ and the same results in SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, id_files, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
+from yearloom.session import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,6 +189,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+# --- 11: token-ID files -----------------------------------------------------------------------------------------------
+
+END_ID = 1
+
+
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    folder = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    manifest = id_files.write_ids(table(spark, sf_dir, "documents"), tokenizer_file(), END_ID, folder)
+    return id_files.read_ids(manifest, folder)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -197,6 +212,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_packing": op10_packing,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLE_SQL = {

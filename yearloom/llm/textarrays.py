@@ -88,7 +88,10 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole rows of about ``limit`` bytes; a longer row is its own block."""
-    data, offsets = string_buffers(column)
+    yield from _row_runs(*string_buffers(column), limit)
+
+
+def _row_runs(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     row, n = 0, len(offsets) - 1
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
@@ -101,9 +104,27 @@ def per_row(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(positions, offsets))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cut_blocks(column: pa.Array, limit: int = BLOCK_BYTES, space: np.ndarray = SPACE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of each piece, whether it is the row's last, bytes, offsets) of runs of pieces of about ``limit`` bytes. Rows are one piece
+    each but for those longer than ``limit``: these are cut after a byte that parts words, so a word is never cut."""
+    data, offsets = string_buffers(column)
+    for first, end, own, at in _row_runs(data, offsets, limit):
+        if end - first > 1 or len(own) <= limit:
+            yield np.arange(first, end), np.ones(end - first, bool), own, at
+            continue
+        a = 0
+        while a < len(own):
+            b = min(a + limit, len(own))
+            while b < len(own) and not space[own[b - 1]]:
+                gap = np.flatnonzero(space[own[b:b + limit]])
+                b = b + int(gap[0]) + 1 if len(gap) else min(b + limit, len(own))
+            yield np.array([first]), np.array([b == len(own)]), own[a:b], np.array([0, b - a])
+            a = b
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and each row's number of words."""
-    solid = ~SPACE[data]
+    solid = ~space[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins, ends = solid.copy(), solid.copy()
@@ -114,10 +135,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(ends) + 1, per_row(starts, offsets)
 
 
-def prefix_sums(data: np.ndarray, powers: Powers) -> np.ndarray:
+def prefix_sums(data: np.ndarray, powers: Powers, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
     up, _ = powers.upto(len(data))
-    np.cumsum(BYTE_VALUES[data] * up[:len(data)], out=sums[1:], dtype=np.uint64)
+    np.cumsum(values[data] * up[:len(data)], out=sums[1:], dtype=np.uint64)
     return sums
 
 
@@ -126,9 +147,9 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of every word, and each row's number of words."""
-    starts, ends, counts = word_spans(data, offsets)
+    starts, ends, counts = word_spans(data, offsets, space)
     return span_hashes(prefix_sums(data, powers), starts, ends, powers), starts, ends, counts
 
 
