@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, id_files, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade
+from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, id_files, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade, whitening
 from yearloom.session import scratch_dir
 
 
@@ -201,6 +201,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_ids(manifest, folder)
 
 
+# --- 12: embedding whitening ------------------------------------------------------------------------------------------
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -213,6 +220,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_packing": op10_packing,
     "op11_token_files": op11_token_files,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL = {
