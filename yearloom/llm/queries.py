@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, id_files, jaccard_join, language_mix, line_dedup, packing, sharding, url_cascade, whitening
+from yearloom.llm import chat, context_tree, decontaminate, hnsw_dedup, id_files, jaccard_join, language_mix, line_dedup, packing, ranked_search, sharding, url_cascade, whitening
 from yearloom.session import scratch_dir
 
 
@@ -208,6 +208,36 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+# --- 13: ranked lexical search ----------------------------------------------------------------------------------------
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, total GROUP BY term, docs),
+impact AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS impact
+  FROM tfs JOIN weights USING (term) JOIN lengths USING (doc_id), total),
+scored AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM asked JOIN impact USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -221,10 +251,12 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_token_files": op11_token_files,
     "op12_whitening": op12_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE_SQL = {
     "op5_line_dedup": OP5_SQL,
     "op8_url_filters": OP8_SQL,
     "op9_chat_formatting": OP9_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
