@@ -25,7 +25,7 @@ from yearloom.plans.mapping import (DEFAULT_DATASETS, DEFAULT_SCENARIOS, VALID_R
                                     clean_mapping, expand_industry_map, instantiate_template, restrict_to_catalog, tag_mapping,
                                     template_subset)
 from yearloom.session import scratch_dir
-from yearloom.sources.readers import (explode_payload, payload_violations, read_base_csv, read_mapping_csv, read_payload,
+from yearloom.sources.readers import (corrupt_csv_rows, explode_payload, load_payload, payload_violations, read_base_csv, read_mapping_csv, read_payload,
                                       template_units_from_mapping)
 from yearloom.sources.sinks import write_csv, write_csv_quoted, write_tsv
 
@@ -95,6 +95,43 @@ SQL_PAYLOAD_JSON = f"""
 SELECT series_id, name, year, unit, CAST(value AS DOUBLE) AS value FROM ({fx.OBS_SQL}) WHERE year >= 1997
 """
 
+# A payload line for each event, some cut off, some with text where the points should be.
+_LINE = ("concat('{\"series_id\":\"E', CAST(event_id AS VARCHAR(20)), '\",\"name\":\"', event_type, '\",\"units\":\"u\",\"data\":[{\"year\":\"', "
+         "CAST(year(ts) AS VARCHAR(4)), '\",\"value\":', CAST(user_id AS VARCHAR(20)), '}]}')")
+_CUT_LINE = _case([("event_id % 9 = 0", f"substring({_LINE}, 1, 40)"), ("event_id % 9 = 1", f"replace({_LINE}, '[{{', '\"oops\",\"rest\":[{{')")], _LINE)
+
+
+def q_corrupt_records(spark, sf_dir):
+    """Landed JSON lines that were cut or hold another form come out whole, as text; the others' points are read."""
+    path = f"{scratch_dir(spark)}/lines-{uuid.uuid4().hex}"
+    _t(spark, sf_dir, "events").select(F.expr(_CUT_LINE).alias("value")).write.text(path)
+    payload = load_payload(spark, path)
+    points = explode_payload(payload).select("series_id", F.lit("point").alias("field"), F.concat_ws(" ", F.col("year").cast("string"), F.col("value").cast("long").cast("string")).alias("cell"))
+    bad = payload_violations(payload)
+    return points.unionByName(bad.withColumn("series_id", F.when(F.col("field") != "record", F.col("series_id"))))
+
+
+SQL_CORRUPT_RECORDS = f"""
+SELECT CASE WHEN event_id % 9 > 1 THEN 'E' || CAST(event_id AS VARCHAR) END AS series_id, CASE WHEN event_id % 9 > 1 THEN 'point' ELSE 'record' END AS field,
+       CASE WHEN event_id % 9 > 1 THEN CAST(year(ts) AS VARCHAR) || ' ' || CAST(user_id AS VARCHAR) ELSE {_CUT_LINE} END AS cell FROM events
+"""
+
+_ROW = "concat('\"', replace(p_name, '\"', ''), '\",P', CAST(p_partkey AS VARCHAR(20)), ',', CAST(p_size AS VARCHAR(20)))"
+_CUT_ROW = _case([("p_partkey % 8 = 0", f"concat({_ROW}, ',more')"), ("p_partkey % 8 = 1", "concat('P', CAST(p_partkey AS VARCHAR(20)), ',1')"),
+                  ("p_partkey % 8 = 2", f"concat({_ROW}, '\"')"), ("p_partkey % 8 = 3", f"substring({_ROW}, 1, 3)")], _ROW)
+
+
+def q_corrupt_csv_rows(spark, sf_dir):
+    """Rows with cells too many or too few, and with a quote that never ends."""
+    path = f"{scratch_dir(spark)}/rows-{uuid.uuid4().hex}"
+    _t(spark, sf_dir, "part").select(F.expr(_CUT_ROW).alias("value")).write.text(path)
+    return corrupt_csv_rows(spark, path, "Variable string, Series_ID string, Factor string", header=False)
+
+
+SQL_CORRUPT_CSV_ROWS = f"""
+SELECT CASE WHEN p_partkey % 8 >= 2 THEN 'quote' ELSE 'cells' END AS problem, {_CUT_ROW} AS record FROM part WHERE p_partkey % 8 < 4
+"""
+
 _NOTE = _case([("o_orderkey % 5 = 0", "NULL"), ("o_orderkey % 5 = 1", "''"), ("o_orderkey % 5 = 2", "'a, \"quoted\" note'")], "o_orderpriority")
 
 
@@ -343,6 +380,8 @@ QUERIES = {
     "ingest_violations": q_ingest_violations,
     "ingest_text_numbers": q_ingest_text_numbers,
     "payload_json": q_payload_json,
+    "corrupt_records": q_corrupt_records,
+    "corrupt_csv_rows": q_corrupt_csv_rows,
     "sink_roundtrip": q_sink_roundtrip,
     "rollup_missing_unit": q_rollup_missing_unit,
     "rounded_values": q_rounded_values,
@@ -362,6 +401,8 @@ ORACLE_SQL = {
     "ingest_violations": SQL_INGEST_VIOLATIONS,
     "ingest_text_numbers": SQL_INGEST_TEXT_NUMBERS,
     "payload_json": SQL_PAYLOAD_JSON,
+    "corrupt_records": SQL_CORRUPT_RECORDS,
+    "corrupt_csv_rows": SQL_CORRUPT_CSV_ROWS,
     "sink_roundtrip": SQL_SINK_ROUNDTRIP,
     "rollup_missing_unit": SQL_ROLLUP_MISSING_UNIT,
     "rounded_values": SQL_ROUNDED_VALUES,

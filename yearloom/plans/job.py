@@ -26,7 +26,7 @@ from yearloom.plans.harmonize import export_change_tracker, export_wide, harmoni
 from yearloom.plans.mapping import (build_series_map, clean_mapping, expand_industry_map, instantiate_template,
                                     tag_mapping)
 from yearloom.session import materialize, remove_scratch
-from yearloom.sources.readers import (explode_payload, factor_violations, load_payload, payload_violations,
+from yearloom.sources.readers import (corrupt_csv_rows, explode_payload, factor_violations, load_payload, payload_violations,
                                       read_base_csv, read_mapping_csv, read_observations, read_template)
 from yearloom.sources.sinks import write_csv, write_csv_quoted, write_parquet
 
@@ -60,6 +60,8 @@ class JobSpec:
 def expand_key_template(spark: SparkSession, spec: JobSpec) -> str:
     """the key template with the industry grid appended, ordered by descending
     variable, as an all-quoted CSV (blank cells stay blank); returns its path."""
+    for path in (spec.key_template_path, spec.industry_path, spec.industry_var_path):
+        assert_empty(corrupt_csv_rows(spark, path), f"{path}: rows that aren't whole")
     base = read_base_csv(spark, spec.key_template_path)
     base = base.withColumn("Factor", parse_number_text(F.col("Factor")))
     grid = expand_industry_map(read_base_csv(spark, spec.industry_path), read_base_csv(spark, spec.industry_var_path), base)
@@ -69,14 +71,17 @@ def expand_key_template(spark: SparkSession, spec: JobSpec) -> str:
 
 def load_series_map(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """F1 + F3 + F4 + F5: clean every mapping, tag it, instantiate the key
-    template over the grid, and union them. A factor cell that isn't a number is an
-    error: the strict sum would make its whole variable missing."""
+    template over the grid, and union them. A row that isn't whole (a cell too many
+    or too few, an open quote) or a factor cell that isn't a number is an error: the
+    strict sum would lose the row's variable, or make it missing as a whole."""
     maps = []
     for path, ds, sc in spec.tagged_mappings:
+        assert_empty(corrupt_csv_rows(spark, path), f"{path}: rows that aren't whole")
         assert_empty(factor_violations(spark, path), f"{path}: factor cells that aren't numbers")
         maps.append(tag_mapping(clean_mapping(read_mapping_csv(spark, path)), ds, sc, spec.region))
     if spec.key_template_path:
         path = spec.key_template_path if spec.industry_path is None else expand_key_template(spark, spec)
+        assert_empty(corrupt_csv_rows(spark, path), f"{path}: rows that aren't whole")
         assert_empty(factor_violations(spark, path), f"{path}: factor cells that aren't numbers")
         tmpl = clean_mapping(read_mapping_csv(spark, path))
         maps.append(instantiate_template(tmpl, list(spec.datasets), list(spec.scenarios), spec.region))
@@ -85,7 +90,7 @@ def load_series_map(spark: SparkSession, spec: JobSpec) -> DataFrame:
 
 def load_observations(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, DataFrame]:
     """observations from landed payloads (one distributed read) or a flat table,
-    and the points that failed to parse. Only rows without unit and year are left out
+    and the records and points that failed to parse. Only rows without unit and year are left out
     (and reported): no group of the roll-up could hold them."""
     if spec.payload_path:
         payload = load_payload(spark, spec.payload_path, spec.payload_format)
@@ -101,7 +106,10 @@ def run_job(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     """Run the job and write its outputs; returns the output paths."""
     series_map = load_series_map(spark, spec)
     obs, bad = load_observations(spark, spec)
-    template = read_template(spark, spec.template_path, "parquet" if spec.template_path.endswith(".parquet") else "csv")
+    parquet = spec.template_path.endswith(".parquet")
+    if not parquet:
+        assert_empty(corrupt_csv_rows(spark, spec.template_path), f"{spec.template_path}: rows that aren't whole")
+    template = read_template(spark, spec.template_path, "parquet" if parquet else "csv")
     result = harmonize(obs, series_map, template.select("variable", "unit"), years=spec.years, strict=spec.strict,
                        max_broadcast_rows=spec.max_broadcast_rows, salt_buckets=spec.salt_buckets)
     wide = materialize(result["wide"])  # pivoted once for both exports

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from yearloom import schemas
 from yearloom.functions.text import parse_number_text
 
+# Where Spark's readers put the raw text of a record that isn't of the declared form.
+CORRUPT = "_corrupt_record"
+
 # Cells that stand for a missing number in landed payloads.
 MISSING_NUMBERS = ["", "NA", "null", "--"]
 
@@ -60,6 +63,41 @@ def factor_violations(spark: SparkSession, path: str, factor_col: str = "Factor"
     return df.where((F.trim(cell) != "") & parse_number_text(cell).isNull())
 
 
+def corrupt_csv_rows(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",",
+                     multi_line: bool = False, header: bool = True) -> DataFrame:
+    """S1 / S2 / S3 check: ``problem, record`` of rows that aren't whole, with their raw text.
+
+    ``problem`` is ``cells`` (more or fewer than the header or ``schema`` has, or one that
+    isn't of the schema's type) or ``quote`` (a quoted cell that never ends; in the last
+    cell no number of cells gives it away). Blank lines are no rows. With ``multi_line``
+    cells may hold line breaks, records come as Spark's reader delimits them, and an open
+    quote shows as ``cells``. One scan of the file's lines, no shuffle."""
+    if schema is None:
+        names = spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line).option("escape", '"').csv(path).columns
+        schema = T.StructType([T.StructField(n.lstrip("\ufeff"), T.StringType()) for n in names])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    if multi_line:
+        # every column is parsed whatever is selected, so that all cells are seen
+        rows = (spark.read.schema(whole).option("header", header).option("sep", sep).option("nullValue", "NA").option("multiLine", True)
+                .option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
+        # Spark refuses a scan of the raw text alone: an empty part of a parsed cell makes it read that too
+        nothing = F.substring(F.col(f"`{whole.fields[0].name}`").cast("string"), 1, 0)
+        return rows.where(F.col(CORRUPT).isNotNull()).select(F.concat_ws("", F.lit("cells"), nothing).alias("problem"), F.col(CORRUPT).alias("record"))
+    head = spark.read.text(path).first() if header else None
+    record = F.regexp_replace("value", "\r$", "")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if head is not None:
+        lines = lines.where(F.col("value") != head[0])  # every file's first line
+    options = {"sep": sep, "nullValue": "NA", "escape": '"', "columnNameOfCorruptRecord": CORRUPT}
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.fields)
+    parsed = lines.select(record.alias("record"), F.from_csv(record, columns, options).alias("row"))
+    quotes = F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))
+    problem = F.when(quotes % 2 == 1, "quote").when(F.col("row").getField(CORRUPT).isNotNull(), "cells")
+    return parsed.select(problem.alias("problem"), "record").where("problem is not null")
+
+
 def read_base_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                   multi_line: bool = False) -> DataFrame:
     """S2 (``read.csv``): blank text cells stay ``""`` so ``!= ""`` tests behave."""
@@ -92,7 +130,10 @@ def explode_payload(payload: DataFrame, start: int | None = None) -> DataFrame:
     ``(year, value)`` points -> the long observation table
     ``series_id, name, year, unit, value``. Years and values may be text; one that
     doesn't parse is missing here and listed by ``payload_violations``. ``start``
-    drops earlier points inside the arrays, before they become rows."""
+    drops earlier points inside the arrays, before they become rows. Records that were
+    landed corrupt (``load_payload``) give no points, not even the part that parsed."""
+    if CORRUPT in payload.columns:
+        payload = payload.where(F.col(CORRUPT).isNull())
     if start is not None:
         payload = payload.withColumn("data", F.filter("data", lambda p: p["year"].cast("string").try_cast("int") >= F.lit(start)))
     return _payload_points(payload).select(
@@ -102,8 +143,12 @@ def explode_payload(payload: DataFrame, start: int | None = None) -> DataFrame:
 
 def payload_violations(payload: DataFrame) -> DataFrame:
     """S5 check: ``series_id, field, cell`` of points whose year or value is present
-    but isn't a number, and of points without a unit and a year (``field`` is
-    ``unit and year``), which no roll-up group can hold."""
+    but isn't a number, of points without a unit and a year (``field`` is
+    ``unit and year``), which no roll-up group can hold, and of landed records that
+    aren't of the payload's form (``record``: the cell is their raw text)."""
+    if CORRUPT in payload.columns:
+        broken = payload.where(F.col(CORRUPT).isNotNull()).select("series_id", F.lit("record").alias("field"), F.col(CORRUPT).alias("cell"))
+        return payload_violations(payload.where(F.col(CORRUPT).isNull()).drop(CORRUPT)).unionByName(broken)
     points = _payload_points(payload)
     year, value = F.col("year_text"), F.col("value_text")
     bad_year = year.isNotNull() & year.try_cast("int").isNull()
@@ -117,8 +162,17 @@ def payload_violations(payload: DataFrame) -> DataFrame:
 
 
 def load_payload(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """All landed payload files in one distributed read (O5), as landed."""
-    return spark.read.schema(schemas.SERIES_PAYLOAD).json(path) if fmt == "json" else spark.read.parquet(path)
+    """All landed payload files in one distributed read (O5), as landed. A JSON
+    line that is cut, or that has a field of another form, keeps its raw text in
+    ``_corrupt_record`` (``payload_violations`` lists it)."""
+    if fmt != "json":
+        return spark.read.parquet(path)
+    landed = T.StructType([*schemas.SERIES_PAYLOAD.fields, T.StructField(CORRUPT, T.StringType())])
+    # from lines, not by the JSON source: that one parses only the fields a query selects, and misses faults in the others
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", landed, {"columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    broken = F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), F.col("value"))
+    return parsed.select(*[F.col(f"r.{f.name}") for f in schemas.SERIES_PAYLOAD.fields], broken.alias(CORRUPT))
 
 
 def read_payload(spark: SparkSession, path: str, fmt: str = "json", start: int | None = None) -> DataFrame:
