@@ -29,7 +29,7 @@ from yearloom.operators.units.registry import UnitDef, registry_rows
 from yearloom.session import materialize
 
 _TOKEN_SPLIT = r"[\s*]+"
-_NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
+NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
 DIMS_TYPE = "array<struct<dim:string,exp:int>>"
 
 
@@ -53,6 +53,8 @@ class UnitLookup:
     def from_rows(cls, rows) -> UnitLookup:
         exact = {}
         for name, kind, scale, dims in rows:
+            if name in exact:
+                raise RepeatedUnits(f"units defined more than once: {name}")
             exact[name] = (float(scale), _dims_text(sorted((d, int(e)) for d, e in dims)), kind)
         lowered: dict[str, set] = {}
         for name, (scale, dims, kind) in exact.items():
@@ -81,18 +83,37 @@ class UnitLookup:
                 m(self.ci_keys, self.ci_scales, "double"), m(self.ci_keys, self.ci_dims, "string"))
 
 
-def unit_lookup(registry=None, *, variant: bool = False, extra: list[UnitDef] | None = None) -> UnitLookup:
+@dataclass(frozen=True)
+class RegistryTable:
+    """A registry as a table (name, kind, scale, dims and, if units take prefixes, prefixable) of any size, and its prefixes."""
+
+    units: DataFrame
+    prefixes: DataFrame | None = None
+
+
+class RepeatedUnits(ValueError):
+    """A registry that holds a name more than once."""
+
+
+def unit_lookup(registry=None, *, variant: bool = False, extra: list[UnitDef] | None = None, prefixes: DataFrame | None = None):
     """Build the lookup from the built-in registry (plus ``extra`` definitions) or
-    from a list of registry rows. A registry DataFrame (name, kind, scale, dims) is
-    returned as it is: units are then resolved by joins with it, at any size."""
-    if isinstance(registry, (UnitLookup, DataFrame)):
+    from a list of registry rows. With a registry DataFrame (name, kind, scale, dims)
+    units are resolved by joins with it, at any size; units it marks ``prefixable`` also
+    with the ``prefixes`` (prefix, kind, factor) given. A name that occurs twice, in a
+    list or a table, is refused: which of its meanings counts would be an accident."""
+    if isinstance(registry, (UnitLookup, RegistryTable)):
         return registry
+    if isinstance(registry, DataFrame):
+        twice = [r["name"] for r in repeated_units(registry).orderBy("name").limit(10).collect()]
+        if twice:
+            raise RepeatedUnits(f"units defined more than once: {', '.join(map(str, twice))}")
+        return RegistryTable(registry, prefixes)
     if registry is None:
         return UnitLookup.from_rows(registry_rows(variant, extra))
     return UnitLookup.from_rows(registry)
 
 
-def _tokens(expr: Column) -> Column:
+def unit_tokens(expr: Column) -> Column:
     """array<struct<tok string, sign int>> for a unit expression."""
     sides = F.split(F.coalesce(expr, F.lit("")), "/")
 
@@ -110,7 +131,7 @@ def _lookup_token(tok: Column, maps) -> Column:
     """struct<scale double, dims string> for one token, or NULL if unknown."""
     ex_s, ex_d, ci_s, ci_d = maps
     single = F.regexp_replace(tok, "s$", "")
-    numeric = F.when(tok.rlike(_NUMBER_TOKEN), tok.try_cast("double"))
+    numeric = F.when(tok.rlike(NUMBER_TOKEN), tok.try_cast("double"))
     cands = [(ex_s, ex_d, tok), (ex_s, ex_d, single), (ci_s, ci_d, F.lower(tok)), (ci_s, ci_d, F.lower(single))]
     out = F.when(numeric.isNotNull(), F.struct(numeric.alias("scale"), F.lit("").alias("dims")))
     for ms, md, k in cands:
@@ -127,7 +148,7 @@ def _parse_dims(text: Column) -> Column:
 
 def _resolved_tokens(expr: Column, maps) -> Column:
     """array<struct<tok, sign, m: struct<scale, dims text>>> for an expression."""
-    return F.transform(_tokens(expr), lambda t: F.struct(t["tok"].alias("tok"), t["sign"].alias("sign"),
+    return F.transform(unit_tokens(expr), lambda t: F.struct(t["tok"].alias("tok"), t["sign"].alias("sign"),
                                                          _lookup_token(t["tok"], maps).alias("m")))
 
 
@@ -177,9 +198,10 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
     lookup is computed once per row and then referenced (Catalyst does not inline
     a non-cheap expression that is used several times). With a registry DataFrame
     the distinct expressions are resolved by joins and joined back."""
-    if isinstance(lookup, DataFrame):
+    if isinstance(lookup, RegistryTable):
+        asked = df.select(F.explode(F.array_distinct(F.array(*[F.coalesce(F.col(e), F.lit("")) for e, _ in specs]))).alias("__e")).distinct()
+        done = _resolved_by_join(asked, lookup.units, lookup.prefixes)
         for e, o in specs:
-            done = _resolved_by_join(df.select(F.coalesce(F.col(e), F.lit("")).alias("__e")).distinct(), lookup)
             df = df.join(done.withColumnRenamed("__r", o), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
         return df
     toks = [_cached("tokens", e, lookup).alias(f"__toks_{o}") for e, o in specs]
@@ -188,37 +210,73 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
     return step.select(*df.columns, *outs)
 
 
+def prefix_splits(tokens: DataFrame, tok_col: str, prefixes: DataFrame, units: DataFrame) -> DataFrame:
+    """``tok_col, unit, factor`` of the tokens that are a prefix and a prefixable unit of the prefix's kind; the longest prefix counts.
+    Every beginning of a token meets the prefixes (``prefix, kind, factor``), and its rest the ``units`` (``unit, kind, prefixable``)."""
+    longest = prefixes.agg(F.max(F.length("prefix"))).first()[0] or 0
+    if not longest:
+        return tokens.limit(0).select(tok_col, F.col(tok_col).alias("unit"), F.lit(1.0).alias("factor"))
+    cut = tokens.select(tok_col, F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("k")).where(F.col("k") < F.length(tok_col))
+    cut = cut.select(tok_col, "k", F.substring(F.col(tok_col), F.lit(1), F.col("k")).alias("prefix"), F.expr(f"substring(`{tok_col}`, k + 1)").alias("unit"))
+    found = cut.join(prefixes.select("prefix", "kind", "factor"), "prefix").join(units.where("prefixable").select("unit", "kind"), ["unit", "kind"])
+    return found.groupBy(tok_col).agg(F.max_by(F.struct("unit", "factor"), F.struct("k", "unit")).alias("u")).select(tok_col, "u.unit", "u.factor")
+
+
+def repeated_units(registry: DataFrame) -> DataFrame:
+    """U1 check: names that a registry table holds more than once (``name, n_rows``)."""
+    return registry.groupBy("name").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+
+
 def _registry_lookup(registry: DataFrame) -> DataFrame:
-    """(mode, key, scale, dims text) rows: exact names, and lower-case spellings of
-    ``name`` units where all that share one agree. Of rows that share a name the
-    largest scale counts."""
+    """(mode, key, scale, dims text, kind, prefixable) rows: exact names, and lower-case spellings of ``name`` units where all that
+    share one agree. Written once: both sides of a factor, and every spelling, read it."""
     dims = F.array_join(F.transform(F.array_sort(F.transform("dims", lambda d: F.struct(d["dim"].alias("dim"), d["exp"].alias("exp")))),
                                     lambda d: F.concat(d["dim"], F.lit(":"), d["exp"].cast("string"))), "|")
-    unit = F.struct(F.col("scale").cast("double").alias("scale"), dims.alias("dims"), F.col("kind").alias("kind"))
-    exact = registry.groupBy("name").agg(F.max(unit).alias("u")).select("name", "u.*")
-    folded = (exact.where("kind = 'name'").groupBy(F.lower("name").alias("key"))
-              .agg(F.min(F.struct("scale", "dims")).alias("a"), F.max(F.struct("scale", "dims")).alias("b")).where("a = b"))
-    return exact.select(F.lit("exact").alias("mode"), F.col("name").alias("key"), "scale", "dims").unionByName(
-        folded.select(F.lit("folded").alias("mode"), "key", "a.scale", "a.dims"))
-
-
-def _resolved_by_join(exprs: DataFrame, registry: DataFrame) -> DataFrame:
-    """Distinct expressions (column ``__e``) with their ``__r`` struct: the tokens'
-    candidate spellings meet the registry in an equi-join, the first in priority wins."""
-    tokens = exprs.select("__e", F.posexplode(_tokens(F.col("__e"))).alias("pos", "t")).select("__e", "pos", "t.tok", "t.sign")
+    prefixable = F.coalesce("prefixable", F.lit(False)) if "prefixable" in registry.columns else F.lit(False)
+    exact = registry.select("name", F.col("scale").cast("double").alias("scale"), dims.alias("dims"), "kind", prefixable.alias("prefixable"))
+    unit = F.struct("scale", "dims", "prefixable")
+    folded = exact.where("kind = 'name'").groupBy(F.lower("name").alias("key")).agg(F.min(unit).alias("a"), F.max(unit).alias("b")).where("a = b")
+    return materialize(exact.select(F.lit("exact").alias("mode"), F.col("name").alias("key"), "scale", "dims", "kind", "prefixable").unionByName(
+        folded.select(F.lit("folded").alias("mode"), "key", "a.scale", "a.dims", F.lit("name").alias("kind"), "a.prefixable")))
+
+
+def _token_units(tokens: DataFrame, registry: DataFrame, prefixes: DataFrame | None) -> DataFrame:
+    """``tok, scale, dims`` of distinct tokens that a registry table resolves: by the exact name; then, for the rest of the tokens, with
+    a prefix, without a plural ``s`` (and with a prefix), and the same in lower case. The first in this order counts."""
+    lookup = _registry_lookup(registry)
+    exact = lookup.where("mode = 'exact'").select(F.col("key").alias("tok"), "scale", "dims")
+    first = materialize(tokens.join(exact, "tok", "left"))
+    done, rest = first.where("scale is not null"), first.where("scale is null").select("tok")
+    if rest.isEmpty():
+        return done
     single = F.regexp_replace("tok", "s$", "")
-    spellings = F.array(*[F.struct(F.lit(m).alias("mode"), k.alias("key")) for m, k in (
-        ("exact", F.col("tok")), ("exact", single), ("folded", F.lower("tok")), ("folded", F.lower(single)))])
-    asked = tokens.select("*", F.posexplode(spellings).alias("rank", "k")).select("__e", "pos", "tok", "sign", "rank", "k.mode", "k.key")
-    found = asked.join(_registry_lookup(registry), ["mode", "key"], "left").groupBy("__e", "pos", "tok", "sign").agg(
-        F.min(F.when(F.col("scale").isNotNull(), F.struct("rank", "scale", "dims"))).alias("u"))
-    number = F.when(F.col("tok").rlike(_NUMBER_TOKEN), F.col("tok").try_cast("double"))
+    spellings = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(m).alias("mode"), t.alias("key")) for k, (m, t) in enumerate((
+        ("exact", F.col("tok")), ("exact", single), ("folded", F.lower("tok")), ("folded", F.lower(single))))])
+    asked = rest.select("tok", F.explode(spellings).alias("s")).select("tok", "s.*")
+    found = asked.join(lookup.select("mode", "key", "scale", "dims"), ["mode", "key"]).select("tok", (F.col("rank") * 2).alias("rank"), "scale", "dims")
+    if prefixes is not None and "prefixable" in registry.columns:
+        for mode, table in (("exact", prefixes), ("folded", prefixes.where("kind = 'name'").withColumn("prefix", F.lower("prefix")))):
+            own = lookup.where(F.col("mode") == mode)
+            split = prefix_splits(asked.where(F.col("mode") == mode).select("key").distinct(), "key", table, own.withColumnRenamed("key", "unit"))
+            split = split.join(own.select(F.col("key").alias("unit"), "scale", "dims"), "unit").select("key", (F.col("factor") * F.col("scale")).alias("scale"), "dims")
+            found = found.unionByName(asked.where(F.col("mode") == mode).join(split, "key").select("tok", (F.col("rank") * 2 + 1).alias("rank"), "scale", "dims"))
+    best = found.groupBy("tok").agg(F.min(F.struct("rank", "scale", "dims")).alias("u")).select("tok", "u.scale", "u.dims")
+    return done.unionByName(best)
+
+
+def _resolved_by_join(exprs: DataFrame, registry: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
+    """Distinct expressions (column ``__e``) with their ``__r`` struct; each distinct token is looked up once."""
+    exprs = materialize(exprs)
+    tokens = exprs.select("__e", F.posexplode(unit_tokens(F.col("__e"))).alias("pos", "t")).select("__e", "pos", "t.tok", "t.sign")
+    number = F.when(F.col("tok").rlike(NUMBER_TOKEN), F.col("tok").try_cast("double"))
+    units = _token_units(tokens.where(number.isNull()).select("tok").distinct(), registry, prefixes)
+    found = tokens.join(units, "tok", "left")
     unit = F.when(number.isNotNull(), F.struct(number.alias("scale"), F.lit("").alias("dims"))).when(
-        F.col("u").isNotNull(), F.struct(F.col("u.scale").alias("scale"), F.col("u.dims").alias("dims")))
+        F.col("scale").isNotNull(), F.struct("scale", "dims"))
     lists = found.groupBy("__e").agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "sign", unit.alias("m")))).alias("__t"))
     none = F.expr("cast(array() as array<struct<pos:int,tok:string,sign:int,m:struct<scale:double,dims:string>>>)")
     every = exprs.join(lists, "__e", "left").withColumn("__t", F.coalesce("__t", none))
-    return every.select("__e", _summarize(F.col("__t")).alias("__r"))
+    return materialize(every.select("__e", _summarize(F.col("__t")).alias("__r")))
 
 
 def with_resolved(df: DataFrame, expr_col: str, out_col: str, lookup: UnitLookup) -> DataFrame:
@@ -272,5 +330,5 @@ def dims_signature(dims: Column) -> Column:
     return F.array_join(F.transform(dims, lambda d: F.concat(d["dim"], F.lit("^"), d["exp"].cast("string"))), " ")
 
 
-__all__ = ["UnitLookup", "unit_lookup", "resolve_expression", "with_resolved", "with_resolved_many", "resolve_unit_expressions", "unit_factor_table",
+__all__ = ["UnitLookup", "RegistryTable", "RepeatedUnits", "repeated_units", "prefix_splits", "unit_tokens", "unit_lookup", "resolve_expression", "with_resolved", "with_resolved_many", "resolve_unit_expressions", "unit_factor_table",
            "dims_signature"]

@@ -175,7 +175,8 @@ def build_unit_table(defs: list[UnitDef], *, prefixes=SI_PREFIXES) -> dict[str,
     """Resolve definitions in order into ``name -> (kind, scale, dims)``.
 
     Prefixed forms (``kW``, ``kilowatt``, ``GJ`` ...) are generated from the rule
-    prefix x prefixable base; explicit definitions win over generated ones.
+    prefix x prefixable base; explicit definitions win over generated ones. A name
+    that two definitions give is an error.
     """
     table: dict[str, tuple[str, float, dict]] = {}
     generated: dict[str, tuple[str, float, dict]] = {}
@@ -208,6 +209,8 @@ def build_unit_table(defs: list[UnitDef], *, prefixes=SI_PREFIXES) -> dict[str,
         else:
             scale, dims = u.multiplier, dict(u.dims)
         for n in u.names:
+            if n in table:
+                raise ValueError(f"unit '{n}' is defined more than once")
             table[n] = (u.kind, scale, dims)
         if u.prefixable:
             for psym, pname, pf in prefixes:

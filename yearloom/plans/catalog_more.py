@@ -16,6 +16,7 @@ from yearloom.operators.columns import round_numeric
 from yearloom.operators.reshape import sort_existing, sort_nulls_last, union_by_name, year_columns
 from yearloom.operators.units.algebra import unit_factor_table, unit_lookup
 from yearloom.operators.units.convert import convert_units
+from yearloom.operators.units.definitions import prefix_table, resolve_definitions
 from yearloom.plans import fixtures as fx
 from yearloom.plans.catalog import (SQL_CONVERT_FROM_SET, SQL_CONVERT_ROWWISE, SQL_CONVERT_SINGLE_TARGET, SQL_GRID_EXPAND,
                                     _LINE_PAIRS, _dbl, _display_sql, _industry_dims, _line_units, _line_units_sql,
@@ -376,6 +377,64 @@ FROM x LEFT JOIN r a ON l_partkey = a.k LEFT JOIN r b ON l_suppkey = b.k
 """
 
 
+_CHAIN_OF = _case([("p_partkey % 16 = 0", "NULL"), ("p_partkey % 97 = 0", "concat('nowhere', CAST(p_partkey AS VARCHAR(20)))"),
+                   ("p_partkey % 101 = 0", "concat('2 p', CAST(p_partkey AS VARCHAR(20)))")],
+                  "concat('p', CAST(p_partkey - 1 AS VARCHAR(20)))")
+_CHAIN_BASE = _case([("p_partkey % 16 = 0", _case([("p_partkey % 48 = 0", "'m'"), ("p_partkey % 48 = 16", "'s'")], "'kg'"))])
+_CHAIN_TIMES = _case([(f"p_partkey % 5 = {k}", v) for k, v in ((0, "0.0625e0"), (1, "2e0"), (2, "2e0"), (3, "0.5e0"))], "8e0")
+
+
+def q_unit_definitions(spark, sf_dir):
+    """Units as data, most defined by the part before; what leads nowhere or to itself is a violation."""
+    text = lambda sql: F.expr(sql.replace("e0", "D"))
+    p = _t(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("name"), text(_CHAIN_TIMES).alias("multiplier"),
+                                         F.expr(_CHAIN_OF).alias("of"), F.expr(_CHAIN_BASE).alias("base"))
+    units = resolve_definitions(p)
+    found = units.registry.select("name", "scale", F.element_at("dims", 1)["dim"].alias("dim"), F.lit(None).cast("string").alias("problem"))
+    return union_by_name([found.withColumn("detail", F.col("problem")),
+                          units.violations.select("name", F.lit(None).cast("double").alias("scale"), F.lit(None).cast("string").alias("dim"), "problem", "detail")])
+
+
+SQL_UNIT_DEFINITIONS = f"""
+WITH RECURSIVE d AS (SELECT p_partkey AS k, {_CHAIN_TIMES} AS times, {_CHAIN_BASE} AS base, {_CHAIN_OF} AS expr FROM part),
+r(k, scale, dim, problem, detail) AS (
+  SELECT k, CASE WHEN base IS NOT NULL THEN CAST(times AS DOUBLE) END, base,
+         CASE WHEN base IS NULL THEN CASE WHEN k % 101 = 0 AND k % 97 <> 0 THEN 'cycle' ELSE 'unknown' END END,
+         CASE WHEN base IS NULL AND (k % 101 <> 0 OR k % 97 = 0) THEN expr END
+  FROM d WHERE base IS NOT NULL OR k % 97 = 0 OR k % 101 = 0 OR k - 1 NOT IN (SELECT k FROM d)
+  UNION ALL
+  SELECT d.k, r.scale * d.times, r.dim, r.problem, r.detail FROM r JOIN d ON d.k = r.k + 1
+  WHERE d.base IS NULL AND d.k % 97 <> 0 AND d.k % 101 <> 0)
+SELECT 'p' || CAST(k AS VARCHAR) AS name, CAST(scale AS DOUBLE) AS scale, dim, problem, detail FROM r
+"""
+
+_PREFIX = _case([("l_linenumber = 1", "'kilo'"), ("l_linenumber = 2", "'k'"), ("l_linenumber = 3", "'Mega'"), ("l_linenumber = 4", "'da'"), ("l_linenumber = 5", "'d'")], "''")
+
+
+def q_unit_prefixes(spark, sf_dir):
+    """Prefixes before the units of a registry table; symbols take symbols, names take names, some units take none."""
+    registry = _t(spark, sf_dir, "part").select(
+        F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_size") % 2 == 0, "symbol").otherwise("name").alias("kind"),
+        (F.col("p_size") * 0.5 + 1.0).alias("scale"), F.array(F.struct(F.lit("m").alias("dim"), F.lit(1).alias("exp"))).alias("dims"),
+        (F.col("p_size") % 5 != 0).alias("prefixable"))
+    pairs = _t(spark, sf_dir, "lineitem").select(F.concat(F.expr(_PREFIX), F.lit("u"), F.col("l_partkey").cast("string")).alias("from_unit"),
+                                                 F.concat(F.lit("u"), F.col("l_suppkey").cast("string")).alias("to_unit"))
+    lookup = unit_lookup(registry, prefixes=prefix_table(spark))
+    return unit_factor_table(pairs, rename_fun=lambda c: c, registry=lookup).drop("from_units_unit", "to_units_unit")
+
+
+SQL_UNIT_PREFIXES = f"""
+WITH r AS (SELECT p_partkey AS k, {_PART_SCALE} AS scale, p_size % 2 = 0 AS symbol, p_size % 5 <> 0 AS prefixable FROM part),
+x AS (SELECT DISTINCT l_partkey, l_suppkey, {_PREFIX} AS prefix FROM lineitem),
+f AS (
+  SELECT x.*, CASE WHEN prefix = '' THEN 1e0 WHEN NOT a.prefixable OR a.symbol <> (prefix IN ('k', 'da', 'd')) THEN NULL
+                   ELSE CASE prefix WHEN 'kilo' THEN 1e3 WHEN 'k' THEN 1e3 WHEN 'Mega' THEN 1e6 WHEN 'da' THEN 1e1 ELSE 1e-1 END END * a.scale AS from_scale, b.scale AS to_scale
+  FROM x LEFT JOIN r a ON l_partkey = a.k LEFT JOIN r b ON l_suppkey = b.k)
+SELECT prefix || 'u' || CAST(l_partkey AS VARCHAR) AS from_unit, 'u' || CAST(l_suppkey AS VARCHAR) AS to_unit,
+       CAST(from_scale / to_scale AS DOUBLE) AS factor, from_scale IS NOT NULL AND to_scale IS NOT NULL AS convertible FROM f
+"""
+
+
 QUERIES = {
     "ingest_violations": q_ingest_violations,
     "ingest_text_numbers": q_ingest_text_numbers,
@@ -395,6 +454,8 @@ QUERIES = {
     "dispatch_modes": q_dispatch_modes,
     "units_variant": q_units_variant,
     "unit_factors_registry": q_unit_factors_registry,
+    "unit_definitions": q_unit_definitions,
+    "unit_prefixes": q_unit_prefixes,
 }
 
 ORACLE_SQL = {
@@ -416,4 +477,6 @@ ORACLE_SQL = {
     "dispatch_modes": SQL_DISPATCH_MODES,
     "units_variant": SQL_UNITS_VARIANT,
     "unit_factors_registry": SQL_UNIT_FACTORS_REGISTRY,
+    "unit_definitions": SQL_UNIT_DEFINITIONS,
+    "unit_prefixes": SQL_UNIT_PREFIXES,
 }
