@@ -1,9 +1,8 @@
 """Best-fit packing of tokenised documents into sequences.
 
-Tokenising: a task splits texts into words at white space (which every pre-tokeniser
-rule respects), encodes each distinct word once and joins the words' ids; a text with
-the tokeniser's special strings is encoded as a whole. Only documents longer than a
-sequence are cut, into pieces of the sequence's length.
+Tokenising: a task encodes each distinct run of characters once and joins the runs' ids
+(``word_ids``). Only documents longer than a sequence are cut, into pieces of the
+sequence's length.
 
 Packing: pieces are dealt evenly into groups of about ``GROUP_PIECES``, and each group
 is packed by vector best fit. A bin has three residual capacities: tokens, documents
@@ -19,8 +18,6 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,121 +28,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.llm import textarrays as ta
+from yearloom.llm import word_ids
 from yearloom.session import materialize
 
 SEQUENCE_TOKENS = 2048
 SEPARATOR = 0
 GROUP_PIECES = 65_536
 WEIGHTS = (1.0, 0.001, 0.001)  # of tokens, documents, attention cost
-CACHED_WORDS = 600_000  # a task's word cache starts anew beyond this
-WORDS_PER_CALL = 200
-WORD_BLOCK_BYTES = 1 << 20
-
-
-class WordEncoder:
-    """Ids of words, each distinct word encoded once while it is cached."""
-
-    def __init__(self, tokenizer_json: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends_word = None
-        if suffix:
-            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.simple = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
-        self.reset()
-
-    def reset(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_parts(self, parts: list[str]) -> dict[str, np.ndarray]:
-        """Ids of letter runs and punctuation runs, many runs in one call where their ends can be told."""
-        found: dict[str, np.ndarray] = {}
-        for k in range(0, len(parts), WORDS_PER_CALL):
-            own = parts[k:k + WORDS_PER_CALL]
-            if self.ends_word is not None:
-                ids = self.encode([" ".join(own)])[0]
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                if len(ends) == len(own) and ends[-1] == len(ids):
-                    found.update(zip(own, np.split(ids, ends[:-1])))
-                    continue
-            found.update(zip(own, self.encode(own)))
-        return found
-
-    def learn(self, words: list[str], hashes: np.ndarray) -> None:
-        split = [m.groups() if (m := self.simple.fullmatch(w)) else None for w in words]
-        parts = self.encode_parts(list(dict.fromkeys(p for s in split if s for p in s if p)))
-        odd = iter(self.encode([w for w, s in zip(words, split) if s is None]))
-        ids = [next(odd) if s is None else parts[s[0]] if not s[1] else np.concatenate([parts[s[0]], parts[s[1]]]) for s in split]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, *ids])
-        place = np.searchsorted(self.hashes, hashes)  # both ascending
-        self.hashes, self.at, self.count = (np.insert(x, place, y) for x, y in ((self.hashes, hashes), (self.at, at), (self.count, count)))
-
-    def rows(self, data: np.ndarray, offsets: np.ndarray, powers: ta.Powers) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of a block of texts, each text's followed by the separator, and the rows' offsets among them."""
-        hashes, starts, ends, counts = ta.word_hashes(data, offsets, powers)
-        known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        new = np.flatnonzero(ta.lookup(self.hashes, known) < 0)
-        if len(self.hashes) + len(new) > CACHED_WORDS:
-            self.reset()
-            new = np.arange(len(known))
-        if len(new):
-            lower = ta.LOWER[data].tobytes()
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self.learn([lower[a:b].decode() for a, b in spans], known[new])
-        place = ta.lookup(self.hashes, known)[inverse]
-        last = np.cumsum(counts)
-        at = np.insert(self.at[place], last, 0)
-        count = np.insert(self.count[place], last, 1)
-        total = np.cumsum(count)
-        spread = np.repeat(at - (total - count), count) + np.arange(total[-1] if len(total) else 0)
-        ids = self.ids[spread] if len(self.ids) else np.zeros(len(spread), np.uint32)
-        marks = last + np.arange(len(counts))  # where the separators stand among the words
-        ids[total[marks] - 1] = SEPARATOR
-        return ids, np.concatenate([[0], total[marks]])
-
-
-def _pieces(tokenizer_json, length: int, with_ids: bool):
+
+
+def _pieces(raw, length: int, with_ids: bool):
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, powers = WordEncoder(tokenizer_json.value), ta.Powers()
+        encoder = word_ids.Encoder(raw.value, SEPARATOR)
         for batch in batches:
-            docs = batch.column(1)
-            for first, end, data, offsets in ta.blocks(batch.column(0), WORD_BLOCK_BYTES):
-                ids, at = encoder.rows(data, offsets, powers)
-                special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))  # "<|": perhaps a special string
-                whole = np.unique(np.searchsorted(offsets, special, "right") - 1).tolist()
-                texts = [data[offsets[r]:offsets[r + 1]].tobytes().decode() for r in whole]
-                other = dict(zip(whole, (np.append(x, np.uint32(SEPARATOR)).astype(np.uint32) for x in encoder.encode(texts))))
-                row, piece, start, size, crc, own_ids = [], [], [], [], [], []
-                for r in range(end - first):
-                    own = other[r] if r in other else ids[at[r]:at[r + 1]]
-                    for k, a in enumerate(range(0, len(own), length)):
-                        cut = own[a:a + length]
-                        row.append(first + r)
-                        piece.append(k)
-                        start.append(a)
-                        size.append(len(cut))
-                        crc.append(zlib.crc32(cut.astype("<u4").tobytes()))
-                        if with_ids:
-                            own_ids.append(cut.astype(np.int32))
-                out = {"doc_id": docs.take(pa.array(row, pa.int64())), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
-                       "length": pa.array(size, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
-                if with_ids:
-                    out["ids"] = pa.array(own_ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict(out)
+            row, piece, start, size, crc, own_ids = [], [], [], [], [], []
+            for r, ids in encoder.texts(batch.column(0)):
+                ids = ids.astype("<u4", copy=False)
+                for k, a in enumerate(range(0, len(ids), length)):
+                    cut = ids[a:a + length]
+                    row.append(r)
+                    piece.append(k)
+                    start.append(a)
+                    size.append(len(cut))
+                    crc.append(zlib.crc32(cut))
+                    if with_ids:
+                        own_ids.append(cut.astype(np.int32))
+            out = {"doc_id": batch.column(1).take(pa.array(row, pa.int64())), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
+                   "length": pa.array(size, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+            if with_ids:
+                out["ids"] = pa.array(own_ids, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(out)
     return run
 
 
@@ -153,10 +66,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
                      length: int = SEQUENCE_TOKENS, with_ids: bool = False) -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
     with open(tokenizer_path, "rb") as f:  # a few MB; tasks get it by broadcast
-        model = docs.sparkSession.sparkContext.broadcast(f.read())
+        rules = docs.sparkSession.sparkContext.broadcast(word_ids.learn_rules(f.read()))
     texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return texts.mapInArrow(_pieces(model, length, with_ids), schema)
+    return texts.mapInArrow(_pieces(rules, length, with_ids), schema)
 
 
 def best_fit(lengths: np.ndarray, capacities: tuple[int, int, int], weights: tuple[float, float, float] = WEIGHTS,

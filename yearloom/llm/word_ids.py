@@ -94,7 +94,7 @@ def learn_rules(json: bytes) -> Rules:
     by_run = dict(zip(runs, _ids(bare, runs)))
     by_word = dict(zip(split, _ids(whole, list(split))))
     for c, own in probes.items():
-        if all(by_word[w] == [i for r in split[w] for i in by_run[r]] for w in own):
+        if by_word[own[0]] and all(by_word[w] == [i for r in split[w] for i in by_run[r]] for w in own):
             rules.classes[c] = _kind(chr(c))
     rules.classes[[0x20, *range(9, 14)]] = 0
     for t in added:
