@@ -37,11 +37,11 @@ Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
-import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -533,9 +533,10 @@ def _score(model, heavy, total: float, owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, table, words = ta.Powers(), model.value, heavy.value
         end_known, end_count = ta.table_get(words, np.array([END_WORD]))
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for k, batch in enumerate(batches):
             n = batch.num_rows
-            name = int.from_bytes(os.urandom(7), "little")
+            name = part << 32 | k  # the same when a lost executor's task runs again
             ids, fold = batch.column(1), batch.column(2)
             tokens, known, score, base = np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             rare, rows = [np.full(0, END_WORD)], [np.zeros(0, np.int32)]
@@ -560,7 +561,7 @@ def _score(model, heavy, total: float, owners: int):
                 rare.append(hashes[~found])
                 rows.append(row[~found])
             rare, rows = np.concatenate(rare), np.concatenate(rows)
-            yield _scored_batch([_packed("doc", name, 0, ids.cast(pa.int64()).fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False),
+            yield _scored_batch([_packed("doc", name, int(ta.mix(np.array([name], np.uint64))[0] % np.uint64(owners)), ids.cast(pa.int64()).fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False),
                                          fold.cast(pa.int8()).fill_null(2).to_numpy(zero_copy_only=False), tokens, known, score, base)])
             owner = (ta.mix(rare) % np.uint64(owners)).astype(np.int32)
             order = np.argsort(owner, kind="stable")
@@ -572,49 +573,40 @@ def _score(model, heavy, total: float, owners: int):
     return run
 
 
-def _settle(short):
-    """Rows sorted by owner, each owner's part of the byte model ahead of the codes that wait for it -> per batch and document, sums."""
+def _settle(short, total: float):
+    """Rows sorted by owner, each owner's part of the byte model and its word counts ahead of the codes and words that wait for them ->
+    per batch and document, sums. Rows of documents pass."""
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, parts, model = None, [], None
+        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
                 if r["owner"] != owner:
                     owner, parts, model = r["owner"], [short.value], None
+                    keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if r["kind"] == "model":
                     parts.append((np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.float32)))
-                    continue
-                if model is None:
-                    model, parts = ta.hash_table(*(np.concatenate(x) for x in zip(*parts))), []
-                logs = np.repeat(code_logs(model, unpack(r["a"]), True)[0], unpack_small(r["b"]))
-                rows = unpack_small(r["c"])
-                sums = np.bincount(rows, logs) / math.log(10)
-                docs = np.flatnonzero(np.bincount(rows))
-                yield _scored_batch([("score", r["batch"], 0, pack_small(docs), sums[docs].tobytes(), *[None] * 5)])
-    return run
-
-
-def _rare(total: float):
-    """An owner's word counts and the occurrences that wait for them -> per batch and document, sums."""
-    @ta.released
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, list] = {}
-        waiting: dict[int, list] = {}
-        for batch in batches:
-            for r in batch.select(["kind", "batch", "owner", "a", "b"]).to_pylist():
-                if r["kind"] == "count":
-                    counts[r["owner"]] = [unpack(r["a"]), unpack_counts(r["b"])]
+                elif r["kind"] == "count":
+                    keys, n = unpack(r["a"]), unpack_counts(r["b"])
+                elif r["kind"] == "doc":
+                    yield batch.slice(k, 1)
+                elif r["kind"] == "word":
+                    hashes, rows = np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)
+                    at = ta.lookup(keys, hashes)
+                    count = np.where(at >= 0, n[at] if len(n) else 0, 0)
+                    docs, place = np.unique(rows, return_inverse=True)
+                    yield _scored_batch([_packed("sum", r["batch"], 0, docs, np.bincount(place, count > 0, len(docs)).astype(np.int64),
+                                                 np.bincount(place, np.log10(count + BASE_ALPHA) - total, len(docs)))])
                 else:
-                    waiting.setdefault(r["owner"], []).append((r["batch"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)))
-        for owner, parts in waiting.items():
-            keys, n = counts.get(owner, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-            for name, hashes, rows in parts:
-                at = ta.lookup(keys, hashes)
-                count = np.where(at >= 0, n[at] if len(n) else 0, 0)
-                docs, place = np.unique(rows, return_inverse=True)
-                yield _scored_batch([_packed("sum", name, 0, docs, np.bincount(place, count > 0, len(docs)).astype(np.int64),
-                                             np.bincount(place, np.log10(count + BASE_ALPHA) - total, len(docs)))])
+                    if model is None:
+                        model, parts = ta.hash_table(*(np.concatenate(x) for x in zip(*parts))), []
+                    logs = np.repeat(code_logs(model, unpack(r["a"]), True)[0], unpack_small(r["b"]))
+                    rows = unpack_small(r["c"])
+                    sums = np.bincount(rows, logs) / math.log(10)
+                    docs = np.flatnonzero(np.bincount(rows))
+                    yield _scored_batch([("score", r["batch"], 0, pack_small(docs), sums[docs].tobytes(), *[None] * 5)])
     return run
 
 
@@ -652,13 +644,15 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     counted, n, v, table, cache, short, heavy = train(texts.select("text", "learn"), model_codes, min_count, heavy_words, cached_codes)
     total = math.log10(n + BASE_ALPHA * (v + 1))
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = materialize(texts.mapInArrow(_score(cache, heavy, total, owners), SCORED))
-    waiting = scored.where("kind = 'word'").select("kind", "batch", "owner", "a", "b")
-    counts = counted.where("kind = 'word'").select(F.lit("count").alias("kind"), F.lit(0).cast("long").alias("batch"), "owner",
-                                                    F.col("keys").alias("a"), F.col("counts").alias("b"))
-    sums = waiting.unionByName(counts).repartition(owners, "owner").mapInArrow(_rare(total), SCORED)
-    entries_ = table.select("kind", F.lit(0).cast("long").alias("batch"), "owner", F.col("keys").alias("a"), F.col("logs").alias("b"), F.lit(None).cast("binary").alias("c"))
-    open_ = scored.where("kind = 'code'").select("kind", "batch", "owner", "a", "b", "c").unionByName(entries_)
-    settled = open_.repartition(owners, "owner").sortWithinPartitions("owner", F.col("kind") != "model").mapInArrow(_settle(short), SCORED)
-    rows = scored.where("kind = 'doc'").unionByName(sums).unionByName(settled).repartition(owners, "batch")
-    return rows.mapInArrow(_finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    # documents, waiting words and codes, and what they wait for: one shuffle, none of it written before
+    columns = [c.split()[0] for c in SCORED.split(", ")]
+    empty = {c: F.lit(None).cast("binary").alias(c) for c in columns[3:]}
+    batch = F.lit(0).cast("long").alias("batch")
+    counts = counted.where("kind = 'word'").select(F.lit("count").alias("kind"), batch, "owner", F.col("keys").alias("a"), F.col("counts").alias("b"),
+                                                    *[empty[c] for c in "cdefg"])
+    entries_ = table.select("kind", batch, "owner", F.col("keys").alias("a"), F.col("logs").alias("b"), *[empty[c] for c in "cdefg"])
+    scored = texts.mapInArrow(_score(cache, heavy, total, owners), SCORED).unionByName(counts).unionByName(entries_)
+    first = F.when(F.col("kind") == "model", 0).when(F.col("kind") == "count", 1).otherwise(2)
+    settled = scored.repartition(owners, "owner").sortWithinPartitions("owner", first).mapInArrow(_settle(short, total), SCORED)
+    return settled.repartition(owners, "batch").mapInArrow(
+        _finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
