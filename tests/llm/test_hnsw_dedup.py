@@ -56,6 +56,17 @@ def test_against_brute_force(spark, shard):
     assert result(H.dedup(spark.createDataFrame(rows, SCHEMA), shard_vectors=shard)) == brute(rows)
 
 
+def test_huge_and_tiny_vectors(spark):
+    """Their squares are beyond a double's range; cosines are those of the same vectors scaled."""
+    shapes = [[1.0, 1.0, 0.0], [1.0, 1.01, 0.0], [1.0, 0.0, 1.0], [0.0, 1.0, 1.2], [0.0, 1.0, 1.0]]
+    plain = [(10 * g + k, v, g) for g in range(4) for k, v in enumerate(shapes)]
+    scale = [1.0, 1e200, 1e-200, 1.5e308 / 1.2]
+    wild = [(i, [c * scale[g] for c in v], g) for i, v, g in plain] + [(50, [5e-324, 5e-324, 0.0], 9), (51, [1e300, 1e300, 0.0], 9)]
+    out = H.dedup(spark.createDataFrame(wild, "vec_id long, embedding array<double>, label int"))
+    want = result(H.dedup(spark.createDataFrame(plain, "vec_id long, embedding array<double>, label int")))
+    assert result(out) == sorted([*want, (50, 1, 50, True), (51, 1, 50, False)], key=repr) and sum(n for _, n, _, _ in want) > 0
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, 0), (2, v, 0), (2, v, 0), (3, v, 1), (4, v, None), (5, None, 0), (6, [], 0), (7, [0.0, 0.0, 0.0], 0), (8, [1.0, None, 3.0], 0),
