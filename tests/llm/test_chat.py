@@ -33,8 +33,9 @@ def rows():
     return out
 
 
-def test_round_trip(spark, rows):
-    rendered = chat.format_turns(spark.createDataFrame(rows, TURNS))
+@pytest.mark.parametrize("drafts", [False, True])
+def test_round_trip(spark, rows, drafts):
+    rendered = chat.format_turns(spark.createDataFrame(rows, TURNS), drafts=drafts)
     got = {r.conv_id: r for r in rendered.collect()}
     back = {r.conv_id: r for r in chat.read_back(rendered).collect()}
     assert set(got) == {r[0] for r in rows}
@@ -48,6 +49,17 @@ def test_round_trip(spark, rows):
         assert back[c].loss_text == "".join(r[3] or "" for r in ordered if r[2] == "assistant")
 
 
+def test_drafts_are_edited_and_regenerated(spark, rows):
+    log = chat.turn_events(spark.createDataFrame(rows, TURNS), 100, True)
+    kinds = {(r.op, r.n) for r in log.groupBy("op").count().withColumnRenamed("count", "n").collect()}
+    messages = chat.fold(log)
+    assert messages.count() == len(rows) and {k for k, _ in kinds} == {"message", "delta", "edit", "regenerate"}
+    n = {k: v for k, v in kinds}
+    assert n["edit"] == messages.where("message % 3 = 2").count() and n["regenerate"] == messages.where("message % 3 = 0").count()
+    wrong = log.where("op = 'delta' and seq.part = 1 and message % 3 <> 1 and length(text) > 20")
+    assert wrong.join(messages.withColumnRenamed("text", "final"), ["conv_id", "message"]).where("not startswith(final, text)").count() > 10
+
+
 def test_events_fold(spark):
     log = [
         (1, 1, 1, "message", "user", "hel"), (1, 2, 1, "delta", None, "lo"),

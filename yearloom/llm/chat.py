@@ -47,20 +47,28 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("&nl;"), F.lit("\n")))
 
 
-def turn_events(turns: DataFrame, delta_chars: int = 256) -> DataFrame:
+def turn_events(turns: DataFrame, delta_chars: int = 256, drafts: bool = False) -> DataFrame:
     """The log of a table of finished turns (conv_id, turn, role, text): every row
     is a message that starts empty and is streamed in deltas. Rows are ordered by
-    turn, rows of one turn by role and text; null turns come last."""
+    turn, rows of one turn by role and text; null turns come last. With ``drafts``
+    two of three messages are streamed wrong at first (their beginning backwards):
+    the second of each three is then edited to its right beginning, the third
+    regenerated, and the rest is streamed."""
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
     rows = turns.select("conv_id", F.col("turn"), "role", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "message", F.row_number().over(order).cast("long"))
     parts = F.ceil(F.length("text") / F.lit(delta_chars)).cast("int")
-    deltas = F.transform(F.when(parts > 0, F.sequence(F.lit(1), parts)).otherwise(F.array().cast("array<int>")),
-                         lambda i: F.struct(i.cast("long").alias("part"), F.lit("delta").alias("op"),
-                                            F.substring(F.col("text"), (i - 1) * delta_chars + 1, F.lit(delta_chars)).alias("text")))
-    first = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit("message").alias("op"), F.lit("").alias("text")))
-    return rows.select("conv_id", "message", "role", F.explode(F.concat(first, deltas)).alias("e")).select(
-        "conv_id", F.struct("message", F.col("e")["part"].alias("part")).alias("seq"), "message",
+    chunk = lambda i: F.substring(F.col("text"), (i - 1) * delta_chars + 1, F.lit(delta_chars))
+    event = lambda op, text: F.struct(F.lit(op).alias("op"), text.alias("text"))
+    deltas = F.transform(F.when(parts > 0, F.sequence(F.lit(1), parts)).otherwise(F.array().cast("array<int>")), lambda i: event("delta", chunk(i)))
+    log = F.concat(F.array(event("message", F.lit(""))), deltas)
+    if drafts:
+        start, draft = F.substring("text", 1, delta_chars), event("delta", F.reverse(F.substring("text", 1, delta_chars)))
+        opened = F.array(event("message", F.lit("")), draft)
+        log = (F.when(F.col("message") % 3 == 2, F.concat(opened, F.array(event("edit", start)), F.slice(deltas, 2, F.greatest(parts, F.lit(1)))))
+               .when(F.col("message") % 3 == 0, F.concat(opened, F.array(event("regenerate", F.lit(""))), deltas)).otherwise(log))
+    return rows.select("conv_id", "message", "role", F.posexplode(log).alias("part", "e")).select(
+        "conv_id", F.struct("message", F.col("part").cast("long").alias("part")).alias("seq"), "message",
         F.col("e")["op"].alias("op"), "role", F.col("e")["text"].alias("text"))
 
 
@@ -109,6 +117,6 @@ def read_back(rendered: DataFrame) -> DataFrame:
     return rendered.select("conv_id", "formatted", turns.alias("turns"), F.array_join(under, "").alias("loss_text"))
 
 
-def format_turns(turns: DataFrame, delta_chars: int = 256) -> DataFrame:
+def format_turns(turns: DataFrame, delta_chars: int = 256, drafts: bool = False) -> DataFrame:
     """Event log of a table of turns, folded and rendered."""
-    return render(fold(turn_events(turns, delta_chars)))
+    return render(fold(turn_events(turns, delta_chars, drafts)))
