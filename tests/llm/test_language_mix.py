@@ -61,6 +61,30 @@ def test_nulls_empties_letters_and_ties(spark, docs, labelled):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in labelled + rows} - {2000, 2001, 2002, 2003}
 
 
+def test_accepted(docs, labelled):
+    """Any mixture of the languages is kept, however even; long texts that none of them explains go."""
+    own = {}
+    for _, text, lang in labelled:
+        own.setdefault(lang, []).append(text)
+    three = " ".join(" ".join(t.split()[:40]) for texts in list(own.values())[:3] for t in texts[:1])
+    rng = np.random.default_rng(1)
+    noise = " ".join("".join(chr(0x4e00 + x) for x in rng.integers(0, 5000, 3)) for _ in range(60))
+    rows = [(9001, three, None), (9002, noise, None), (9003, noise[:30], None), (9004, "123 !", None)]
+    kept = {r.doc_id for r in L.accepted(docs(*labelled, *rows), F.lit(True)).collect()}
+    assert kept == {r[0] for r in labelled} | {9001, 9003}
+    unlabelled = docs(*[(i, t, None) for i, t, _ in labelled + rows])
+    assert {r.doc_id for r in L.accepted(unlabelled.withColumn("lang", F.lit(None).cast("string")), F.lit(True)).collect()} == {r[0] for r in labelled} | {9001, 9002, 9003}
+
+
+def test_repeated_ids_stay_within_the_sample(docs, labelled):
+    """A row count, not an id, is what the bound counts."""
+    rows = [(1, f"{t} {k}", lang) for k, (_, t, lang) in enumerate(labelled * 3)]
+    labels, model = L.train(docs(*rows), F.lit(True), sample_docs=2)
+    words = np.exp(-model.min(0)) * L.SMOOTHING - L.SMOOTHING * L.BUCKETS  # letters learned from, by label
+    longest = max(len(t) for _, t, _ in rows)
+    assert labels == sorted(VOWELS) and (words < 2.5 * longest).all()
+
+
 def test_sample_bound(docs, labelled):
     few, _ = L.train(docs(*labelled), F.lit(True), sample_docs=3)
     assert few == sorted(VOWELS)

@@ -10,8 +10,13 @@ the sets of the k most likely languages (each further language costs
 ``PENALTY + log(words) / 2``). The prediction is the language of the largest proportion
 in that set, the score its proportion.
 
+A document is accepted (``accepted``) if it has a letter and some mixture of the languages can
+explain its words better than drawing each trigram evenly from all buckets would; how many
+languages it is in doesn't matter. Texts under ``JUDGED_WORDS`` words are too short to tell, and
+need a letter only.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every
-text if nothing was learned; ties go to the label that sorts first; rows are judged one by
+text if nothing was learned (``accepted`` then keeps all texts with a letter); ties go to the label that sorts first; rows are judged one by
 one; labels and ids that are null are never learned from; an empty table gives no rows; other
 columns are ignored.
 """
@@ -31,7 +36,8 @@ BUCKETS = 1 << 18
 SMOOTHING = 0.5
 SAMPLE_DOCS = 2000  # labelled documents learned from, per language
 PENALTY = 10.0  # nats for each further language
-MIN_SHARE = 0.5  # of the predicted language, for a document to be accepted
+MAX_LABELS = 256  # languages learned: those with the most labelled documents (a model has BUCKETS floats for each)
+JUDGED_WORDS = 20
 UNKNOWN = "und"
 MAX_STEPS = 60
 TOLERANCE = 0.01  # nats still to gain
@@ -80,21 +86,20 @@ def _count(labels: list[str]):
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
-    """Labels (ascending) and log-likelihoods [bucket, label] from at most ``sample_docs`` documents a label, taken by the
-    hash of their id among those with ``learn``. What comes to the driver is bounded by labels x buckets."""
+    """Labels (ascending; the ``MAX_LABELS`` most frequent) and log-likelihoods [bucket, label] from at most ``sample_docs`` rows a label,
+    taken by the hash of their id among those with ``learn``. What comes to the driver is bounded by labels x buckets."""
     usable = docs.where(learn & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
-    keys = usable.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-    counts = {r["lang"]: r["n"] for r in keys.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    keys = usable.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
+    most = keys.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LABELS)
+    counts = {r["lang"]: r["n"] for r in most.collect()}
     labels = sorted(counts)
     if not labels:
         return [], np.zeros((BUCKETS, 0), np.float32)
     # about four times the sample by the hash's size, of which the exact sample is ranked: few rows reach the ranking
     limits = docs.sparkSession.createDataFrame([(x, min(1.0, 4 * sample_docs / counts[x])) for x in labels], "lang string, part double")
     near = keys.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("part") * (1 << 20))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = (near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
-              .select(F.col("doc_id").alias("_id")).distinct())
-    texts = usable.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left_semi").select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))  # rows, not ids: repeated ones count one by one
+    texts = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).select("text", "lang")
     rows = texts.mapInArrow(_count(labels), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((BUCKETS, len(labels)))
     counts[rows["bucket"].to_numpy(), rows["lang"].to_numpy()] = rows["n"].to_numpy()
@@ -167,6 +172,21 @@ def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode())
 
 
+def explained_batch(column: pa.Array, labels: list[str], model: np.ndarray) -> np.ndarray:
+    """Which texts have a letter and words that the languages explain, each by its most likely one, better than even draws would."""
+    out = np.zeros(len(column), bool)
+    for first, _, data, offsets in ta.blocks(column):
+        bucket, word, count = _trigrams(data, offsets)
+        ascii_letter = (_LETTER[data] < 128) & (_LETTER[data] != 0x20)
+        sure = ta.per_row(np.flatnonzero(ascii_letter), offsets) > 0
+        known = np.array([bool(c) and (bool(s) or _has_letter(data[offsets[k]:offsets[k + 1]].tobytes())) for k, (c, s) in enumerate(zip(count, sure))], bool)
+        if labels and known.any():
+            gain = np.add.reduceat(model[bucket] + np.float32(np.log(BUCKETS)), word, axis=0).max(1)
+            known &= (count < JUDGED_WORDS) | (np.bincount(np.repeat(np.arange(len(count)), count), gain, len(count)) > 0)
+        out[first:first + len(count)] = known
+    return out
+
+
 def predict_batch(column: pa.Array, labels: list[str], model: np.ndarray, penalty: float = PENALTY) -> tuple[list[str], np.ndarray]:
     langs, scores = [UNKNOWN] * len(column), np.zeros(len(column))
     for first, _, data, offsets in ta.blocks(column) if labels else ():
@@ -192,12 +212,11 @@ def _predict(labels: list[str], model, penalty: float):
     return run
 
 
-def _accept(labels: list[str], model, penalty: float, text_at: int, min_share: float):
+def _accept(labels: list[str], model, text_at: int):
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = predict_batch(batch.column(text_at), labels, model.value, penalty)
-            yield batch.filter(pa.array([x != UNKNOWN and s >= min_share for x, s in zip(langs, scores)], pa.bool_()))
+            yield batch.filter(pa.array(explained_batch(batch.column(text_at), labels, model.value)))
     return run
 
 
@@ -211,8 +230,8 @@ def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: s
 
 
 def accepted(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             sample_docs: int = SAMPLE_DOCS, penalty: float = PENALTY, min_share: float = MIN_SHARE) -> DataFrame:
-    """The rows of ``docs`` with a language that makes up at least ``min_share`` of the text."""
+             sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows of ``docs`` whose words the learned languages explain; all rows with a letter, if there is no label to learn from."""
     labels, model = train(docs, learn, id_col, text_col, lang_col, sample_docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_accept(labels, shared, penalty, docs.columns.index(text_col), min_share), docs.schema)
+    return docs.mapInArrow(_accept(labels, shared, docs.columns.index(text_col)), docs.schema)
