@@ -81,6 +81,23 @@ def test_sequences_hold_the_ids(docs, tokenizer):
             assert s.ids[p.offset:p.offset + len(own)] == own
 
 
+@pytest.mark.parametrize("limits", [{"documents": 2}, {"attention": 300 ** 2}, {"documents": 3, "attention": 400 ** 2}])
+def test_limits_bind(docs, limits):
+    """Sequences keep to the limits, and need more room for it."""
+    rng = random.Random(9)
+    rows = [(i, "a " * rng.choice([3, 20, 90, 250, 380])) for i in range(200)]
+    packed = P.pack_documents(docs(*rows), PATH, tokens=512, **limits).collect()
+    assert len(packed) == len(rows)
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append(r.length)
+    for own in sequences.values():
+        assert sum(own) <= 512 and len(own) <= limits.get("documents", 512)
+        assert len(own) == 1 or sum(x * x for x in own) <= limits.get("attention", 512 ** 2)
+    free = P.pack_documents(docs(*rows), PATH, tokens=512).select("sequence_id").distinct().count()
+    assert len(sequences) > free
+
+
 def brute_fit(lengths, caps, weights, score):
     bins, into = [], {}
     for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):

@@ -1,7 +1,10 @@
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as CP
+from llm_fixtures import docs  # noqa: F401
 from test_decontaminate import plain
 from test_jaccard_join import brute as groups
 from test_line_dedup import brute as deduped
@@ -39,6 +42,42 @@ def test_stages_against_brute_force(spark, steps):
     assert {r.doc_id for r in packed} == {r.doc_id for r in clean}
 
 
+ODD = [(1, "A line that three documents share, word for word.\nFirst text of its own with a few more words.", None), (1, "The same id but another text altogether, as can happen.", None),
+       (2, "A line that three documents share, word for word.\nThe second text goes on in its own way.", None), (None, "No id, and these are the only words it has to say here.", None),
+       (None, "No id, and these are the only words it has to say here.", None), (3, "A line that three documents share, word for word.\nThird.", None),
+       (4, None, None), (5, "", None), (6, "12 !", None), (7, "No id, and these are the only words it has to say here.", None)]
+
+
+def through(spark, tmp_path, docs):
+    """What every stage gives for a table of documents."""
+    out = []
+    for k, (_, stage) in enumerate(CP.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        out.append(docs)
+    return out
+
+
+def test_odd_documents(spark, docs, tmp_path):
+    """No labels; null and repeated ids; null, empty and letterless texts; further columns."""
+    start = docs(*ODD).withColumns({"lang": F.lit(None).cast("string"), "node": F.lit(1), "offset": F.lit("x")}).repartition(3)
+    lang, lines, near, clean, packed = through(spark, tmp_path, start)
+    key = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    assert key(lang) == sorted(((i, t) for i, t, _ in ODD if t and any(c.isalpha() for c in t)), key=repr)
+    shared = ODD[0][1].split("\n")[0]
+    assert [(r.doc_id, r.text) for r in lines.where(F.contains("text", F.lit(shared))).collect()] == [(3, ODD[5][1])]
+    assert all(r.n_chars == len(r.text) for r in lines.collect())
+    assert sorted(i for i, _ in key(near)) == [1, 1, 2, 3, 7] and key(clean) == key(near)  # of three copies the one with an id stays
+    for df in (lang, lines, near, clean):
+        assert df.columns == start.columns
+    assert sorted(r.doc_id for r in packed.collect()) == [1, 1, 2, 3, 7]
+
+
+def test_empty_documents(spark, docs, tmp_path):
+    for df in through(spark, tmp_path, docs((1, "x")).limit(0)):
+        assert df.count() == 0
+
+
 def test_run(spark, steps):
     got = sorted(tuple(r)[:5] for r in CP.run(spark, SF).collect())
     assert got == sorted(tuple(r)[:5] for r in steps[-1])

@@ -115,12 +115,13 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, int, int], weights: tup
 def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS, documents: int | None = None, attention: int | None = None,
          weights: tuple[float, float, float] = WEIGHTS, score: str = "norm", group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (with a ``length``) plus ``sequence_id`` and ``offset``. The limits on documents and on attention cost
-    bind only if given. Writes the pieces once, and counts them."""
+    bind only if given; a piece that fills a sequence, or whose own attention cost passes the limit, is a sequence by itself.
+    Writes the pieces once, and counts them."""
     caps = (tokens, documents or tokens, attention or tokens * tokens)
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     numbered = materialize(pieces.select(*columns, F.monotonically_increasing_id().alias("_row")))
-    alone = numbered.where(F.col("length") >= tokens)
-    rest = numbered.where(F.col("length") < tokens)
+    whole = (F.col("length") >= tokens) | (F.col("length") * F.col("length") > caps[2])
+    alone, rest = numbered.where(whole), numbered.where(~whole)
     groups = max(1, -(-rest.count() // group_pieces))
 
     def fit(own: pd.DataFrame) -> pd.DataFrame:
