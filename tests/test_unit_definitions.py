@@ -31,7 +31,7 @@ def test_long_chain_takes_few_rounds(spark, monkeypatch):
     monkeypatch.setattr(D, "materialize", lambda df, keep=D.materialize: written.append(1) or keep(df))
     found, bad = define(spark, ("u0", 1.0, None, "m", False), *[(f"u{k}", 2.0 if k % 2 else 0.5, f"u{k - 1}", None, False) for k in range(1, n)])
     assert not bad and len(found) == n and all(found[f"u{k}"] == (2.0 if k % 2 else 1.0, {"m": 1}) for k in range(n))
-    assert len(written) <= 6 + 2 * (n.bit_length() + 1)
+    assert len(written) <= 6 + n.bit_length() + 1
 
 
 def test_cycles_unknown_and_repeated_names(spark):

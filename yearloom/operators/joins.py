@@ -79,36 +79,48 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_bro
                     salt_buckets=salt_buckets)
 
 
+BITMAP_BITS = 32768  # of one bucket of Spark's bitmap functions
+
+
+def marked_numbers(df: DataFrame, number_col: str) -> DataFrame:
+    """The distinct numbers (0 and up) in a column, as ``number_col``: one bitmap of 4 KiB for each 32,768 numbers in a task, so a task
+    sends no more than the numbers' range holds, however many rows it has."""
+    n = F.col(number_col) + 1  # the functions count from 1
+    bits = df.where(F.col(number_col).isNotNull()).groupBy(F.bitmap_bucket_number(n).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("__bits"))
+    byte = F.expr("conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    each = bits.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(BITMAP_BITS - 1))))
+    return each.where(F.getbit(byte, F.expr("cast(__at % 8 as int)")) == 1).select(
+        ((F.col("__bucket") - 1) * BITMAP_BITS + F.col("__at")).cast("long").alias(number_col))
+
+
 def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None,
                         salt_buckets: int = 0) -> DataFrame:
     """J1 / J2 faithful full outer join of a large fact table with a small dimension.
 
     Spark ignores a broadcast hint on FULL OUTER and would shuffle the whole fact
-    table. Same result, no fact shuffle. Runs a job: step 2 is written once.
-
-    1. fact LEFT JOIN broadcast(dim)                       (map-side, one pass)
-    2. keys of dim that occur in the fact: fact keys semi-joined to the broadcast
-       dim keys, then distinct - bounded by the dimension's key count, written
-       once (second and last pass over the fact)
-    3. dim rows whose key is not among them (anti join against that bounded set)
+    table. Same result, no fact shuffle, one pass over the facts. Runs jobs: the
+    numbered dimension and the joined rows are written once.
+
+    1. the dimension's rows get numbers
+    2. fact LEFT JOIN broadcast(dim), the number carried along and written
+       (map-side; the only pass over the fact)
+    3. the numbers that occur, from the written number column alone, as bitmaps
+       (``marked_numbers``); the other dimension rows are those without a match
     4. union by name; columns missing on a side are NULL.
     Missing keys match each other (the reference's join semantics). Beyond the
-    bound step 1 is a shuffle join, salted with ``salt_buckets > 1``.
+    bound step 2 is a shuffle join, salted with ``salt_buckets > 1``.
     """
     keys = list(keys)
     if dim_rows is None:
-        # one bound for the dimension; the matched-key set below is never larger
         dim_rows = max_broadcast_rows if row_count_at_most(dim, max_broadcast_rows) else max_broadcast_rows + 1
-    dim_keys = dim.select(*keys).distinct()
-    left = join_dim(fact, dim, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows,
-                    salt_buckets=salt_buckets)
-    # Written once: it is bounded by the dimension, and Catalyst may push the anti
-    # join below a UNION inside ``dim`` and copy this subtree (a fact scan) per branch.
-    matched = materialize(join_dim(fact.select(*keys), dim_keys, keys, "left_semi", max_broadcast_rows=max_broadcast_rows,
-                                   dim_rows=dim_rows, salt_buckets=salt_buckets).distinct())
-    dim_only = join_dim(dim, matched, keys, "left_anti", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
-    return left.unionByName(dim_only, allowMissingColumns=True)
+    numbered = materialize(dim.withColumn("__n", F.monotonically_increasing_id()))
+    joined = materialize(join_dim(fact, numbered, keys, "left", max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows,
+                                  salt_buckets=salt_buckets))
+    dim_only = join_dim(numbered, marked_numbers(joined.select("__n"), "__n"), ["__n"], "left_anti",
+                        max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
+    return joined.drop("__n").unionByName(dim_only.drop("__n"), allowMissingColumns=True)
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

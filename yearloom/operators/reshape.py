@@ -1,7 +1,8 @@
 """Reshaping, ordering and set operations.
 
 Pivots take an explicit value list so the output schema is fixed and no extra
-job is needed to discover it. Sorting is for sinks only.
+job is needed to discover it; ``pivot_open`` reads the columns from the data, up to
+a stated width. Sorting is for sinks only.
 """
 
 from __future__ import annotations
@@ -12,20 +13,81 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yearloom.session import materialize
+
+
+MAX_PIVOT_COLUMNS = 10_000
+MAX_LIST_CELL = 1_000_000
+
+
+class PivotError(ValueError):
+    """A pivot that can't be laid out: too many columns, or cells with several values where one is expected."""
+
 
 def pivot_wider(df: DataFrame, ids: Sequence[str], names_from: str = "year", values_from: str = "value",
                 values: Sequence | None = None, agg: str = "max") -> DataFrame:
     """Long -> wide, one column per value of ``names_from`` (as text).
 
-    ``values`` should be given; if not, they are read with one small distinct
-    action. Each cell must come from one row (check with ``quality.unique_rows``
-    first); ``agg`` only decides how a forbidden duplicate would collapse."""
+    With ``values`` the plan is one aggregate; rows of other names are left out.
+    Without, the names are those of the data (``pivot_open``). Each cell must come
+    from one row (check with ``quality.unique_rows`` first); ``agg`` only decides how
+    a forbidden duplicate would collapse."""
     if values is None:
-        values = sorted(r[0] for r in df.select(names_from).distinct().collect() if r[0] is not None)
+        return pivot_open(df, ids, names_from, values_from, on_duplicates=agg)
     fn = {"max": F.max, "min": F.min, "first": F.first, "sum": F.sum}[agg]
     return df.groupBy(*ids).pivot(names_from, list(values)).agg(fn(values_from))
 
 
+def pivot_open(df: DataFrame, ids: Sequence[str], names_from: str = "year", values_from: str = "value", *, on_duplicates: str = "error",
+               order_by: Sequence[str] = (), max_columns: int = MAX_PIVOT_COLUMNS, max_list: int = MAX_LIST_CELL) -> DataFrame:
+    """A7 / F11 without a list of names: long -> wide, columns in ascending order of their names (a missing name is ``NA``).
+
+    One pass over ``df``: its cells, one row per ids and name, are aggregated (map-side first) and written; the names, the check
+    for cells with several values and the wide rows come from that table. A wide row is put together from a map of its own cells,
+    so a task sends as many entries as it has cells, however wide the table. More than ``max_columns`` names are an error, which
+    says how many there are; no more than that are read.
+
+    ``on_duplicates`` says what becomes of a cell with several values (T11): ``error`` (raised before the wide rows are made),
+    ``list`` (every cell an array, in the order of ``order_by``, else of the values, missing last; cells with more than ``max_list``
+    values are an error, found by a count before any list is made), or an aggregate: ``sum`` (missing with a missing member),
+    ``max``, ``min``, ``first`` (in the order of ``order_by``)."""
+    from yearloom.operators.aggregate import strict_sum
+
+    ids = list(ids)
+    name = F.coalesce(F.col(names_from).cast("string"), F.lit("NA"))
+    rows = df.withColumn("__name", name)
+    value = F.col(values_from)
+    order = F.struct(*[x for c in (order_by or [values_from]) for x in (F.col(c).isNull(), F.col(c))])
+    keys = [*ids, "__name"]
+    if on_duplicates == "list":
+        most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if most > max_list:
+            raise PivotError(f"a cell has {most} values, more than {max_list}")
+        listed = F.transform(F.sort_array(F.collect_list(F.struct(order.alias("o"), value.alias("v")))), lambda x: x["v"])
+        cell = listed
+    elif on_duplicates == "first":
+        cell = F.min_by(value, order)
+    elif on_duplicates == "sum":
+        cell = strict_sum(value, df.schema[values_from].dataType)
+    else:
+        cell = {"error": F.max, "max": F.max, "min": F.min}[on_duplicates](value)
+    cells = materialize(rows.groupBy(*keys).agg(cell.alias("__cell"), F.count(F.lit(1)).alias("__n")))
+    if on_duplicates == "error":
+        twice = cells.where("__n > 1").drop("__cell")
+        some = twice.limit(5).collect()
+        if some:
+            raise PivotError(f"{twice.count()} cells have more than one value, e.g. " + "; ".join(str(r.asDict()) for r in some))
+    names = cells.select("__name").distinct()
+    found = [r[0] for r in names.limit(max_columns + 1).collect()]
+    if len(found) > max_columns:
+        raise PivotError(f"{names.count()} columns, more than {max_columns}")
+    clash = sorted(set(found) & set(ids))
+    if clash:
+        raise PivotError(f"names that are also id columns: {', '.join(clash)}")
+    wide = cells.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("__name", "__cell"))).alias("__m"))
+    return wide.select(*ids, *[F.try_element_at("__m", F.lit(c)).alias(c) for c in sorted(found)])
+
+
 def pivot_longer(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] | None = None,
                  names_to: str = "year", values_to: str = "value") -> DataFrame:
     """Wide -> long. Missing cells stay as rows with a missing value."""

@@ -8,8 +8,9 @@ A definition is a row ``name, kind, multiplier, of`` and, optionally, ``base``,
 
 Every unit is held as a scale and a product of powers of others. A round replaces each factor by
 that unit's own product, for all units at once: chains shorten by half, so a definition that is
-``d`` steps from its base dimensions takes ``log2(d)`` rounds of equi-joins, whatever the number
-of definitions. Nothing is collected but counts.
+``d`` steps from its base dimensions takes ``log2(d)`` rounds of one equi-join, whatever the number
+of definitions. A round that finishes no unit leaves only cycles, and is the last. Nothing is
+collected but counts.
 
 What can't be resolved comes out as violations (``name, problem, detail``): ``unnamed``;
 ``repeated`` (a name with more than one row; none of them counts); ``unknown`` (``detail``: a name
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators.units.algebra import NUMBER_TOKEN, prefix_splits, unit_tokens
@@ -80,39 +81,51 @@ def resolve_definitions(definitions: DataFrame, prefixes: DataFrame | None = Non
         known = known.join(split.withColumnsRenamed({"unit": "part", "factor": "times"}), "tok", "left").select(
             "tok", F.coalesce("unit", "part").alias("unit"), F.when(F.col("unit").isNull(), F.coalesce("times", F.lit(1.0))).otherwise(F.lit(1.0)).alias("factor"))
     terms = tokens.join(known, "tok", "left")
-    amount = F.pow(F.coalesce("number", "factor"), F.col("sign").cast("double"))
-    # kinds of ends: a dimension, an unknown name; and a unit still to be replaced
+    # kinds of parts: a dimension, an unknown name, and a unit still to be replaced
+    part = F.struct(F.coalesce("unit", "tok").alias("target"), F.when(F.col("unit").isNull(), "unknown").otherwise("unit").alias("kind"),
+                    F.col("sign").cast("double").alias("exp"))
+    direct = terms.groupBy("name").agg(F.product(F.pow(F.coalesce("number", "factor"), F.col("sign").cast("double"))).alias("f"),
+                                       F.collect_list(F.when(F.col("number").isNull(), part)).alias("parts"))
     dims = F.when(F.col("base").isNotNull(), F.create_map("base", F.lit(1))).otherwise(F.col("dims"))
-    ends = defs.select("name", F.explode(dims).alias("target", "exp")).select("name", "target", F.lit("dimension").alias("kind"), F.col("exp").cast("double").alias("exp"))
-    open_ = terms.where("number is null").select("name", F.coalesce("unit", "tok").alias("target"),
-                                                 F.when(F.col("unit").isNull(), "unknown").otherwise("unit").alias("kind"), F.col("sign").cast("double").alias("exp"))
-    parts = materialize(_collected(open_.unionByName(ends)))
-    direct = terms.groupBy("name").agg(F.product(amount).alias("f"))
-    scales = materialize(defs.join(direct, "name", "left").select("name", (F.col("multiplier") * F.coalesce("f", F.lit(1.0))).alias("scale")))
-
-    for _ in range(max(1, n_defs).bit_length() + 1):
-        units = parts.where("kind = 'unit'")
-        if units.isEmpty():
+    ends = F.transform(F.map_entries(dims), lambda d: F.struct(d["key"].alias("target"), F.lit("dimension").alias("kind"), d["value"].cast("double").alias("exp")))
+    state = materialize(defs.join(direct, "name", "left").select(
+        "name", (F.col("multiplier") * F.coalesce("f", F.lit(1.0))).alias("scale"), _like_parts(F.coalesce("parts", ends, F.expr(NO_PARTS))).alias("parts")))
+
+    # a unit of depth d is done once 2 ** round reaches d, and depths have no gaps: a round that finishes no unit leaves only cycles
+    still = n_defs + 1
+    while True:
+        open_ = state.where(F.exists("parts", lambda p: p["kind"] == "unit")).count()
+        if not open_ or open_ == still:
             break
-        of = scales.select(F.col("name").alias("target"), F.col("scale").alias("s"))
-        factor = units.join(of, "target").groupBy("name").agg(F.product(F.pow("s", "exp")).alias("f"))
-        inner = parts.select(F.col("name").alias("target"), F.col("target").alias("t2"), F.col("kind").alias("k2"), F.col("exp").alias("e2"))
-        replaced = units.join(inner, "target").select("name", F.col("t2").alias("target"), F.col("k2").alias("kind"), (F.col("exp") * F.col("e2")).alias("exp"))
-        scales, parts = (materialize(scales.join(factor, "name", "left").select("name", (F.col("scale") * F.coalesce("f", F.lit(1.0))).alias("scale"))),
-                         materialize(_collected(parts.where("kind <> 'unit'").unionByName(replaced))))
-
-    problems = (counted.where("n > 1").select("name", F.lit("repeated").alias("problem"), F.lit(None).cast("string").alias("detail"))
+        still = open_
+        of = state.select(F.col("name").alias("target"), F.lit("unit").alias("kind"), F.col("scale").alias("s"), F.col("parts").alias("inner"))
+        each = state.select("name", "scale", F.explode_outer("parts").alias("p")).select("name", "scale", "p", "p.target", "p.kind")
+        met = each.join(of, ["target", "kind"], "left")
+        power = F.col("p")["exp"]
+        inside = F.transform("inner", lambda q: F.struct(q["target"].alias("target"), q["kind"].alias("kind"), (q["exp"] * power).alias("exp")))
+        now = F.when(F.col("s").isNotNull(), inside).when(F.col("p").isNotNull(), F.array("p")).otherwise(F.expr(NO_PARTS))
+        state = materialize(met.groupBy("name").agg(
+            (F.first("scale") * F.product(F.when(F.col("s").isNotNull(), F.pow("s", power)).otherwise(F.lit(1.0)))).alias("scale"),
+            _like_parts(F.flatten(F.collect_list(now))).alias("parts")))
+
+    each = state.select("name", F.explode("parts").alias("p")).select("name", "p.target", "p.kind")
+    nothing = F.lit(None).cast("string")
+    problems = (counted.where("n > 1").select("name", F.lit("repeated").alias("problem"), nothing.alias("detail"))
                 .unionByName(every.where("name is null").select("name", F.lit("unnamed").alias("problem"), F.col("of").alias("detail")))
-                .unionByName(parts.where("kind = 'unknown'").select("name", F.lit("unknown").alias("problem"), F.col("target").alias("detail")))
-                .unionByName(parts.where("kind = 'unit'").select("name").distinct().select("name", F.lit("cycle").alias("problem"), F.lit(None).cast("string").alias("detail"))))
-    dimension = F.when(F.col("kind") == "dimension", F.struct(F.col("target").alias("dim"), F.col("exp").cast("int").alias("exp")))
-    vector = parts.groupBy("name").agg(F.sort_array(F.collect_list(dimension)).alias("dims"), F.max(F.col("kind") != "dimension").alias("open"))
-    none = F.expr("cast(array() as array<struct<dim:string,exp:int>>)")
-    registry = (defs.select("name", "kind", "prefixable").join(scales, "name").join(vector, "name", "left").where("open is null or not open")
-                .select("name", "kind", "scale", F.coalesce("dims", none).alias("dims"), "prefixable"))
+                .unionByName(each.where("kind = 'unknown'").select("name", F.lit("unknown").alias("problem"), F.col("target").alias("detail")))
+                .unionByName(each.where("kind = 'unit'").select("name").distinct().select("name", F.lit("cycle").alias("problem"), nothing.alias("detail"))))
+    whole = state.where(F.forall("parts", lambda p: p["kind"] == "dimension")).select("name", "scale", F.array_sort(F.transform(
+        "parts", lambda p: F.struct(p["target"].alias("dim"), p["exp"].cast("int").alias("exp")))).alias("dims"))
+    registry = defs.select("name", "kind", "prefixable").join(whole, "name").select("name", "kind", "scale", "dims", "prefixable")
     return ResolvedUnits(materialize(registry), materialize(problems))
 
 
-def _collected(parts: DataFrame) -> DataFrame:
+NO_PARTS = "cast(array() as array<struct<target:string,kind:string,exp:double>>)"
+
+
+def _like_parts(parts: Column) -> Column:
     """Like factors of a unit together; those that cancel go (exponents as doubles: a cycle may double them every round)."""
-    return parts.groupBy("name", "target", "kind").agg(F.sum("exp").alias("exp")).where("exp <> 0")
+    kinds = F.array_distinct(F.transform(parts, lambda p: F.struct(p["target"].alias("target"), p["kind"].alias("kind"))))
+    summed = F.transform(kinds, lambda k: F.struct(k["target"].alias("target"), k["kind"].alias("kind"), F.aggregate(
+        F.filter(parts, lambda p: (p["target"] == k["target"]) & (p["kind"] == k["kind"])), F.lit(0.0), lambda x, p: x + p["exp"]).alias("exp")))
+    return F.filter(summed, lambda p: p["exp"] != 0)

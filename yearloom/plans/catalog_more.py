@@ -13,7 +13,7 @@ from yearloom.functions.text import interpolate_key_column
 from yearloom.functions.unit_names import SOURCE_UNIT_ALIASES, map_whole_values, standardize_unit_names_alt
 from yearloom.operators.aggregate import first_per_key
 from yearloom.operators.columns import round_numeric
-from yearloom.operators.reshape import sort_existing, sort_nulls_last, union_by_name, year_columns
+from yearloom.operators.reshape import pivot_open, sort_existing, sort_nulls_last, union_by_name, year_columns
 from yearloom.operators.units.algebra import unit_factor_table, unit_lookup
 from yearloom.operators.units.convert import convert_units
 from yearloom.operators.units.definitions import prefix_table, resolve_definitions
@@ -291,6 +291,37 @@ CROSS JOIN (VALUES {', '.join(f"('{s}')" for s in DEFAULT_SCENARIOS)}) y(s) WHER
 """
 
 
+# --- pivots ----------------------------------------------------------------------------------------------------------
+
+_OPEN_YEAR = _case([("o_orderkey % 100 = 7", "'2045'"), ("o_orderkey % 100 = 9", "NULL")], "CAST(year(o_orderdate) AS VARCHAR(4))")
+
+
+def q_pivot_open(spark, sf_dir):
+    """A7 / F11 without a list: the columns are the years of the data, one of which no list names, and NA."""
+    o = _t(spark, sf_dir, "orders").select("o_orderpriority", F.col("o_custkey"), F.expr(_OPEN_YEAR).alias("year"), "o_totalprice")
+    return pivot_open(o, ["o_custkey", "o_orderpriority"], "year", "o_totalprice", on_duplicates="max")
+
+
+SQL_PIVOT_OPEN = f"""
+SELECT o_custkey, o_orderpriority, {', '.join(f'max(o_totalprice) FILTER (WHERE y = {fx.sql_lit(y)}) AS "{y}"' for y in [*map(str, range(1995, 2002)), '2045', 'NA'])}
+FROM (SELECT *, coalesce({_OPEN_YEAR}, 'NA') AS y FROM orders) GROUP BY o_custkey, o_orderpriority
+"""
+
+
+def q_pivot_lists(spark, sf_dir):
+    """Cells with several values as ordered lists (shown as text), and their sums."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus", F.col("l_quantity").cast("long").alias("q"), "l_linenumber")
+    lists = pivot_open(li, ["l_orderkey"], "l_linestatus", "q", on_duplicates="list", order_by=["l_linenumber", "q"])
+    sums = pivot_open(li, ["l_orderkey"], "l_linestatus", "q", on_duplicates="sum")
+    shown = lists.select("l_orderkey", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(f"list_{c}") for c in ("F", "O")])
+    return shown.join(sums.withColumnsRenamed({"F": "sum_F", "O": "sum_O"}), "l_orderkey")
+
+
+SQL_PIVOT_LISTS = "SELECT l_orderkey, " + ", ".join(
+    f"array_to_string(list(CAST(l_quantity AS BIGINT) ORDER BY l_linenumber, l_quantity) FILTER (WHERE l_linestatus = '{c}'), ',') AS \"list_{c}\", "
+    f"CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_linestatus = '{c}') AS BIGINT) AS \"sum_{c}\"" for c in ("F", "O")) + " FROM lineitem GROUP BY l_orderkey"
+
+
 # --- units -----------------------------------------------------------------------------------------------------------
 
 def q_convert_default_targets(spark, sf_dir):
@@ -450,6 +481,8 @@ QUERIES = {
     "interpolate_columns": q_interpolate_columns,
     "tagged_maps": q_tagged_maps,
     "grid_to_series_map": q_grid_to_series_map,
+    "pivot_open": q_pivot_open,
+    "pivot_lists": q_pivot_lists,
     "convert_default_targets": q_convert_default_targets,
     "dispatch_modes": q_dispatch_modes,
     "units_variant": q_units_variant,
@@ -473,6 +506,8 @@ ORACLE_SQL = {
     "interpolate_columns": SQL_INTERPOLATE_COLUMNS,
     "tagged_maps": SQL_TAGGED_MAPS,
     "grid_to_series_map": SQL_GRID_TO_SERIES_MAP,
+    "pivot_open": SQL_PIVOT_OPEN,
+    "pivot_lists": SQL_PIVOT_LISTS,
     "convert_default_targets": SQL_CONVERT_DEFAULT_TARGETS,
     "dispatch_modes": SQL_DISPATCH_MODES,
     "units_variant": SQL_UNITS_VARIANT,

@@ -28,8 +28,8 @@ from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, map_whole_val
 from yearloom.operators.aggregate import scaled_rollup
 from yearloom.operators.columns import add_constants, round_numeric, where_present
 from yearloom.operators.joins import full_outer_join, join_dim, semi_join
-from yearloom.operators.quality import assert_empty, nonmatch, unique_rows
-from yearloom.operators.reshape import pivot_wider
+from yearloom.operators.quality import QualityError, assert_empty, nonmatch, unique_rows
+from yearloom.operators.reshape import PivotError, pivot_open, pivot_wider
 from yearloom.operators.units.convert import convert_crosswalk, convert_rowwise
 from yearloom.schemas import LONG_COLUMNS, WIDE_ID_COLUMNS
 from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize, row_count_at_most
@@ -129,17 +129,20 @@ def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_uni
     makes the reference's keep-first dedupe (A4) a no-op. Rows without a year go to a
     column ``NA``.
 
-    Runs one or two jobs: with ``check_unique`` a cell with two values is an error, and
-    so is a year outside a given ``years`` list; without a list the years are read."""
+    With a ``years`` list: a cell with two values (``check_unique``) and a year outside
+    the list are errors, each found by a job of its own. Without one the years are
+    the data's, and the cells are aggregated once for both the check and the table
+    (``pivot_open``)."""
     tagged = tag_sources(long).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("NA")))
+    if years is None:
+        try:
+            return pivot_open(tagged, WIDE_ID_COLUMNS, on_duplicates="error" if check_unique else "max")
+        except PivotError as e:
+            raise QualityError(f"more than one value per cell (T11): {e}") from e
     if check_unique:
         assert_empty(unique_rows(tagged, WIDE_ID_COLUMNS + ["year"]), "more than one value per cell (T11)")
-    if years is not None:
-        labels = [str(y) for y in years]
-        assert_empty(tagged.where(~F.col("year").isin(labels)).groupBy("year").count(), "years outside the list")
-    else:
-        # one row per year; "NA" sorts after the digits
-        labels = sorted(r[0] for r in tagged.select("year").distinct().collect())
+    labels = [str(y) for y in years]
+    assert_empty(tagged.where(~F.col("year").isin(labels)).groupBy("year").count(), "years outside the list")
     wide = pivot_wider(tagged, WIDE_ID_COLUMNS, "year", "value", labels)
     return wide.select(*WIDE_ID_COLUMNS, *labels)
 
