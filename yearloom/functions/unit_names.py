@@ -7,12 +7,14 @@ meant to run on *distinct* unit strings (a few dozen), never per fact row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yearloom.session import row_count_at_most
+
 # ---------------------------------------------------------------------------
 # Alias -> registry name. Applied in this order, literally, all
 # occurrences (the order is load-bearing: "2019 $/b" before "2019 $", "cents"
@@ -101,6 +103,23 @@ def fold_replace(c: Column | str, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), pairs, _col(c))
 
 
+MAX_ALIASES = 10_000
+
+
+def with_aliases_replaced(df: DataFrame, columns: Mapping[str, str], aliases: DataFrame, max_aliases: int = MAX_ALIASES) -> DataFrame:
+    """L5 with the aliases as a table (``rank, alias, name``): for each ``out: column`` of ``columns``, ``column`` with all aliases
+    replaced, all occurrences, in the order of rank (equal ranks by alias, then name). The table becomes one array, read once by a
+    scalar subquery; more than ``max_aliases`` rows are an error. Rows without an alias or a name, and empty aliases, change
+    nothing. Meant for distinct values."""
+    usable = aliases.where("alias <> '' and name is not null")
+    if not row_count_at_most(usable, max_aliases):
+        raise ValueError(f"more than {max_aliases} aliases")
+    ranked = usable.select(F.sort_array(F.collect_list(F.struct("rank", "alias", "name"))).alias("a")).scalar()
+    own = df.withColumn("__aliases", ranked)
+    return own.withColumns({out: F.aggregate("__aliases", F.col(c).cast("string"), lambda text, one: F.replace(text, one["alias"], one["name"]))
+                            for out, c in columns.items()}).drop("__aliases")
+
+
 def standardize_unit_names(c: Column | str, aliases: Sequence[tuple[str, str]] = UNIT_ALIASES) -> Column:
     """Alias -> registry names, literal, ordered, all occurrences."""
     return fold_replace(c, aliases)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from yearloom.session import materialize
@@ -39,11 +39,13 @@ def pivot_wider(df: DataFrame, ids: Sequence[str], names_from: str = "year", val
 
 
 def pivot_open(df: DataFrame, ids: Sequence[str], names_from: str = "year", values_from: str = "value", *, on_duplicates: str = "error",
-               order_by: Sequence[str] = (), max_columns: int = MAX_PIVOT_COLUMNS, max_list: int = MAX_LIST_CELL) -> DataFrame:
-    """A7 / F11 without a list of names: long -> wide, columns in ascending order of their names (a missing name is ``NA``).
+               order_by: Sequence[str] = (), columns: Sequence[str] | None = None, max_columns: int = MAX_PIVOT_COLUMNS,
+               max_list: int = MAX_LIST_CELL) -> DataFrame:
+    """Long -> wide; the columns are ``columns`` (a name outside them is an error) or, without these, all names of the data in
+    ascending order (a missing name is ``NA``).
 
-    One pass over ``df``: its cells, one row per ids and name, are aggregated (map-side first) and written; the names, the check
-    for cells with several values and the wide rows come from that table. A wide row is put together from a map of its own cells,
+    One pass over ``df``: its cells, one row per ids and name, are aggregated (map-side first) and written, and the cells with
+    several values or names outside ``columns`` counted on the way; names and wide rows come from that table. A wide row is put together from a map of its own cells,
     so a task sends as many entries as it has cells, however wide the table. More than ``max_columns`` names are an error, which
     says how many there are; no more than that are read.
 
@@ -71,21 +73,28 @@ def pivot_open(df: DataFrame, ids: Sequence[str], names_from: str = "year", valu
         cell = strict_sum(value, df.schema[values_from].dataType)
     else:
         cell = {"error": F.max, "max": F.max, "min": F.min}[on_duplicates](value)
-    cells = materialize(rows.groupBy(*keys).agg(cell.alias("__cell"), F.count(F.lit(1)).alias("__n")))
-    if on_duplicates == "error":
-        twice = cells.where("__n > 1").drop("__cell")
-        some = twice.limit(5).collect()
-        if some:
-            raise PivotError(f"{twice.count()} cells have more than one value, e.g. " + "; ".join(str(r.asDict()) for r in some))
-    names = cells.select("__name").distinct()
-    found = [r[0] for r in names.limit(max_columns + 1).collect()]
-    if len(found) > max_columns:
-        raise PivotError(f"{names.count()} columns, more than {max_columns}")
+    seen = Observation()
+    outside = ~F.col("__name").isin(list(columns)) if columns is not None else F.lit(False)
+    cells = materialize(rows.groupBy(*keys).agg(cell.alias("__cell"), F.count(F.lit(1)).alias("__n")).observe(
+        seen, F.count_if(F.col("__n") > 1).alias("twice"), F.count_if(outside).alias("outside")))
+    if on_duplicates == "error" and seen.get["twice"]:
+        some = cells.where("__n > 1").drop("__cell").limit(5).collect()
+        raise PivotError(f"{seen.get['twice']} cells have more than one value, e.g. " + "; ".join(str(r.asDict()) for r in some))
+    if seen.get["outside"]:
+        some = cells.where(outside).select("__name").distinct().limit(5).collect()
+        raise PivotError(f"names outside the list ({seen.get['outside']} cells), e.g. {', '.join(r[0] for r in some)}")
+    if columns is not None:
+        found = list(columns)
+    else:
+        names = cells.select("__name").distinct()
+        found = sorted(r[0] for r in names.limit(max_columns + 1).collect())
+        if len(found) > max_columns:
+            raise PivotError(f"{names.count()} columns, more than {max_columns}")
     clash = sorted(set(found) & set(ids))
     if clash:
         raise PivotError(f"names that are also id columns: {', '.join(clash)}")
     wide = cells.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("__name", "__cell"))).alias("__m"))
-    return wide.select(*ids, *[F.try_element_at("__m", F.lit(c)).alias(c) for c in sorted(found)])
+    return wide.select(*ids, *[F.try_element_at("__m", F.lit(c)).alias(c) for c in found])
 
 
 def pivot_longer(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] | None = None,

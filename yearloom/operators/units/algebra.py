@@ -325,10 +325,21 @@ def unit_factor_table(pairs: DataFrame, from_col: str = "from_unit", to_col: str
     )
 
 
+def convertibility_classes(units: DataFrame, unit_col: str = "unit", rename_fun=standardize_unit_names, registry=None) -> DataFrame:
+    """U3 for all units at once: ``unit, dims, class_id`` of the distinct units, where units convert into one another exactly when
+    they share a ``class_id`` (the smallest unit of the class); an unresolvable unit has none. The dimensions' text is the grouping
+    key, so nothing compares pairs: one aggregate (map-side first) and a join back."""
+    u = units.select(F.col(unit_col).alias("unit")).where("unit is not null").distinct().withColumn("_s", rename_fun(F.col("unit")))
+    resolved = with_resolved(materialize(u), "_s", "_r", unit_lookup(registry))
+    known = materialize(resolved.select("unit", F.when(F.size("_r.unresolved") == 0, dims_signature(F.col("_r.dims"))).alias("dims")))
+    least = known.where("dims is not null").groupBy("dims").agg(F.min("unit").alias("class_id"))
+    return known.join(least, "dims", "left").select("unit", "dims", "class_id")
+
+
 def dims_signature(dims: Column) -> Column:
     """Readable dimension text, e.g. ``kg^1 m^2 s^-2`` (empty = dimensionless)."""
     return F.array_join(F.transform(dims, lambda d: F.concat(d["dim"], F.lit("^"), d["exp"].cast("string"))), " ")
 
 
 __all__ = ["UnitLookup", "RegistryTable", "RepeatedUnits", "repeated_units", "prefix_splits", "unit_tokens", "unit_lookup", "resolve_expression", "with_resolved", "with_resolved_many", "resolve_unit_expressions", "unit_factor_table",
-           "dims_signature"]
+           "dims_signature", "convertibility_classes"]

@@ -45,6 +45,26 @@ def check_input(df: DataFrame, unit_col: str = "unit", value_col: str = "value")
         raise UnitConversionError(f"{unit_col} must be a string column")
 
 
+def input_violations(df: DataFrame, unit_col: str = "unit", value_col: str = "value") -> DataFrame:
+    """Q7 as rows (``problem, detail, n_rows``): a column that is missing or of the wrong type; and, where both are there, values
+    without a unit, blank units, and values that are no numbers (NaN, infinite), counted by unit. One aggregate, no job."""
+    spark = df.sparkSession
+    schema = "problem string, detail string, n_rows long"
+    types = {c: df.schema[c].dataType if c in df.columns else None for c in (unit_col, value_col)}
+    shape = [("missing column", c, None) for c, t in types.items() if t is None]
+    if types[unit_col] is not None and not isinstance(types[unit_col], T.StringType):
+        shape.append(("unit is not text", unit_col, None))
+    if types[value_col] is not None and not isinstance(types[value_col], T.NumericType):
+        shape.append(("value is not a number", value_col, None))
+    if shape:
+        return local_frame(spark, shape, schema)
+    unit, value = F.col(unit_col), F.col(value_col)
+    bad = F.array_compact(F.array(
+        F.when(unit.isNull() & value.isNotNull(), "value without a unit"), F.when(F.trim(unit) == "", "blank unit"),
+        F.when(F.isnan(value.cast("double")) | (F.abs(value.cast("double")) == float("inf")), "value is not a number")))
+    return df.select(F.explode(bad).alias("problem"), unit.alias("detail")).groupBy("problem", "detail").agg(F.count("*").alias("n_rows"))
+
+
 def _fact_pairs(pairs: DataFrame, max_broadcast_rows: int) -> tuple[DataFrame, int | None]:
     """Distinct (from, to) pairs taken from a fact table: written once (one
     column-pruned, map-side combined pass over the facts) and counted up to the

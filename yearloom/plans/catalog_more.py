@@ -5,30 +5,32 @@ driver tables, an equivalent SQL text for each."""
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.functions.text import interpolate_key_column
-from yearloom.functions.unit_names import SOURCE_UNIT_ALIASES, map_whole_values, standardize_unit_names_alt
+from yearloom.functions.unit_names import SOURCE_UNIT_ALIASES, map_whole_values, standardize_unit_names_alt, with_aliases_replaced
 from yearloom.operators.aggregate import first_per_key
 from yearloom.operators.columns import round_numeric
-from yearloom.operators.reshape import pivot_open, sort_existing, sort_nulls_last, union_by_name, year_columns
-from yearloom.operators.units.algebra import unit_factor_table, unit_lookup
-from yearloom.operators.units.convert import convert_units
+from yearloom.operators.quality import warn_unit_differences
+from yearloom.operators.reshape import pivot_longer, pivot_open, sort_existing, sort_nulls_last, union_by_name, year_columns
+from yearloom.operators.units.algebra import convertibility_classes, unit_factor_table, unit_lookup
+from yearloom.operators.units.convert import convert_units, input_violations
 from yearloom.operators.units.definitions import prefix_table, resolve_definitions
 from yearloom.plans import fixtures as fx
-from yearloom.plans.catalog import (SQL_CONVERT_FROM_SET, SQL_CONVERT_ROWWISE, SQL_CONVERT_SINGLE_TARGET, SQL_GRID_EXPAND,
-                                    _LINE_PAIRS, _dbl, _display_sql, _industry_dims, _line_units, _line_units_sql,
+from yearloom.plans.catalog import (INVENTORY_THRESHOLD, SQL_CONVERT_FROM_SET, SQL_CONVERT_ROWWISE, SQL_CONVERT_SINGLE_TARGET, SQL_GRID_EXPAND,
+                                    _LINE_PAIRS, _dbl, _display_sql, _industry_dims, _inventory_raw, _line_units, _line_units_sql,
                                     _series_map, _t, factors_sql, std_sql)
-from yearloom.plans.harmonize import convert_with_default_targets, map_and_rollup
+from yearloom.plans.harmonize import convert_with_default_targets, export_inventory, export_wide, map_and_rollup, wide_table
 from yearloom.plans.mapping import (DEFAULT_DATASETS, DEFAULT_SCENARIOS, VALID_REGIONS, VALID_SCENARIOS, build_series_map,
                                     clean_mapping, expand_industry_map, instantiate_template, restrict_to_catalog, tag_mapping,
                                     template_subset)
 from yearloom.session import scratch_dir
 from yearloom.sources.readers import (corrupt_csv_rows, explode_payload, load_payload, payload_violations, read_base_csv, read_mapping_csv, read_payload,
-                                      template_units_from_mapping)
-from yearloom.sources.sinks import write_csv, write_csv_quoted, write_tsv
+                                      read_template, template_units_from_mapping)
+from yearloom.sources.sinks import read_manifest, write_csv, write_csv_quoted, write_parquet, write_tsv
 
 
 def _case(branches, otherwise: str | None = None):
@@ -466,6 +468,151 @@ SELECT prefix || 'u' || CAST(l_partkey AS VARCHAR) AS from_unit, 'u' || CAST(l_s
 """
 
 
+def q_alias_table(spark, sf_dir):
+    """L5 with aliases as data: each brand's name, in an order of rank that lets earlier results meet later aliases."""
+    p = _t(spark, sf_dir, "part")
+    aliases = p.groupBy("p_brand").agg(F.max("p_size").alias("s")).select(
+        F.substring("p_brand", 7, 3).cast("int").alias("rank"), F.substring("p_brand", 5, 3).alias("alias"),
+        F.concat(F.lit("<"), F.substring("p_brand", 7, 1), F.lit(">")).alias("name"))
+    texts = p.select(F.concat_ws(" ", "p_brand", "p_name", "p_type").alias("text")).distinct()
+    return with_aliases_replaced(texts, {"folded": "text"}, aliases)
+
+
+SQL_ALIAS_TABLE = """
+WITH RECURSIVE a AS (
+  SELECT DISTINCT CAST(substr(p_brand, 7, 3) AS INTEGER) AS rank, substr(p_brand, 5, 3) AS alias, '<' || substr(p_brand, 7, 1) || '>' AS name FROM part),
+n AS (SELECT *, row_number() OVER (ORDER BY rank, alias, name) AS i FROM a),
+f(text, folded, i) AS (
+  SELECT DISTINCT p_brand || ' ' || p_name || ' ' || p_type, p_brand || ' ' || p_name || ' ' || p_type, 0::BIGINT FROM part
+  UNION ALL SELECT f.text, replace(f.folded, n.alias, n.name), n.i FROM f JOIN n ON n.i = f.i + 1)
+SELECT text, folded FROM f WHERE i = (SELECT max(i) FROM n)
+"""
+
+_CLASS_DIMS = {0: "m", 1: "s", 2: "kg"}
+
+
+def q_unit_classes(spark, sf_dir):
+    """Quotients of part units that convert into one another, by the class of their dimensions."""
+    p = _t(spark, sf_dir, "part")
+    dim = F.element_at(F.create_map(*[F.lit(x) for k in _CLASS_DIMS.items() for x in k]), (F.col("p_size") % 3).cast("int"))
+    registry = p.select(F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("name"), F.lit("symbol").alias("kind"),
+                        F.lit(2.0).alias("scale"), F.array(F.struct(dim.alias("dim"), F.lit(1).alias("exp"))).alias("dims"))
+    units = _t(spark, sf_dir, "lineitem").select(F.concat(F.lit("u"), F.col("l_partkey").cast("string"), F.lit("/u"), F.col("l_suppkey").cast("string")).alias("unit"))
+    return convertibility_classes(units, rename_fun=lambda c: c, registry=registry)
+
+
+SQL_UNIT_CLASSES = f"""
+WITH r AS (SELECT p_partkey AS k, {_case([(f"p_size % 3 = {k}", fx.sql_lit(v)) for k, v in _CLASS_DIMS.items()])} AS dim FROM part),
+x AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem),
+u AS (SELECT 'u' || CAST(l_partkey AS VARCHAR) || '/u' || CAST(l_suppkey AS VARCHAR) AS unit,
+             CASE WHEN a.dim IS NULL OR b.dim IS NULL THEN NULL WHEN a.dim = b.dim THEN ''
+                  WHEN a.dim < b.dim THEN a.dim || '^1 ' || b.dim || '^-1' ELSE b.dim || '^-1 ' || a.dim || '^1' END AS dims
+      FROM x LEFT JOIN r a ON l_partkey = a.k LEFT JOIN r b ON l_suppkey = b.k)
+SELECT unit, dims, CASE WHEN dims IS NOT NULL THEN min(unit) OVER (PARTITION BY dims) END AS class_id FROM u
+"""
+
+
+# --- checks and published files --------------------------------------------------------------------------------------
+
+_SHAPE_UNIT = _case([("l_linenumber = 1", "NULL"), ("l_linenumber = 2", "' '")], "l_returnflag")
+
+
+def q_input_violations(spark, sf_dir):
+    """Q7: rows that conversion couldn't use, counted by unit; and a table without the columns it needs."""
+    li = _t(spark, sf_dir, "lineitem")
+    rows = li.select(F.expr(_SHAPE_UNIT).alias("unit"), F.when(F.col("l_quantity") > 40, F.lit(float("nan"))).when(
+        F.col("l_quantity") > 38, F.lit(float("-inf"))).when(F.col("l_quantity") > 3, F.col("l_quantity").cast("double")).alias("value"))
+    shape = input_violations(li.select(F.col("l_orderkey").alias("unit")))
+    return input_violations(rows).withColumn("of", F.lit("rows")).unionByName(shape.withColumn("of", F.lit("shape")))
+
+
+SQL_INPUT_VIOLATIONS = f"""
+WITH r AS (SELECT {_SHAPE_UNIT} AS unit, l_quantity AS q FROM lineitem)
+SELECT 'value without a unit' AS problem, unit AS detail, count(*) AS n_rows, 'rows' AS of FROM r WHERE unit IS NULL AND q > 3 GROUP BY unit
+UNION ALL SELECT 'blank unit', unit, count(*), 'rows' FROM r WHERE unit = ' ' GROUP BY unit
+UNION ALL SELECT 'value is not a number', unit, count(*), 'rows' FROM r WHERE q > 38 GROUP BY unit
+UNION ALL SELECT 'missing column', 'value', NULL, 'shape' UNION ALL SELECT 'unit is not text', 'unit', NULL, 'shape'
+"""
+
+
+def q_difference_warning(spark, sf_dir):
+    """Q5: combinations whose unit differs from the template's, and that the check warned of them."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("model"), F.lit("S").alias("scenario"), F.col("o_orderpriority").alias("variable"),
+                                           F.concat(F.lit("u"), F.year("o_orderdate").cast("string")).alias("unit"))
+    template = _t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("variable")).agg(
+        F.concat(F.lit("u"), F.min(F.year("o_orderdate")).cast("string")).alias("unit"))
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        found = warn_unit_differences(o, template)
+    said = sum("differ from the template" in str(w.message) for w in caught)
+    return found.select("model", "scenario", "variable", "unit", "benchmark_unit", F.lit(said).alias("warnings"))
+
+
+SQL_DIFFERENCE_WARNING = """
+WITH t AS (SELECT o_orderpriority AS variable, 'u' || CAST(min(year(o_orderdate)) AS VARCHAR) AS benchmark_unit FROM orders GROUP BY 1),
+o AS (SELECT DISTINCT o_orderstatus AS model, 'S' AS scenario, o_orderpriority AS variable, 'u' || CAST(year(o_orderdate) AS VARCHAR) AS unit FROM orders)
+SELECT model, scenario, variable, unit, benchmark_unit, 1 AS warnings FROM o JOIN t USING (variable) WHERE unit <> benchmark_unit
+"""
+
+
+def q_template_file(spark, sf_dir):
+    """S3: the reporting template written as CSV and as Parquet, read back with lower-cased names."""
+    t = _t(spark, sf_dir, "part").select(F.concat_ws("|", "p_type", "p_name").alias("Variable"), F.nullif("p_brand", F.lit("Brand#1")).alias("Unit"),
+                                         F.col("p_size").cast("string").alias("Tier"))
+    folder = f"{scratch_dir(spark)}/template-{uuid.uuid4().hex}"
+    csv = read_template(spark, write_csv(t, f"{folder}/csv"))
+    parquet = read_template(spark, write_parquet(t, f"{folder}/parquet"), "parquet")
+    return union_by_name([csv.withColumn("read_as", F.lit("csv")), parquet.withColumn("read_as", F.lit("parquet"))])
+
+
+SQL_TEMPLATE_FILE = """
+WITH t AS (SELECT p_type || '|' || p_name AS variable, nullif(p_brand, 'Brand#1') AS unit, CAST(p_size AS VARCHAR) AS tier FROM part)
+SELECT *, 'csv' AS read_as FROM t UNION ALL SELECT *, 'parquet' FROM t
+"""
+
+
+def q_wide_published(spark, sf_dir):
+    """F11 + F12: the wide table laid out from the data's years, published over an earlier output, and read back."""
+    o = _t(spark, sf_dir, "orders")
+    long = o.groupBy(F.concat(F.lit("AEO."), "o_orderstatus").alias("model"), F.col("o_orderpriority").alias("scenario"), F.year("o_orderdate").alias("year")).agg(
+        F.count("*").cast("double").alias("value")).select("model", "scenario", F.lit("USA").alias("region"), F.lit("Orders").alias("variable"),
+                                                         F.lit("1").alias("unit"), "year", "value")
+    path = f"{scratch_dir(spark)}/wide-{uuid.uuid4().hex}"
+    export_wide(wide_table(long.where("year < 1997")), path)
+    back = read_base_csv(spark, export_wide(wide_table(long), path))
+    total = read_manifest(spark, path)["rows"]
+    years = [c for c in back.columns if c.isdigit()]
+    return back.select("model", "scenario", "region", "variable", "unit", *[F.nullif(F.col(y), F.lit("NA")).cast("double").alias(f"y{y}") for y in years],
+                       F.lit(total).cast("long").alias("published"))
+
+
+SQL_WIDE_PUBLISHED = f"""
+SELECT 'AEO.' || o_orderstatus AS model, o_orderpriority AS scenario, 'USA' AS region, 'Orders' AS variable, '1' AS unit,
+       {', '.join(f'CAST(nullif(count(*) FILTER (WHERE year(o_orderdate) = {y}), 0) AS DOUBLE) AS y{y}' for y in range(1995, 2002))},
+       count(*) OVER () AS published
+FROM orders GROUP BY o_orderstatus, o_orderpriority
+"""
+
+
+def q_inventory_published(spark, sf_dir):
+    """F14 with its tail: the cleaned inventory, all cells quoted, read back as text."""
+    back = read_base_csv(spark, export_inventory(_inventory_raw(spark, sf_dir), f"{scratch_dir(spark)}/inventory-{uuid.uuid4().hex}"))
+    ids = ["variable", "region", "unit", "model", "scenario"]
+    return pivot_longer(back, ids, [c for c in back.columns if c.isdigit()], "year", "cell").select(*ids, F.col("year").cast("int").alias("year"), "cell")
+
+
+SQL_INVENTORY_PUBLISHED = f"""
+WITH cells AS (
+  SELECT 'Emissions|' || n_name AS variable, o_orderstatus AS region, CAST(year(o_orderdate) AS INTEGER) AS year,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS BIGINT) // 1000 AS k
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 4 AND o_orderstatus <> 'P' GROUP BY 1, 2, 3),
+grid AS (SELECT * FROM (SELECT DISTINCT variable, region FROM cells) CROSS JOIN (VALUES {', '.join(f'({y})' for y in fx.YEARS)}) y(year))
+SELECT g.variable, g.region, 'MMTCO2/yr' AS unit, 'EPA.GHGI' AS model, '2022' AS scenario, g.year,
+       CASE WHEN c.k IS NULL THEN 'NA' WHEN c.k < {INVENTORY_THRESHOLD} THEN '+' ELSE format('{{:,.2f}}', CAST(c.k AS DOUBLE)) END AS cell
+FROM grid g LEFT JOIN cells c ON g.variable = c.variable AND g.region = c.region AND g.year = c.year
+"""
+
+
 QUERIES = {
     "ingest_violations": q_ingest_violations,
     "ingest_text_numbers": q_ingest_text_numbers,
@@ -489,6 +636,13 @@ QUERIES = {
     "unit_factors_registry": q_unit_factors_registry,
     "unit_definitions": q_unit_definitions,
     "unit_prefixes": q_unit_prefixes,
+    "alias_table": q_alias_table,
+    "unit_classes": q_unit_classes,
+    "input_violations": q_input_violations,
+    "difference_warning": q_difference_warning,
+    "template_file": q_template_file,
+    "wide_published": q_wide_published,
+    "inventory_published": q_inventory_published,
 }
 
 ORACLE_SQL = {
@@ -514,4 +668,11 @@ ORACLE_SQL = {
     "unit_factors_registry": SQL_UNIT_FACTORS_REGISTRY,
     "unit_definitions": SQL_UNIT_DEFINITIONS,
     "unit_prefixes": SQL_UNIT_PREFIXES,
+    "alias_table": SQL_ALIAS_TABLE,
+    "unit_classes": SQL_UNIT_CLASSES,
+    "input_violations": SQL_INPUT_VIOLATIONS,
+    "difference_warning": SQL_DIFFERENCE_WARNING,
+    "template_file": SQL_TEMPLATE_FILE,
+    "wide_published": SQL_WIDE_PUBLISHED,
+    "inventory_published": SQL_INVENTORY_PUBLISHED,
 }

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, map_whole_values, relabel_units,
@@ -28,12 +28,12 @@ from yearloom.functions.unit_names import (TEMPLATE_DISPLAY_NAMES, map_whole_val
 from yearloom.operators.aggregate import scaled_rollup
 from yearloom.operators.columns import add_constants, round_numeric, where_present
 from yearloom.operators.joins import full_outer_join, join_dim, semi_join
-from yearloom.operators.quality import QualityError, assert_empty, nonmatch, unique_rows
-from yearloom.operators.reshape import PivotError, pivot_open, pivot_wider
+from yearloom.operators.quality import QualityError, assert_empty, nonmatch
+from yearloom.operators.reshape import PivotError, pivot_open
 from yearloom.operators.units.convert import convert_crosswalk, convert_rowwise
 from yearloom.schemas import LONG_COLUMNS, WIDE_ID_COLUMNS
 from yearloom.session import DEFAULT_BROADCAST_ROWS, materialize, row_count_at_most
-from yearloom.sources.sinks import write_csv, write_csv_quoted, write_tsv
+from yearloom.sources.sinks import Publication, write_csv, write_csv_quoted, write_tsv
 
 # Source tags (case-insensitive patterns) and the model label each
 # split is published under (None = keep the model column).
@@ -92,9 +92,12 @@ def convert_to_template(df: DataFrame, *, strict: bool = True, check: bool = Tru
     ``df_is_written``: ``df`` is already a written table, so its crosswalk needs
     no lineage cut of its own."""
     xw = df.select(F.col("unit").alias("from_unit"), F.col("emf_units").alias("to_unit"))
-    out = materialize(convert_crosswalk(df, xw, strict=strict, cut_lineage=not df_is_written,
-                                        max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets))
-    if check:
+    converted = convert_crosswalk(df, xw, strict=strict, cut_lineage=not df_is_written,
+                                  max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
+    # counted while the rows are written; only a count above zero reads them again
+    seen = Observation()
+    out = materialize(converted.observe(seen, F.count_if(F.col("unit") != F.col("emf_units")).alias("off")))
+    if check and seen.get["off"]:
         assert_empty(nonmatch(out), "rows not in the template unit")
     return out
 
@@ -129,22 +132,14 @@ def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_uni
     makes the reference's keep-first dedupe (A4) a no-op. Rows without a year go to a
     column ``NA``.
 
-    With a ``years`` list: a cell with two values (``check_unique``) and a year outside
-    the list are errors, each found by a job of its own. Without one the years are
-    the data's, and the cells are aggregated once for both the check and the table
-    (``pivot_open``)."""
+    The cells are aggregated and written once (``pivot_open``); a cell with two
+    values (``check_unique``) and a year outside a given ``years`` list are errors,
+    counted while the cells are written. Without a list the years are the data's."""
     tagged = tag_sources(long).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("NA")))
-    if years is None:
-        try:
-            return pivot_open(tagged, WIDE_ID_COLUMNS, on_duplicates="error" if check_unique else "max")
-        except PivotError as e:
-            raise QualityError(f"more than one value per cell (T11): {e}") from e
-    if check_unique:
-        assert_empty(unique_rows(tagged, WIDE_ID_COLUMNS + ["year"]), "more than one value per cell (T11)")
-    labels = [str(y) for y in years]
-    assert_empty(tagged.where(~F.col("year").isin(labels)).groupBy("year").count(), "years outside the list")
-    wide = pivot_wider(tagged, WIDE_ID_COLUMNS, "year", "value", labels)
-    return wide.select(*WIDE_ID_COLUMNS, *labels)
+    try:
+        return pivot_open(tagged, WIDE_ID_COLUMNS, on_duplicates="error" if check_unique else "max", columns=None if years is None else [str(y) for y in years])
+    except PivotError as e:
+        raise QualityError(f"the wide table can't be laid out (T11): {e}") from e
 
 
 def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, years: Sequence[int] | None = None,
@@ -212,15 +207,16 @@ def convert_with_default_targets(df: DataFrame, *, target_col: str = "emf_units"
     return out.withColumn("unit", shown).select(*df.columns)
 
 
-def export_wide(wide: DataFrame, path: str, single_file: bool = False) -> str:
+def export_wide(wide: DataFrame, path: str, single_file: bool = False, publication: Publication | None = None) -> str:
     """the combined wide table as CSV, ordered by model, scenario, region,
     variable; missing cells as NA. ``single_file`` only for small results."""
-    return write_csv(wide, path, order_by=["model", "scenario", "region", "variable"], single_file=single_file)
+    return write_csv(wide, path, order_by=["model", "scenario", "region", "variable"], single_file=single_file, publication=publication)
 
 
-def export_change_tracker(wide: DataFrame, path: str, years: Sequence[int | str], single_file: bool = False) -> str:
+def export_change_tracker(wide: DataFrame, path: str, years: Sequence[int | str], single_file: bool = False,
+                          publication: Publication | None = None) -> str:
     """the rounded change-tracking TSV, ordered by the id columns."""
-    return write_tsv(change_tracker(wide, years), path, order_by=WIDE_ID_COLUMNS, single_file=single_file)
+    return write_tsv(change_tracker(wide, years), path, order_by=WIDE_ID_COLUMNS, single_file=single_file, publication=publication)
 
 
 def change_tracker(wide: DataFrame, years: Sequence[int | str], digits: int = 2) -> DataFrame:

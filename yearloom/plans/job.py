@@ -28,7 +28,7 @@ from yearloom.plans.mapping import (build_series_map, clean_mapping, expand_indu
 from yearloom.session import materialize, remove_scratch
 from yearloom.sources.readers import (corrupt_csv_rows, explode_payload, factor_violations, load_payload, payload_violations,
                                       read_base_csv, read_mapping_csv, read_observations, read_template)
-from yearloom.sources.sinks import write_csv, write_csv_quoted, write_parquet
+from yearloom.sources.sinks import Publication, write_csv, write_csv_quoted, write_parquet
 
 
 @dataclass
@@ -103,7 +103,7 @@ def load_observations(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, Da
 
 
 def run_job(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
-    """Run the job and write its outputs; returns the output paths."""
+    """Run the job and publish its outputs, all together; returns the output paths. A run that fails leaves an earlier run's outputs."""
     series_map = load_series_map(spark, spec)
     obs, bad = load_observations(spark, spec)
     parquet = spec.template_path.endswith(".parquet")
@@ -116,16 +116,17 @@ def run_job(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     crosswalk = materialize(result["crosswalk_qa"])
     pairs = crosswalk.where("to_unit is not null").select("from_unit", "to_unit")
     out = spec.output_dir.rstrip("/")
-    paths = {
-        "wide_csv": export_wide(wide, f"{out}/wide_csv", spec.single_file),
-        "change_tracker_tsv": export_change_tracker(wide, f"{out}/change_tracker_tsv", spec.tracker_years, spec.single_file),
-        "unit_crosswalk_qa": write_csv(crosswalk, f"{out}/unit_crosswalk_qa", order_by=["from_unit", "to_unit"], single_file=True),
-        "long_parquet": write_parquet(result["long"], f"{out}/long_parquet", partition_by=["model"]),
-        "ingest_violations": write_parquet(bad, f"{out}/ingest_violations"),
-        "coverage_gaps": write_parquet(coverage_gaps(result["long"], template, series_map, unit_factor_table(pairs, cut_lineage=False)),
-                                       f"{out}/coverage_gaps"),
-        "frequency_violations": write_parquet(frequency_violations(obs), f"{out}/frequency_violations"),
-    }
+    with Publication(spark) as pub:  # all outputs appear together, or none
+        paths = {
+            "wide_csv": export_wide(wide, f"{out}/wide_csv", spec.single_file, publication=pub),
+            "change_tracker_tsv": export_change_tracker(wide, f"{out}/change_tracker_tsv", spec.tracker_years, spec.single_file, publication=pub),
+            "unit_crosswalk_qa": write_csv(crosswalk, f"{out}/unit_crosswalk_qa", order_by=["from_unit", "to_unit"], single_file=True, publication=pub),
+            "long_parquet": write_parquet(result["long"], f"{out}/long_parquet", partition_by=["model"], publication=pub),
+            "ingest_violations": write_parquet(bad, f"{out}/ingest_violations", publication=pub),
+            "coverage_gaps": write_parquet(coverage_gaps(result["long"], template, series_map, unit_factor_table(pairs, cut_lineage=False)),
+                                           f"{out}/coverage_gaps", publication=pub),
+            "frequency_violations": write_parquet(frequency_violations(obs), f"{out}/frequency_violations", publication=pub),
+        }
     if spec.industry_path is not None:
         paths["key_template_expanded"] = f"{out}/key_template_expanded"
     if not spec.keep_scratch:
