@@ -139,7 +139,7 @@ def wide_table(long: DataFrame, years: Sequence[int] | None = None, *, check_uni
     try:
         return pivot_open(tagged, WIDE_ID_COLUMNS, on_duplicates="error" if check_unique else "max", columns=None if years is None else [str(y) for y in years])
     except PivotError as e:
-        raise QualityError(f"the wide table can't be laid out (T11): {e}") from e
+        raise QualityError(f"more than one value per cell (T11) or a year outside the list: {e}") from e
 
 
 def harmonize(obs: DataFrame, series_map: DataFrame, template: DataFrame, *, years: Sequence[int] | None = None,
