@@ -79,19 +79,15 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, max_bro
                     salt_buckets=salt_buckets)
 
 
-BITMAP_BITS = 32768  # of one bucket of Spark's bitmap functions
-
-
 def marked_numbers(df: DataFrame, number_col: str) -> DataFrame:
-    """The distinct numbers (0 and up) in a column, as ``number_col``: one bitmap of 4 KiB for each 32,768 numbers in a task, so a task
-    sends no more than the numbers' range holds, however many rows it has."""
-    n = F.col(number_col) + 1  # the functions count from 1
-    bits = df.where(F.col(number_col).isNotNull()).groupBy(F.bitmap_bucket_number(n).alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("__bits"))
-    byte = F.expr("conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10)").cast("int")
-    each = bits.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(BITMAP_BITS - 1))))
-    return each.where(F.getbit(byte, F.expr("cast(__at % 8 as int)")) == 1).select(
-        ((F.col("__bucket") - 1) * BITMAP_BITS + F.col("__at")).cast("long").alias(number_col))
+    """The distinct numbers (0 and up) in a column, as ``number_col``, through one 64-bit word for each 64 numbers: a hash aggregate
+    whose tasks send no more words than the numbers' range holds, however many rows they have. (Spark's own bitmap aggregate
+    can't be hashed and would sort every task's rows.)"""
+    n = F.col(number_col)
+    bit = F.expr(f"shiftleft(cast(1 as bigint), cast(`{number_col}` % 64 as int))")
+    words = df.where(n.isNotNull()).groupBy(F.expr(f"`{number_col}` div 64").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    each = words.withColumn("__at", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    return each.where(F.getbit("__bits", F.col("__at")) == 1).select((F.col("__word") * 64 + F.col("__at")).alias(number_col))
 
 
 def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
@@ -106,8 +102,8 @@ def full_outer_with_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], *,
     1. the dimension's rows get numbers
     2. fact LEFT JOIN broadcast(dim), the number carried along and written
        (map-side; the only pass over the fact)
-    3. the numbers that occur, from the written number column alone, as bitmaps
-       (``marked_numbers``); the other dimension rows are those without a match
+    3. the numbers that occur, from the written number column alone, as words of
+       bits (``marked_numbers``); the other dimension rows are those without a match
     4. union by name; columns missing on a side are NULL.
     Missing keys match each other (the reference's join semantics). Beyond the
     bound step 2 is a shuffle join, salted with ``salt_buckets > 1``.
