@@ -1,7 +1,8 @@
 """Connected components of a large edge table, by alternating star rounds.
 
 Every round first contracts the edges each task holds (a local forest), then links
-each node's larger neighbours, and then its smaller ones, to the smallest of them. The edge
+each node's larger neighbours, and then its smaller ones, to the smallest of them. A node with
+very many neighbours meets its smallest one in ``SALTS`` parts, by the neighbours' hashes. The edge
 table is written to the session's checkpoint folder each round; nothing is collected
 but a count and a checksum.
 """
@@ -19,6 +20,7 @@ from yearloom.llm import textarrays as ta
 from yearloom.session import materialize
 
 MAX_ROUNDS = 60
+SALTS = 16
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +63,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = now
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = both.where("b > a").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+        large = salted.join(spread, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest)
