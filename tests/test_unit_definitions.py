@@ -91,3 +91,25 @@ def test_repeated_names_are_refused(spark):
             unit_lookup(registry)
     with pytest.raises(ValueError, match="quad"):
         unit_lookup(extra=[UnitDef(("quad",), 1e15, "Btu"), UnitDef(("quad",), 2e15, "Btu")])
+
+
+def test_registry_tables_are_not_broadcast(spark, monkeypatch):
+    """However small they look: only the prefixes go through the driver."""
+    from yearloom.operators.units import algebra as A
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(A, "materialize", lambda df, keep=A.materialize: plans.append(plan(df)) or keep(df))
+    registry = spark.range(40).selectExpr("concat('u', id) as name", "if(id % 2 = 0, 'symbol', 'name') as kind", "id + 1D as scale",
+                                          "array(struct('m' as dim, 1 as exp)) as dims", "id % 5 <> 0 as prefixable")
+    pairs = spark.range(400).selectExpr("concat(element_at(array('', 'k', 'Kilo', 'mega'), int(id % 4) + 1), 'u', id % 50, if(id % 3 = 0, 's', '')) as from_unit", "'u3' as to_unit")
+    out = unit_factor_table(pairs, rename_fun=lambda c: c, registry=unit_lookup(registry, prefixes=prefix_table(spark)))
+    plans.append(plan(out))
+    joins = [line for p in plans for line in p.split("\n") if "Join" in line]
+    assert len(joins) >= 6 and all("prefix" in line for line in joins if "Broadcast" in line)
+    got = {r.from_unit: r.factor for r in out.collect()}
+    assert len(got) == pairs.distinct().count()
+    for unit, factor in got.items():
+        prefix, k = unit.rstrip("s").split("u")
+        symbol, takes = int(k) % 2 == 0, int(k) % 5 != 0
+        times = {"": 1.0, "k": 1e3 if symbol and takes else None, "Kilo": 1e3 if not symbol and takes else None, "mega": 1e6 if not symbol and takes else None}[prefix]
+        assert factor == (None if times is None or int(k) >= 40 else times * (int(k) + 1) / 4), unit

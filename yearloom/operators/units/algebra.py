@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.registry import UnitDef, registry_rows
-from yearloom.session import materialize
+from yearloom.session import broadcast_checked, materialize
 
 _TOKEN_SPLIT = r"[\s*]+"
 NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
@@ -202,7 +202,7 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
         asked = df.select(F.explode(F.array_distinct(F.array(*[F.coalesce(F.col(e), F.lit("")) for e, _ in specs]))).alias("__e")).distinct()
         done = _resolved_by_join(asked, lookup.units, lookup.prefixes)
         for e, o in specs:
-            df = df.join(done.withColumnRenamed("__r", o), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
+            df = df.join(shuffled(done.withColumnRenamed("__r", o)), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
         return df
     toks = [_cached("tokens", e, lookup).alias(f"__toks_{o}") for e, o in specs]
     step = df.select("*", *toks)
@@ -210,18 +210,29 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
     return step.select(*df.columns, *outs)
 
 
+def prefix_cuts(tokens: DataFrame, tok_col: str, prefixes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``tokens`` by every beginning that is a prefix: with its length ``k``, the ``unit`` after it, and the prefix's ``kind`` and
+    ``factor``. ``prefixes`` (``prefix, kind, factor``) match in the columns ``by`` too; few, they are broadcast after a size check."""
+    longest = prefixes.agg(F.max(F.length("prefix"))).first()[0] or 0
+    ends = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(tok_col) - 1)) if longest else F.expr("cast(array() as array<int>)")
+    cut = tokens.where(F.length(tok_col) > 1).select("*", F.explode(ends).alias("k"))
+    cut = cut.select("*", F.expr(f"substring(`{tok_col}`, 1, k)").alias("prefix"), F.expr(f"substring(`{tok_col}`, k + 1)").alias("unit"))
+    return cut.join(broadcast_checked(prefixes.select(*by, "prefix", "kind", "factor")), [*by, "prefix"]).drop("prefix")
+
+
 def prefix_splits(tokens: DataFrame, tok_col: str, prefixes: DataFrame, units: DataFrame) -> DataFrame:
     """``tok_col, unit, factor`` of the tokens that are a prefix and a prefixable unit of the prefix's kind; the longest prefix counts.
     Every beginning of a token meets the prefixes (``prefix, kind, factor``), and its rest the ``units`` (``unit, kind, prefixable``)."""
-    longest = prefixes.agg(F.max(F.length("prefix"))).first()[0] or 0
-    if not longest:
-        return tokens.limit(0).select(tok_col, F.col(tok_col).alias("unit"), F.lit(1.0).alias("factor"))
-    cut = tokens.select(tok_col, F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("k")).where(F.col("k") < F.length(tok_col))
-    cut = cut.select(tok_col, "k", F.substring(F.col(tok_col), F.lit(1), F.col("k")).alias("prefix"), F.expr(f"substring(`{tok_col}`, k + 1)").alias("unit"))
-    found = cut.join(prefixes.select("prefix", "kind", "factor"), "prefix").join(units.where("prefixable").select("unit", "kind"), ["unit", "kind"])
+    found = prefix_cuts(tokens.select(tok_col), tok_col, prefixes).join(shuffled(units.where("prefixable").select("unit", "kind")), ["unit", "kind"])
     return found.groupBy(tok_col).agg(F.max_by(F.struct("unit", "factor"), F.struct("k", "unit")).alias("u")).select(tok_col, "u.unit", "u.factor")
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """The side of a join that has a row a key and grows with the registry: hashed by partition. Its written size says little of its
+    size in memory, by which a broadcast would fill the driver."""
+    return table.hint("shuffle_hash")
+
+
 def repeated_units(registry: DataFrame) -> DataFrame:
     """U1 check: names that a registry table holds more than once (``name, n_rows``)."""
     return registry.groupBy("name").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -245,22 +256,22 @@ def _token_units(tokens: DataFrame, registry: DataFrame, prefixes: DataFrame | N
     a prefix, without a plural ``s`` (and with a prefix), and the same in lower case. The first in this order counts."""
     lookup = _registry_lookup(registry)
     exact = lookup.where("mode = 'exact'").select(F.col("key").alias("tok"), "scale", "dims")
-    first = materialize(tokens.join(exact, "tok", "left"))
+    first = materialize(tokens.join(shuffled(exact), "tok", "left"))
     done, rest = first.where("scale is not null"), first.where("scale is null").select("tok")
     if rest.isEmpty():
         return done
     single = F.regexp_replace("tok", "s$", "")
-    spellings = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(m).alias("mode"), t.alias("key")) for k, (m, t) in enumerate((
+    spellings = F.array(*[F.struct(F.lit(2 * k).alias("rank"), F.lit(m).alias("mode"), t.alias("key")) for k, (m, t) in enumerate((
         ("exact", F.col("tok")), ("exact", single), ("folded", F.lower("tok")), ("folded", F.lower(single))))])
-    asked = rest.select("tok", F.explode(spellings).alias("s")).select("tok", "s.*")
-    found = asked.join(lookup.select("mode", "key", "scale", "dims"), ["mode", "key"]).select("tok", (F.col("rank") * 2).alias("rank"), "scale", "dims")
+    asked = rest.select("tok", F.explode(spellings).alias("s")).select("tok", "s.*").where(F.col("rank").isin(0, 4) | (single != F.col("tok")))
+    tried = asked.select("tok", "rank", F.lit(0).alias("k"), "mode", "key", F.lit(None).cast("string").alias("before"), F.lit(1.0).alias("factor"))
     if prefixes is not None and "prefixable" in registry.columns:
-        for mode, table in (("exact", prefixes), ("folded", prefixes.where("kind = 'name'").withColumn("prefix", F.lower("prefix")))):
-            own = lookup.where(F.col("mode") == mode)
-            split = prefix_splits(asked.where(F.col("mode") == mode).select("key").distinct(), "key", table, own.withColumnRenamed("key", "unit"))
-            split = split.join(own.select(F.col("key").alias("unit"), "scale", "dims"), "unit").select("key", (F.col("factor") * F.col("scale")).alias("scale"), "dims")
-            found = found.unionByName(asked.where(F.col("mode") == mode).join(split, "key").select("tok", (F.col("rank") * 2 + 1).alias("rank"), "scale", "dims"))
-    best = found.groupBy("tok").agg(F.min(F.struct("rank", "scale", "dims")).alias("u")).select("tok", "u.scale", "u.dims")
+        forms = prefixes.select(F.lit("exact").alias("mode"), "prefix", "kind", "factor").unionByName(
+            prefixes.where("kind = 'name'").select(F.lit("folded").alias("mode"), F.lower("prefix").alias("prefix"), "kind", "factor"))
+        tried = tried.unionByName(prefix_cuts(asked, "key", forms, ("mode",)).select(
+            "tok", (F.col("rank") + 1).alias("rank"), "k", "mode", F.col("unit").alias("key"), F.col("kind").alias("before"), "factor"))
+    found = tried.join(shuffled(lookup), ["mode", "key"]).where("before is null or (prefixable and kind = before)")
+    best = found.groupBy("tok").agg(F.min(F.struct("rank", -F.col("k"), (F.col("factor") * F.col("scale")).alias("scale"), "dims")).alias("u")).select("tok", "u.scale", "u.dims")
     return done.unionByName(best)
 
 
@@ -270,12 +281,12 @@ def _resolved_by_join(exprs: DataFrame, registry: DataFrame, prefixes: DataFrame
     tokens = exprs.select("__e", F.posexplode(unit_tokens(F.col("__e"))).alias("pos", "t")).select("__e", "pos", "t.tok", "t.sign")
     number = F.when(F.col("tok").rlike(NUMBER_TOKEN), F.col("tok").try_cast("double"))
     units = _token_units(tokens.where(number.isNull()).select("tok").distinct(), registry, prefixes)
-    found = tokens.join(units, "tok", "left")
+    found = tokens.join(shuffled(units), "tok", "left")
     unit = F.when(number.isNotNull(), F.struct(number.alias("scale"), F.lit("").alias("dims"))).when(
         F.col("scale").isNotNull(), F.struct("scale", "dims"))
     lists = found.groupBy("__e").agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "sign", unit.alias("m")))).alias("__t"))
     none = F.expr("cast(array() as array<struct<pos:int,tok:string,sign:int,m:struct<scale:double,dims:string>>>)")
-    every = exprs.join(lists, "__e", "left").withColumn("__t", F.coalesce("__t", none))
+    every = exprs.join(shuffled(lists), "__e", "left").withColumn("__t", F.coalesce("__t", none))
     return materialize(every.select("__e", _summarize(F.col("__t")).alias("__r")))
 
 
