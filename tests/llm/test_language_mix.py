@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,19 @@ def test_accepted(docs, labelled):
     assert {r.doc_id for r in L.accepted(unlabelled.withColumn("lang", F.lit(None).cast("string")), F.lit(True)).collect()} == {r[0] for r in labelled} | {9001, 9002, 9003}
 
 
+def test_accepted_by_the_inferred_mixture():
+    """Words that a language each explains a little, but no mixture: half of each explains a word worse than even draws."""
+    model = np.full((L.BUCKETS, 2), -np.log(L.BUCKETS), np.float32)
+    at = {w: L._trigrams(np.frombuffer(w.encode(), np.uint8), np.array([0, 1]))[0][0] for w in "xyz"}
+    model[at["x"]] += (.3, -5)
+    model[at["y"]] += (-5, .3)
+    model[at["z"]] += (3, -5)
+    column = pa.array(["x y " * 20, "x " * 40, "z y " * 20, "x y " * 9, "y " * 40 + "x", None, "1 " * 40])
+    assert L.explained_batch(column, ["a", "b"], model).tolist() == [False, True, True, True, True, False, False]
+    assert L.explained_batch(column, ["a"], model[:, :1]).tolist() == [False, True, False, True, False, False, False]
+    assert L.explained_batch(column, [], model[:, :0]).tolist() == [True] * 5 + [False] * 2
+
+
 def test_repeated_ids_stay_within_the_sample(docs, labelled):
     """A row count, not an id, is what the bound counts."""
     rows = [(1, f"{t} {k}", lang) for k, (_, t, lang) in enumerate(labelled * 3)]

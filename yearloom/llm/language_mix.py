@@ -10,9 +10,9 @@ the sets of the k most likely languages (each further language costs
 ``PENALTY + log(words) / 2``). The prediction is the language of the largest proportion
 in that set, the score its proportion.
 
-A document is accepted (``accepted``) if it has a letter and some mixture of the languages can
-explain its words better than drawing each trigram evenly from all buckets would; how many
-languages it is in doesn't matter. Texts under ``JUDGED_WORDS`` words are too short to tell, and
+A document is accepted (``accepted``) if it has a letter and the mixture inferred for it explains
+its words better than drawing each trigram evenly from all buckets would, by penalised likelihood;
+how many languages it is in doesn't matter. Texts under ``JUDGED_WORDS`` words are too short to tell, and
 need a letter only.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every
@@ -138,12 +138,17 @@ def _settle(lik: np.ndarray, count: np.ndarray, share: np.ndarray, goal: np.ndar
 
 def infer(logs: np.ndarray, count: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
     """Most likely label and its share, for documents of ``count`` (1 or more) words each; ``logs`` [word, label]."""
+    return mixtures(logs, count, penalty)[:2]
+
+
+def mixtures(logs: np.ndarray, count: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``infer``, and the penalised log-likelihood of each document's mixture."""
     n_docs, n_langs = len(count), logs.shape[1]
     start = np.cumsum(count) - count
     single = np.add.reduceat(logs, start, axis=0, dtype=np.float64)
     best, share = single.argmax(1), np.ones(n_docs)
     if n_langs == 1:
-        return best, share
+        return best, share, single[:, 0]
     top = logs.max(1, keepdims=True)
     lik = np.exp((logs - top).astype(np.float64)) + 1e-300
     base = np.add.reduceat(top[:, 0], start, dtype=np.float64)
@@ -165,24 +170,26 @@ def infer(logs: np.ndarray, count: np.ndarray, penalty: float = PENALTY) -> tupl
         won = docs[better]
         reached[won] = (value - (k - 1) * fine[docs])[better]
         best[won], share[won] = part[better].argmax(1), np.minimum(1.0, part[better].max(1))
-    return best, share
+    return best, share, reached + base
 
 
 def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode())
 
 
-def explained_batch(column: pa.Array, labels: list[str], model: np.ndarray) -> np.ndarray:
-    """Which texts have a letter and words that the languages explain, each by its most likely one, better than even draws would."""
+def explained_batch(column: pa.Array, labels: list[str], model: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
+    """Which texts have a letter and, if they are long enough to tell, a mixture of languages that explains their words better than even
+    draws would."""
     out = np.zeros(len(column), bool)
     for first, _, data, offsets in ta.blocks(column):
         bucket, word, count = _trigrams(data, offsets)
         ascii_letter = (_LETTER[data] < 128) & (_LETTER[data] != 0x20)
         sure = ta.per_row(np.flatnonzero(ascii_letter), offsets) > 0
         known = np.array([bool(c) and (bool(s) or _has_letter(data[offsets[k]:offsets[k + 1]].tobytes())) for k, (c, s) in enumerate(zip(count, sure))], bool)
-        if labels and known.any():
-            gain = np.add.reduceat(model[bucket] + np.float32(np.log(BUCKETS)), word, axis=0).max(1)
-            known &= (count < JUDGED_WORDS) | (np.bincount(np.repeat(np.arange(len(count)), count), gain, len(count)) > 0)
+        judged = known & (count >= JUDGED_WORDS)
+        if labels and judged.any():
+            gain = np.add.reduceat(model[bucket] + np.float32(np.log(BUCKETS)), word, axis=0)  # of words, over even draws
+            known[judged] = mixtures(gain[np.repeat(judged, count)], count[judged], penalty)[2] > 0
         out[first:first + len(count)] = known
     return out
 
@@ -212,11 +219,11 @@ def _predict(labels: list[str], model, penalty: float):
     return run
 
 
-def _accept(labels: list[str], model, text_at: int):
+def _accept(labels: list[str], model, text_at: int, penalty: float):
     @ta.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(explained_batch(batch.column(text_at), labels, model.value)))
+            yield batch.filter(pa.array(explained_batch(batch.column(text_at), labels, model.value, penalty)))
     return run
 
 
@@ -230,8 +237,8 @@ def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: s
 
 
 def accepted(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows of ``docs`` whose words the learned languages explain; all rows with a letter, if there is no label to learn from."""
+             sample_docs: int = SAMPLE_DOCS, penalty: float = PENALTY) -> DataFrame:
+    """The rows of ``docs`` whose words the inferred mixture of languages explains; all rows with a letter, if there is no label to learn from."""
     labels, model = train(docs, learn, id_col, text_col, lang_col, sample_docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_accept(labels, shared, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(_accept(labels, shared, docs.columns.index(text_col), penalty), docs.schema)
