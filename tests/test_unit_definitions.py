@@ -1,11 +1,12 @@
 """Units as data: the definition graph, prefixes before a registry table's units, repeated names."""
 
 import math
+import re
 
 import pytest
 
 from conftest import rows
-from yearloom.operators.units.algebra import RepeatedUnits, repeated_units, unit_factor_table, unit_lookup
+from yearloom.operators.units.algebra import RepeatedUnits, convertibility_classes, repeated_units, resolve_unit_expressions, unit_factor_table, unit_lookup
 from yearloom.operators.units.definitions import DEFINITION_SCHEMA, definition_table, prefix_table, resolve_definitions
 from yearloom.operators.units.registry import BASE_UNITS, HARMONIZATION_UNITS, SI_PREFIXES, VARIANT_UNITS, UnitDef, build_unit_table, registry_rows
 
@@ -94,9 +95,10 @@ def test_repeated_names_are_refused(spark):
 
 
 def test_registry_tables_are_not_broadcast(spark, monkeypatch):
-    """However small they look: only the prefixes go through the driver."""
+    """However small they look when they have more rows than may be broadcast: only the prefixes go through the driver."""
     from yearloom.operators.units import algebra as A
     plans = []
+    monkeypatch.setattr(A, "DEFAULT_BROADCAST_ROWS", 0, raising=False)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(A, "materialize", lambda df, keep=A.materialize: plans.append(plan(df)) or keep(df))
     registry = spark.range(40).selectExpr("concat('u', id) as name", "if(id % 2 = 0, 'symbol', 'name') as kind", "id + 1D as scale",
@@ -113,3 +115,27 @@ def test_registry_tables_are_not_broadcast(spark, monkeypatch):
         symbol, takes = int(k) % 2 == 0, int(k) % 5 != 0
         times = {"": 1.0, "k": 1e3 if symbol and takes else None, "Kilo": 1e3 if not symbol and takes else None, "mega": 1e6 if not symbol and takes else None}[prefix]
         assert factor == (None if times is None or int(k) >= 40 else times * (int(k) + 1) / 4), unit
+
+
+EXPRESSIONS = ["m", "m s/kg", "2 m*m / s / 4 kg", "m/m", "nowhere m/gone", "", " / s", "3", "m//s", "m m m m m", "m s kg m s / m s kg gone 2 m", "m*s*kg/2/s/kg", "/", "s/s s s s s s", None]
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 50_000])
+def test_expressions_by_a_table_agree_with_the_list(spark, monkeypatch, broadcast_rows):
+    """Short and long ones, numbers, unknown tokens, empty sides; and classes in which no expression's tokens are gathered by a shuffle."""
+    from yearloom.operators.units import algebra as A
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(A, "materialize", lambda df, keep=A.materialize: plans.append(plan(df)) or keep(df))
+    monkeypatch.setattr(A, "DEFAULT_BROADCAST_ROWS", broadcast_rows, raising=False)
+    units = [("m", "name", 2.0, [("m", 1)]), ("s", "name", 3.0, [("s", 1)]), ("kg", "symbol", 5.0, [("kg", 1), ("m", 2)])]
+    table = spark.createDataFrame([(n, k, x, [{"dim": d, "exp": e} for d, e in dims]) for n, k, x, dims in units],
+                                  "name string, kind string, scale double, dims array<struct<dim:string,exp:int>>")
+    exprs = spark.createDataFrame([(e,) for e in EXPRESSIONS], "expr string")
+    assert rows(resolve_unit_expressions(exprs, registry=table)) == rows(resolve_unit_expressions(exprs, registry=units))
+    short = spark.createDataFrame([(e,) for e in EXPRESSIONS if e is None or len(re.findall(r"[^\s*/]+", e)) <= A.JOINED_TOKENS], "unit string")
+    want = rows(convertibility_classes(short, rename_fun=lambda c: c, registry=units))
+    plans.clear()
+    out = convertibility_classes(short, rename_fun=lambda c: c, registry=table)
+    assert rows(out) == want and len(want) == short.where("unit is not null").count()
+    assert not any("collect_list" in p for p in plans)

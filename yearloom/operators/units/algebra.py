@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from yearloom.functions.unit_names import standardize_unit_names
 from yearloom.operators.units.registry import UnitDef, registry_rows
-from yearloom.session import broadcast_checked, materialize
+from yearloom.session import DEFAULT_BROADCAST_ROWS, broadcast_checked, materialize, row_count_at_most
 
 _TOKEN_SPLIT = r"[\s*]+"
 NUMBER_TOKEN = r"^[0-9.]+([eE][+-]?[0-9]+)?$"
 DIMS_TYPE = "array<struct<dim:string,exp:int>>"
+JOINED_TOKENS = 4  # tokens of an expression that are looked up in place; a join each
 
 
 def _dims_text(dims) -> str:
@@ -113,18 +114,22 @@ def unit_lookup(registry=None, *, variant: bool = False, extra: list[UnitDef] |
     return UnitLookup.from_rows(registry)
 
 
-def unit_tokens(expr: Column) -> Column:
-    """array<struct<tok string, sign int>> for a unit expression."""
-    sides = F.split(F.coalesce(expr, F.lit("")), "/")
+def token_lists(expr: Column) -> tuple[Column, Column]:
+    """The tokens above and below the line of a unit expression, as arrays of text."""
+    def tokens(side: Column) -> Column:
+        return F.array_remove(F.split(side, _TOKEN_SPLIT), "")
 
-    def side_tokens(side: Column, sign: int) -> Column:
-        toks = F.filter(F.split(F.trim(side), _TOKEN_SPLIT), lambda t: t != "")
-        return F.transform(toks, lambda t: F.struct(t.alias("tok"), F.lit(sign).alias("sign")))
+    expr = F.coalesce(expr, F.lit(""))
+    below = F.expr("cast(array() as array<string>)")
+    at = F.instr(expr, "/")
+    return tokens(F.substring_index(expr, "/", 1)), F.when(at > 0, tokens(F.translate(F.substring(expr, at + 1, F.length(expr)), "/", " "))).otherwise(below)
 
-    num = side_tokens(F.element_at(sides, 1), 1)
-    dens = F.flatten(F.transform(F.slice(sides, 2, F.greatest(F.size(sides) - 1, F.lit(0))),
-                                 lambda s: side_tokens(s, -1)))
-    return F.concat(num, dens)
+
+def unit_tokens(expr: Column) -> Column:
+    """array<struct<tok string, sign int>> for a unit expression."""
+    above, below = token_lists(expr)
+    return F.concat(F.transform(above, lambda t: F.struct(t.alias("tok"), F.lit(1).alias("sign"))),
+                    F.transform(below, lambda t: F.struct(t.alias("tok"), F.lit(-1).alias("sign"))))
 
 
 def _lookup_token(tok: Column, maps) -> Column:
@@ -152,6 +157,15 @@ def _resolved_tokens(expr: Column, maps) -> Column:
                                                          _lookup_token(t["tok"], maps).alias("m")))
 
 
+def _summed(flat: Column) -> Column:
+    """Dimensions of a list with repeats: each once, sorted, without those that cancel."""
+    names = F.sort_array(F.array_distinct(flat["dim"]))
+    summed = F.transform(names, lambda n: F.struct(
+        n.alias("dim"),
+        F.aggregate(F.filter(flat, lambda d: d["dim"] == n), F.lit(0), lambda a, d: a + d["exp"]).alias("exp")))
+    return F.filter(summed, lambda d: d["exp"] != 0).cast(DIMS_TYPE)
+
+
 def _summarize(toks: Column) -> Column:
     """Scale, dims and unknown tokens from resolved tokens (see module doc)."""
     def prod(sign: int) -> Column:
@@ -162,13 +176,8 @@ def _summarize(toks: Column) -> Column:
     flat = F.flatten(F.transform(toks, lambda t: F.transform(
         _parse_dims(F.coalesce(t["m"]["dims"], F.lit(""))),
         lambda d: F.struct(d["dim"].alias("dim"), (d["exp"] * t["sign"]).alias("exp")))))
-    names = F.array_sort(F.array_distinct(F.transform(flat, lambda d: d["dim"])))
-    summed = F.transform(names, lambda n: F.struct(
-        n.alias("dim"),
-        F.aggregate(F.filter(flat, lambda d: d["dim"] == n), F.lit(0), lambda a, d: a + d["exp"]).alias("exp")))
-    dims = F.filter(summed, lambda d: d["exp"] != 0)
     return F.struct(F.when(F.size(unresolved) == 0, prod(1) / prod(-1)).alias("scale"),
-                    dims.cast(DIMS_TYPE).alias("dims"),
+                    _summed(flat).alias("dims"),
                     unresolved.alias("unresolved"))
 
 
@@ -200,9 +209,9 @@ def with_resolved_many(df: DataFrame, specs: list[tuple[str, str]], lookup: Unit
     the distinct expressions are resolved by joins and joined back."""
     if isinstance(lookup, RegistryTable):
         asked = df.select(F.explode(F.array_distinct(F.array(*[F.coalesce(F.col(e), F.lit("")) for e, _ in specs]))).alias("__e")).distinct()
-        done = _resolved_by_join(asked, lookup.units, lookup.prefixes)
+        done = _by_rows(materialize(_with_resolved_rows(asked, "__e", "__r", lookup)))
         for e, o in specs:
-            df = df.join(shuffled(done.withColumnRenamed("__r", o)), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
+            df = df.join(done.withColumnRenamed("__r", o), F.coalesce(F.col(e), F.lit("")) == F.col("__e"), "left").drop("__e")
         return df
     toks = [_cached("tokens", e, lookup).alias(f"__toks_{o}") for e, o in specs]
     step = df.select("*", *toks)
@@ -233,6 +242,11 @@ def shuffled(table: DataFrame) -> DataFrame:
     return table.hint("shuffle_hash")
 
 
+def _by_rows(table: DataFrame) -> DataFrame:
+    """A written side of a join: broadcast if its rows are few, else as by ``shuffled``."""
+    return F.broadcast(table) if row_count_at_most(table, DEFAULT_BROADCAST_ROWS) else shuffled(table)
+
+
 def repeated_units(registry: DataFrame) -> DataFrame:
     """U1 check: names that a registry table holds more than once (``name, n_rows``)."""
     return registry.groupBy("name").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -275,19 +289,54 @@ def _token_units(tokens: DataFrame, registry: DataFrame, prefixes: DataFrame | N
     return done.unionByName(best)
 
 
-def _resolved_by_join(exprs: DataFrame, registry: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
-    """Distinct expressions (column ``__e``) with their ``__r`` struct; each distinct token is looked up once."""
-    exprs = materialize(exprs)
-    tokens = exprs.select("__e", F.posexplode(unit_tokens(F.col("__e"))).alias("pos", "t")).select("__e", "pos", "t.tok", "t.sign")
-    number = F.when(F.col("tok").rlike(NUMBER_TOKEN), F.col("tok").try_cast("double"))
-    units = _token_units(tokens.where(number.isNull()).select("tok").distinct(), registry, prefixes)
-    found = tokens.join(shuffled(units), "tok", "left")
-    unit = F.when(number.isNotNull(), F.struct(number.alias("scale"), F.lit("").alias("dims"))).when(
-        F.col("scale").isNotNull(), F.struct("scale", "dims"))
-    lists = found.groupBy("__e").agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "sign", unit.alias("m")))).alias("__t"))
-    none = F.expr("cast(array() as array<struct<pos:int,tok:string,sign:int,m:struct<scale:double,dims:string>>>)")
-    every = exprs.join(shuffled(lists), "__e", "left").withColumn("__t", F.coalesce("__t", none))
-    return materialize(every.select("__e", _summarize(F.col("__t")).alias("__r")))
+def _with_resolved_rows(df: DataFrame, expr_col: str, out_col: str, lookup: RegistryTable) -> DataFrame:
+    """``with_resolved`` by joins, row by row; each distinct token is looked up once. Expressions of up to ``JOINED_TOKENS`` tokens stay
+    rows: the first tokens of all meet the units in one join, then the second ones. Those of longer ones are gathered by expression."""
+    kept, expr = [F.col(c) for c in df.columns], F.coalesce(F.col(expr_col), F.lit(""))
+    above, below = token_lists(expr)
+    rows = materialize(df.select("*", F.concat(above, below).alias("__t"), F.size(above).alias("__above")))
+    longest = rows.agg(F.max(F.size("__t"))).first()[0] or 0
+    number = lambda t: F.when(t.rlike(NUMBER_TOKEN), t.try_cast("double"))
+    names = rows.select(F.explode("__t").alias("tok")).where(number(F.col("tok")).isNull()).distinct()
+    dims = _summed(_parse_dims(F.col("dims")))
+    over = F.transform(dims, lambda d: F.struct(d["dim"].alias("dim"), (-d["exp"]).alias("exp")))
+    units = materialize(_token_units(names, lookup.units, lookup.prefixes).where("scale is not null").select(
+        F.col("tok").alias("__unit"), F.struct("scale", dims.alias("dims"), over.alias("over")).alias("__u")))
+    units = _by_rows(units)
+
+    # scales above and below the line, dimensions and unknown tokens, token by token
+    met = {"__num": F.lit(1.0), "__den": F.lit(1.0), "__dims": F.expr(f"cast(array() as {DIMS_TYPE})"), "__unknown": F.expr("cast(array() as array<string>)")}
+    short = (rows.where(F.size("__t") <= JOINED_TOKENS) if longest > JOINED_TOKENS else rows).withColumns(met)
+    for k in range(min(longest, JOINED_TOKENS)):
+        tok, top = F.get("__t", F.lit(k)), F.col("__above") > k
+        asked = short.withColumn("__n", number(tok))
+        # rows that ask for nothing are dealt out by their expression: no token has a slash
+        key = F.when(F.col("__n").isNull() & tok.isNotNull(), tok).otherwise(F.concat(F.lit("/"), expr))
+        asked = asked.withColumn("__key", key).join(units, F.col("__key") == F.col("__unit"), "left")
+        scale, known = F.coalesce("__n", "__u.scale", F.lit(1.0)), tok.isNull() | F.col("__n").isNotNull() | F.col("__unit").isNotNull()
+        short = asked.select(
+            *kept, "__t", "__above", F.when(top, F.col("__num") * scale).otherwise(F.col("__num")).alias("__num"),
+            F.when(top, F.col("__den")).otherwise(F.col("__den") * scale).alias("__den"),
+            F.when(F.col("__unit").isNull(), F.col("__dims")).otherwise(F.concat("__dims", F.when(top, F.col("__u.dims")).otherwise(F.col("__u.over")))).alias("__dims"),
+            F.when(known, F.col("__unknown")).otherwise(F.concat("__unknown", F.array(tok))).alias("__unknown"))
+    result = [*kept, *met]
+    out = short.select(*result)
+    if longest > JOINED_TOKENS:
+        long = rows.where(F.size("__t") > JOINED_TOKENS)
+        each = long.select(expr.alias("__x"), "__t", "__above").dropDuplicates(["__x"]).select("__x", "__above", F.posexplode("__t").alias("pos", "tok"))
+        unit = F.struct("pos", "tok", (F.col("__above") > F.col("pos")).alias("top"), number(F.col("tok")).alias("n"), F.col("__u").alias("u"))
+        lists = each.join(units, F.col("tok") == F.col("__unit"), "left").groupBy("__x").agg(F.sort_array(F.collect_list(unit)).alias("__l"))
+
+        def product(top: bool) -> Column:
+            return F.aggregate(F.filter("__l", lambda t: t["top"] == top), F.lit(1.0), lambda x, t: x * F.coalesce(t["n"], t["u"]["scale"], F.lit(1.0)))
+
+        dims = F.flatten(F.transform(F.filter("__l", lambda t: t["u"].isNotNull()), lambda t: F.when(t["top"], t["u"]["dims"]).otherwise(t["u"]["over"])))
+        unknown = F.transform(F.filter("__l", lambda t: t["n"].isNull() & t["u"].isNull()), lambda t: t["tok"])
+        lists = lists.select("__x", product(True).alias("__num"), product(False).alias("__den"), dims.alias("__dims"), unknown.alias("__unknown"))
+        out = out.unionByName(long.join(shuffled(lists), expr == F.col("__x")).select(*result))
+    dims = F.when(F.size("__dims") < 2, F.col("__dims")).otherwise(_summed(F.col("__dims")))
+    scale = F.when(F.size("__unknown") == 0, F.col("__num") / F.col("__den"))
+    return out.select(*kept, F.struct(scale.alias("scale"), dims.alias("dims"), F.col("__unknown").alias("unresolved")).alias(out_col))
 
 
 def with_resolved(df: DataFrame, expr_col: str, out_col: str, lookup: UnitLookup) -> DataFrame:
@@ -341,7 +390,8 @@ def convertibility_classes(units: DataFrame, unit_col: str = "unit", rename_fun=
     they share a ``class_id`` (the smallest unit of the class); an unresolvable unit has none. The dimensions' text is the grouping
     key, so nothing compares pairs: one aggregate (map-side first) and a join back."""
     u = units.select(F.col(unit_col).alias("unit")).where("unit is not null").distinct().withColumn("_s", rename_fun(F.col("unit")))
-    resolved = with_resolved(materialize(u), "_s", "_r", unit_lookup(registry))
+    lookup = unit_lookup(registry)
+    resolved = _with_resolved_rows(u, "_s", "_r", lookup) if isinstance(lookup, RegistryTable) else with_resolved(materialize(u), "_s", "_r", lookup)
     known = materialize(resolved.select("unit", F.when(F.size("_r.unresolved") == 0, dims_signature(F.col("_r.dims"))).alias("dims")))
     least = known.where("dims is not null").groupBy("dims").agg(F.min("unit").alias("class_id"))
     return known.join(least, "dims", "left").select("unit", "dims", "class_id")
