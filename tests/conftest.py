@@ -13,7 +13,8 @@ FIXTURES = ROOT / "tests" / "fixtures"
 def spark():
     from yearloom.session import build_session
 
-    s = build_session("local[4]", app="yearloom-tests", shuffle_partitions=8)
+    # plans name the files they scan in full, however long the path of the temporary folder
+    s = build_session("local[4]", app="yearloom-tests", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "2000"})
     yield s
     s.stop()
 
