@@ -9,6 +9,7 @@ from conftest import rows
 from yearloom.operators.units.algebra import RepeatedUnits, convertibility_classes, repeated_units, resolve_unit_expressions, unit_factor_table, unit_lookup
 from yearloom.operators.units.definitions import DEFINITION_SCHEMA, definition_table, prefix_table, resolve_definitions
 from yearloom.operators.units.registry import BASE_UNITS, HARMONIZATION_UNITS, SI_PREFIXES, VARIANT_UNITS, UnitDef, build_unit_table, registry_rows
+from yearloom.session import DEFAULT_BROADCAST_ROWS
 
 
 def define(spark, *defs, prefixes=False):
@@ -117,6 +118,22 @@ def test_registry_tables_are_not_broadcast(spark, monkeypatch):
         assert factor == (None if times is None or int(k) >= 40 else times * (int(k) + 1) / 4), unit
 
 
+def test_factors_of_many_units_hold_no_broadcast_table(spark, monkeypatch):
+    """A registry of more rows than may be broadcast, whose written size is small: no task holds one of its tables whole."""
+    from yearloom.operators.units import algebra as A
+    n, plans = DEFAULT_BROADCAST_ROWS + 1000, []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(A, "materialize", lambda df, keep=A.materialize: plans.append(plan(df)) or keep(df))
+    registry = spark.range(n).selectExpr("concat('u', id) as name", "'name' as kind", "id % 50 + 1D as scale", "array(struct(if(id % 2 = 0, 'm', 's') as dim, 1 as exp)) as dims")
+    pairs = spark.range(2 * n).selectExpr(f"concat('U', id % {n + 7}, 's') as from_unit", "concat('u', id % 1000) as to_unit")
+    out = unit_factor_table(pairs, rename_fun=lambda c: c, registry=registry)
+    got = {(r.from_unit, r.to_unit): r.factor for r in out.collect()}
+    plans.append(plan(out))
+    assert sum("ShuffledHashJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+    want = {(i % (n + 7), i % 1000) for i in range(2 * n)}
+    assert got == {(f"U{a}s", f"u{b}"): (a % 50 + 1) / (b % 50 + 1) if a < n and a % 2 == b % 2 else None for a, b in want}
+
+
 EXPRESSIONS = ["m", "m s/kg", "2 m*m / s / 4 kg", "m/m", "nowhere m/gone", "", " / s", "3", "m//s", "m m m m m", "m s kg m s / m s kg gone 2 m", "m*s*kg/2/s/kg", "/", "s/s s s s s s", None]
 
 
